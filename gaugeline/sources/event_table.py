@@ -1,0 +1,123 @@
+"""A generic ``events`` table seen as a sensor topic.
+
+Used to run the engine on existing event data: the event type names the sensor,
+the event id gives the place in a log of three partitions.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gaugeline.functions.payloads import encode
+from gaugeline.functions.rules import RuleSet
+from gaugeline.schemas import EVENT, KAFKA_RECORD
+
+TOPIC = "sensor-events"
+LOG_PARTITIONS = 3
+TABLE_FILE = "events.parquet"
+
+# Event type -> (sensor, value). Fixed values; other types keep their name and value.
+_SENSORS = {
+    "view": ("temperature", lambda value: F.round(value - 60, 2)),
+    "click": ("humidity", lambda value: value),
+    "purchase": ("pressure", lambda value: F.round(value + 960, 2)),
+}
+
+
+def read_event_table(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.parquet(f"{directory.rstrip('/')}/{TABLE_FILE}")
+
+
+def stream_event_table(spark: SparkSession, directory: str) -> DataFrame:
+    """The same table as a stream of its files."""
+    schema = read_event_table(spark, directory).schema
+    return (
+        spark.readStream.schema(schema).option("pathGlobFilter", TABLE_FILE).parquet(directory)
+    )
+
+
+def as_events(table: DataFrame, *keep: str | Column) -> DataFrame:
+    """EVENT rows of the table, after the columns to keep."""
+    rules = RuleSet()
+    sensor, value = F.col("event_type"), F.col("value")
+    for event_type, (name, reading) in _SENSORS.items():
+        match = F.col("event_type") == event_type
+        sensor = F.when(match, name).otherwise(sensor)
+        value = F.when(match, reading(F.col("value"))).otherwise(value)
+    return table.select(
+        *keep,
+        sensor.alias("sensor"),
+        value.alias("value"),
+        rules.unit_of(sensor).alias("unit"),
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.concat(F.lit("user-"), "user_id").alias("source"),
+        rules.is_anomaly(sensor, value).alias("anomaly"),
+    )
+
+
+def as_messages(table: DataFrame) -> DataFrame:
+    """KAFKA_RECORD rows: the event as JSON, keyed by sensor."""
+    events = as_events(table, "event_id")
+    return events.select(
+        F.col("sensor").cast("binary").alias("key"),
+        encode(*EVENT.fieldNames()).cast("binary").alias("value"),
+        F.lit(TOPIC).alias("topic"),
+        _log_partition().alias("partition"),
+        _log_offset().alias("offset"),
+        F.timestamp_millis("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    ).select(*KAFKA_RECORD.fieldNames())
+
+
+def as_decoded(table: DataFrame, ingestion_time: Column) -> DataFrame:
+    """What ``operators.decode.decode`` makes of ``as_messages``, without the
+    detour through JSON, so column pruning reaches the table's files."""
+    events = as_events(table, "event_id")
+    return events.select(
+        F.col("sensor").alias("message_key"),
+        F.timestamp_millis("timestamp").alias("kafka_timestamp"),
+        _log_partition().alias("kafka_partition"),
+        _log_offset().alias("kafka_offset"),
+        ingestion_time.alias("ingestion_time"),
+        F.lit(True).alias("has_payload"),
+        F.col("sensor").alias("sensor_type"),
+        "value",
+        "unit",
+        F.col("timestamp").alias("event_timestamp_ms"),
+        F.col("source").alias("reading_source"),
+        F.col("anomaly").alias("producer_anomaly"),
+    )
+
+
+def as_submissions(table: DataFrame) -> DataFrame:
+    """Submitted bodies, one per event, with the faults clients make.
+
+    The number in ``props`` decides what is wrong with a body, so that every
+    check of the strict validation meets some of the rows.
+    """
+    events = as_events(table, "event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k = F.col("k")
+    fields = F.struct(
+        F.concat(F.lit(" "), F.upper("sensor")).alias("sensor"),
+        F.when(k < 5, "warm").when(k < 50, F.col("value").cast("string")).alias("value_text"),
+        F.when(k >= 50, F.col("value")).alias("value"),
+        F.when(k.between(5, 9), "K").otherwise(F.coalesce("unit", F.lit("C"))).alias("unit"),
+        F.when(k.between(10, 14), "soon").alias("timestamp_text"),
+        F.when(k > 19, F.col("timestamp")).alias("timestamp"),
+        F.when(~k.between(20, 24), F.concat("source", F.lit(" "))).alias("source"),
+        F.when(k.between(30, 59), k < 45).alias("anomaly"),
+    )
+    # A field is written as text or as a number; to_json leaves out the other.
+    body = F.regexp_replace(F.to_json(fields), "_text", "")
+    return events.select(
+        "event_id", F.when(k.between(25, 27), F.left(body, F.lit(20))).otherwise(body).alias("body")
+    )
+
+
+def _log_partition() -> Column:
+    return (F.col("event_id") % LOG_PARTITIONS).cast("int")
+
+
+def _log_offset() -> Column:
+    return F.floor(F.col("event_id") / LOG_PARTITIONS)
