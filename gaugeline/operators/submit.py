@@ -33,13 +33,16 @@ _NUMBER_TEXT = (
 _NUMBER_TYPES = r"^(BIGINT|DOUBLE|DECIMAL.*)$"
 
 
+_FIELDS = (*REQUIRED_FIELDS, "timestamp", "anomaly")
+
+
 class _Field:
-    """One key of the body as a VARIANT, with typed readings of it."""
+    """One key of the body, after ``_parse``: its kind and its value as text."""
 
     def __init__(self, name: str):
-        self.variant = F.try_variant_get("document", f"$.{name}", "variant")
-        self.kind = F.schema_of_variant(self.variant)
-        self.present = self.variant.isNotNull()
+        self.kind = F.col(f"{name}_kind")
+        self.value = F.col(f"{name}_text")
+        self.present = self.kind.isNotNull()
         self.is_text = self.kind == "STRING"
         self.is_number = self.kind.rlike(_NUMBER_TYPES)
         self.is_boolean = self.kind == "BOOLEAN"
@@ -47,50 +50,71 @@ class _Field:
     def text(self) -> Column:
         """The value as a string, with ``null`` and booleans spelled as words."""
         return (
-            F.when(self.kind == "VOID", "None")
-            .when(self.is_boolean, F.initcap(self.cast("string")))
-            .when(self.is_text | self.is_number, self.cast("string"))
-            .otherwise(F.to_json(self.variant))
+            F.when(self.is_text, self.value)
+            .when(self.kind == "VOID", "None")
+            .when(self.is_boolean, F.initcap(self.value))
+            .otherwise(self.value)
         )
 
-    def cast(self, kind: str) -> Column:
-        return F.try_variant_get(self.variant, "$", kind)
-
     def number(self) -> Column:
         """NULL unless the value is a number, a boolean or the text of a number."""
-        text = self.cast("string")
         return (
-            F.when(self.is_number, self.cast("double"))
-            .when(self.is_boolean, self.cast("boolean").cast("double"))
+            F.when(self.is_number, self.value.try_cast("double"))
             .when(
-                self.is_text & text.rlike(_NUMBER_TEXT),
-                F.replace(text, F.lit("_")).try_cast("double"),
+                self.is_text & self.value.rlike(_NUMBER_TEXT),
+                F.replace(self.value, F.lit("_")).try_cast("double"),
             )
+            .when(self.is_boolean, (self.value == "true").cast("double"))
         )
 
     def integer(self) -> Column:
         """As ``number``; fractions of a number are cut, of a text refused."""
-        text = self.cast("string")
         return (
-            F.when(self.is_number, self.cast("bigint"))
-            .when(self.is_boolean, self.cast("boolean").cast("bigint"))
+            F.when(self.kind == "BIGINT", self.value.try_cast("bigint"))
+            .when(self.is_number, F.try_variant_get("document", "$.timestamp", "bigint"))
             .when(
-                self.is_text & text.rlike(_INTEGER_TEXT),
-                F.replace(text, F.lit("_")).try_cast("bigint"),
+                self.is_text & self.value.rlike(_INTEGER_TEXT),
+                F.replace(self.value, F.lit("_")).try_cast("bigint"),
             )
+            .when(self.is_boolean, (self.value == "true").cast("bigint"))
         )
 
     def truth(self) -> Column:
         """NULL where absent."""
-        text = self.cast("string")
         return (
-            F.when(self.is_boolean, self.cast("boolean"))
-            .when(self.is_number, self.cast("double") != 0)
-            .when(self.is_text, F.coalesce(text.try_cast("boolean"), text != ""))
-            .when(self.present, ~F.to_json(self.variant).isin("null", "[]", "{}"))
+            F.when(self.is_boolean, self.value == "true")
+            .when(self.is_number, self.value.try_cast("double") != 0)
+            .when(self.is_text, F.coalesce(self.value.try_cast("boolean"), self.value != ""))
+            .when(self.present, ~F.coalesce("anomaly_text", F.lit("null")).isin("null", "[]", "{}"))
         )
 
 
+def _once(frame: DataFrame, keep: list[str], *columns: Column) -> DataFrame:
+    """Compute columns exactly once, whatever later steps do with them.
+
+    A plain projection would be merged into every later use of its columns.
+    """
+    return frame.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
+def _parse(submissions: DataFrame) -> DataFrame:
+    """Add ``document`` and, for every known key, ``<key>_kind`` and ``<key>_text``."""
+    own = submissions.columns
+    parsed = _once(submissions, own, F.try_parse_json("body").alias("document"))
+    values = _once(
+        parsed,
+        [*own, "document"],
+        F.schema_of_variant("document").startswith("OBJECT").alias("is_object"),
+        *[F.try_variant_get("document", f"$.{name}", "variant").alias(name) for name in _FIELDS],
+    )
+    return _once(
+        values,
+        [*own, "document", "is_object"],
+        *[F.schema_of_variant(name).alias(f"{name}_kind") for name in _FIELDS],
+        *[F.try_variant_get(name, "$", "string").alias(f"{name}_text") for name in _FIELDS],
+    )
+
+
 def _strip(text: Column) -> Column:
     return F.trim(text, F.lit(_SPACE))
 
@@ -108,10 +132,10 @@ def validate_submissions(
     """
     rules = rules or RuleSet()
     now = F.unix_millis(F.current_timestamp()) if received_ms is None else received_ms
-    fields = {name: _Field(name) for name in (*REQUIRED_FIELDS, "timestamp", "anomaly")}
-    # inline keeps the parsed values from being recomputed by every later use.
-    read = F.struct(
-        (F.schema_of_variant("document").startswith("OBJECT")).alias("is_object"),
+    fields = {name: _Field(name) for name in _FIELDS}
+    read = _once(
+        _parse(submissions),
+        [*submissions.columns, "is_object"],
         F.concat_ws(
             ", ", *[F.when(~fields[n].present, n) for n in REQUIRED_FIELDS]
         ).alias("missing"),
@@ -123,10 +147,7 @@ def validate_submissions(
         fields["timestamp"].integer().alias("timestamp"),
         fields["anomaly"].truth().alias("flag"),
     )
-    parsed = submissions.withColumn("document", F.try_parse_json("body")).select(
-        *submissions.columns, F.inline(F.array(read))
-    )
-    judged = rules.judge(parsed, "sensor", "number")
+    judged = rules.judge(read, "sensor", "number")
     bounds, unit = rules.plausible_bounds(F.col("sensor")), rules.unit_of(F.col("sensor"))
     checks = [
         (~F.coalesce("is_object", F.lit(False)), F.lit(MALFORMED), BAD_REQUEST),
@@ -178,7 +199,7 @@ def validate_submissions(
         "source",
         F.coalesce("flag", "is_anomaly").alias("anomaly"),
     )
-    return judged.withColumn("error", error).select(
+    return _once(judged, judged.columns, error.alias("error")).select(
         *submissions.columns,
         F.when(F.col("error").isNull(), event).alias("event"),
         "error",

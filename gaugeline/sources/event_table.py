@@ -45,14 +45,21 @@ def as_events(table: DataFrame, *keep: str | Column) -> DataFrame:
         match = F.col("event_type") == event_type
         sensor = F.when(match, name).otherwise(sensor)
         value = F.when(match, reading(F.col("value"))).otherwise(value)
-    return table.select(
-        *keep,
-        sensor.alias("sensor"),
-        value.alias("value"),
-        rules.unit_of(sensor).alias("unit"),
+    kept = table.select(*keep, "ts", "user_id", "event_type", "value")
+    names = [name for name in kept.columns if name not in ("event_type", "value")]
+    # inline computes sensor and value once; as plain columns they would be
+    # repeated in every rule that mentions them.
+    sensed = kept.select(
+        *names, F.inline(F.array(F.struct(sensor.alias("sensor"), value.alias("value"))))
+    )
+    return sensed.select(
+        *[name for name in names if name not in ("ts", "user_id")],
+        "sensor",
+        "value",
+        rules.unit_of(F.col("sensor")).alias("unit"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
         F.concat(F.lit("user-"), "user_id").alias("source"),
-        rules.is_anomaly(sensor, value).alias("anomaly"),
+        rules.is_anomaly(F.col("sensor"), F.col("value")).alias("anomaly"),
     )
 
 
