@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import astuple, dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RULE_SCHEMA = (
@@ -67,38 +65,41 @@ class RuleSet:
             [(rule.sensor, rule.unit) for rule in self.rules], "sensor string, unit string"
         )
 
-    def is_known(self, sensor: Column) -> Column:
-        return sensor.isin(list(self.by_sensor))
+    # The rules as SQL expressions over the named columns. One expression text
+    # costs one call to the JVM, however many rules it holds.
 
-    def is_plausible(self, sensor: Column, value: Column) -> Column:
-        """False for an unknown sensor and for NaN, NULL for a NULL value."""
-        checks = [
-            (sensor == rule.sensor) & value.between(rule.plausible_low, rule.plausible_high)
+    def known_sql(self, sensor: str) -> str:
+        """NULL only for a NULL sensor."""
+        return f"{sensor} IN ({', '.join(map(sql_text, self.by_sensor))})"
+
+    def plausible_sql(self, sensor: str, value: str) -> str:
+        """False for an unknown sensor and for NaN, NULL only for a NULL input."""
+        return _any(
+            f"{sensor} = {sql_text(rule.sensor)} AND {value} BETWEEN "
+            f"{sql_double(rule.plausible_low)} AND {sql_double(rule.plausible_high)}"
             for rule in self.rules
-        ]
-        return reduce(or_, checks, F.lit(False))
+        )
 
-    def is_anomaly(self, sensor: Column, value: Column) -> Column:
+    def anomaly_sql(self, sensor: str, value: str) -> str:
         """Never NULL; an unknown sensor or a NULL value is no anomaly."""
-        checks = [
-            (sensor == rule.sensor) & bound
+        bounds = (
+            f"{sensor} = {sql_text(rule.sensor)} AND {value} {sign} {sql_double(bound)}"
             for rule in self.rules
-            for bound in _anomaly_bounds(rule, value)
-        ]
-        return F.coalesce(reduce(or_, checks, F.lit(False)), F.lit(False))
+            for sign, bound in (("<", rule.anomaly_below), (">", rule.anomaly_above))
+            if bound is not None
+        )
+        return f"coalesce({_any(bounds)}, false)"
 
-    def unit_of(self, sensor: Column) -> Column:
-        return _case(sensor, {rule.sensor: F.lit(rule.unit) for rule in self.rules})
+    def unit_sql(self, sensor: str) -> str:
+        """NULL for an unknown sensor."""
+        return _case(sensor, {rule.sensor: sql_text(rule.unit) for rule in self.rules})
 
-    def plausible_bounds(self, sensor: Column) -> Column:
-        """Struct ``low, high`` of the sensor's rule, NULL for an unknown sensor."""
+    def bounds_sql(self, sensor: str) -> str:
+        """The plausible range in words, NULL for an unknown sensor."""
         return _case(
             sensor,
             {
-                rule.sensor: F.struct(
-                    F.lit(rule.plausible_low).alias("low"),
-                    F.lit(rule.plausible_high).alias("high"),
-                )
+                rule.sensor: sql_text(f"between {rule.plausible_low} and {rule.plausible_high}")
                 for rule in self.rules
             },
         )
@@ -111,14 +112,12 @@ class RuleSet:
         A longer one is joined: broadcast while its length proves it small, as a
         plain join that adaptive execution may split beyond that.
         """
-        name, reading = F.col(sensor), F.col(value)
         if len(self) <= MAX_INLINE_RULES:
-            return readings.withColumns(
-                {
-                    "known": self.is_known(name),
-                    "plausible": self.is_plausible(name, reading),
-                    "is_anomaly": self.is_anomaly(name, reading),
-                }
+            return readings.selectExpr(
+                "*",
+                f"{self.known_sql(sensor)} AS known",
+                f"{self.plausible_sql(sensor, value)} AS plausible",
+                f"{self.anomaly_sql(sensor, value)} AS is_anomaly",
             )
         table = self.frame(readings.sparkSession).select(
             F.col("sensor").alias("rule_sensor"),
@@ -129,29 +128,29 @@ class RuleSet:
         )
         if len(self) <= MAX_BROADCAST_RULES:
             table = F.broadcast(table)
-        columns = readings.columns
-        plausible = reading.between(F.col("plausible_low"), F.col("plausible_high"))
-        below = F.coalesce(reading < F.col("anomaly_below"), F.lit(False))
-        above = F.coalesce(reading > F.col("anomaly_above"), F.lit(False))
-        return readings.join(table, name == F.col("rule_sensor"), "left").select(
-            *columns,
-            F.col("rule_sensor").isNotNull().alias("known"),
-            plausible.alias("plausible"),
-            (below | above).alias("is_anomaly"),
+        joined = readings.join(table, F.col(sensor) == F.col("rule_sensor"), "left")
+        return joined.selectExpr(
+            *readings.columns,
+            "rule_sensor IS NOT NULL AS known",
+            f"{value} BETWEEN plausible_low AND plausible_high AS plausible",
+            f"coalesce({value} < anomaly_below, false) OR coalesce({value} > anomaly_above, false)"
+            " AS is_anomaly",
         )
 
 
-def _anomaly_bounds(rule: SensorRule, value: Column) -> list[Column]:
-    bounds = []
-    if rule.anomaly_below is not None:
-        bounds.append(value < rule.anomaly_below)
-    if rule.anomaly_above is not None:
-        bounds.append(value > rule.anomaly_above)
-    return bounds
+def sql_text(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def sql_double(number: float) -> str:
+    return f"CAST('{float(number)!r}' AS DOUBLE)"
+
+
+def _any(conditions: Iterable[str]) -> str:
+    return " OR ".join(f"({condition})" for condition in conditions) or "false"
 
 
-def _case(key: Column, branches: dict[str, Column]) -> Column:
-    chain = F
-    for name, result in branches.items():
-        chain = chain.when(key == name, result)
-    return chain.otherwise(F.lit(None))
+def _case(key: str, branches: dict[str, str]) -> str:
+    whens = " ".join(f"WHEN {sql_text(name)} THEN {result}" for name, result in branches.items())
+    return f"CASE {key} {whens} END" if branches else "CAST(NULL AS STRING)"

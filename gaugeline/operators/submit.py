@@ -1,8 +1,8 @@
 """Strict validation of submitted readings (JSON text in a column ``body``).
 
 A body is parsed once into a VARIANT, which keeps the difference between an
-absent key, ``null``, a number and the same number as text. Each rule is a
-Column, and the first that fails gives message and status.
+absent key, ``null``, a number and the same number as text. Each rule is an
+expression, and the first that fails gives message and status.
 
 Known differences from a Python validator: rounding of ties goes up instead of
 to even; ``anomaly`` given as text is read as a boolean word; a timestamp beyond
@@ -11,10 +11,9 @@ to even; ``anomaly`` given as text is read as a boolean word; a timestamp beyond
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from gaugeline.functions.rules import RuleSet
+from gaugeline.functions.rules import RuleSet, sql_text
 
 # Fixed values.
 REQUIRED_FIELDS = ("sensor", "source", "unit", "value")
@@ -24,193 +23,152 @@ TIMESTAMP_NOT_INTEGER = "Field 'timestamp' must be an epoch millisecond integer"
 BAD_REQUEST = 400
 UNPROCESSABLE = 422
 
-_SPACE = " \t\n\r\v\f"
-_DIGITS = r"\d+(_\d+)*"
-_INTEGER_TEXT = rf"^\s*[+-]?{_DIGITS}\s*$"
-_NUMBER_TEXT = (
-    rf"(?i)^\s*[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})(e[+-]?{_DIGITS})?|inf(inity)?|nan)\s*$"
-)
-_NUMBER_TYPES = r"^(BIGINT|DOUBLE|DECIMAL.*)$"
-
+NOW = "unix_millis(current_timestamp())"
 
 _FIELDS = (*REQUIRED_FIELDS, "timestamp", "anomaly")
+_SPACE = r"' \t\n\r\u000b\f'"
+_DIGITS = r"\\d+(_\\d+)*"
+_INTEGER_TEXT = rf"'^\\s*[+-]?{_DIGITS}\\s*$'"
+_NUMBER_TEXT = (
+    rf"'(?i)^\\s*[+-]?(({_DIGITS}(\\.({_DIGITS})?)?|\\.{_DIGITS})(e[+-]?{_DIGITS})?"
+    r"|inf(inity)?|nan)\\s*$'"
+)
 
 
-class _Field:
-    """One key of the body, after ``_parse``: its kind and its value as text."""
-
-    def __init__(self, name: str):
-        self.kind = F.col(f"{name}_kind")
-        self.value = F.col(f"{name}_text")
-        self.present = self.kind.isNotNull()
-        self.is_text = self.kind == "STRING"
-        self.is_number = self.kind.rlike(_NUMBER_TYPES)
-        self.is_boolean = self.kind == "BOOLEAN"
-
-    def text(self) -> Column:
-        """The value as a string, with ``null`` and booleans spelled as words."""
-        return (
-            F.when(self.is_text, self.value)
-            .when(self.kind == "VOID", "None")
-            .when(self.is_boolean, F.initcap(self.value))
-            .otherwise(self.value)
-        )
-
-    def number(self) -> Column:
-        """NULL unless the value is a number, a boolean or the text of a number."""
-        return (
-            F.when(self.is_number, self.value.try_cast("double"))
-            .when(
-                self.is_text & self.value.rlike(_NUMBER_TEXT),
-                F.replace(self.value, F.lit("_")).try_cast("double"),
-            )
-            .when(self.is_boolean, (self.value == "true").cast("double"))
-        )
-
-    def integer(self) -> Column:
-        """As ``number``; fractions of a number are cut, of a text refused."""
-        return (
-            F.when(self.kind == "BIGINT", self.value.try_cast("bigint"))
-            .when(self.is_number, F.try_variant_get("document", "$.timestamp", "bigint"))
-            .when(
-                self.is_text & self.value.rlike(_INTEGER_TEXT),
-                F.replace(self.value, F.lit("_")).try_cast("bigint"),
-            )
-            .when(self.is_boolean, (self.value == "true").cast("bigint"))
-        )
-
-    def truth(self) -> Column:
-        """NULL where absent."""
-        return (
-            F.when(self.is_boolean, self.value == "true")
-            .when(self.is_number, self.value.try_cast("double") != 0)
-            .when(self.is_text, F.coalesce(self.value.try_cast("boolean"), self.value != ""))
-            .when(self.present, ~F.coalesce("anomaly_text", F.lit("null")).isin("null", "[]", "{}"))
-        )
-
-
-def _once(frame: DataFrame, keep: list[str], *columns: Column) -> DataFrame:
-    """Compute columns exactly once, whatever later steps do with them.
+def validate_submissions(
+    submissions: DataFrame, rules: RuleSet | None = None, *, received_ms: str = NOW
+) -> DataFrame:
+    """Every submission with either ``event`` or ``error`` (message, status).
 
-    A plain projection would be merged into every later use of its columns.
+    ``received_ms`` is the SQL expression of the time given to readings without
+    one. Plausibility and the default flag look at the value before rounding.
     """
-    return frame.select(*keep, F.inline(F.array(F.struct(*columns))))
-
-
-def _parse(submissions: DataFrame) -> DataFrame:
-    """Add ``document`` and, for every known key, ``<key>_kind`` and ``<key>_text``."""
+    rules = rules or RuleSet()
     own = submissions.columns
-    parsed = _once(submissions, own, F.try_parse_json("body").alias("document"))
-    values = _once(
-        parsed,
-        [*own, "document"],
-        F.schema_of_variant("document").startswith("OBJECT").alias("is_object"),
-        *[F.try_variant_get("document", f"$.{name}", "variant").alias(name) for name in _FIELDS],
-    )
-    return _once(
-        values,
-        [*own, "document", "is_object"],
-        *[F.schema_of_variant(name).alias(f"{name}_kind") for name in _FIELDS],
-        *[F.try_variant_get(name, "$", "string").alias(f"{name}_text") for name in _FIELDS],
-    )
+    judged = rules.judge(_read(submissions), "sensor", "number")
+    answered = _once(judged, judged.columns, error=_first_error(rules))
+    event = f"""named_struct(
+      'sensor', sensor, 'value', round(number, 2), 'unit', {rules.unit_sql('sensor')},
+      'timestamp', coalesce(timestamp, {received_ms}), 'source', source,
+      'anomaly', coalesce(flag, is_anomaly))"""
+    return answered.selectExpr(*own, f"CASE WHEN error IS NULL THEN {event} END AS event", "error")
 
 
-def _strip(text: Column) -> Column:
-    return F.trim(text, F.lit(_SPACE))
+def accepted_events(validated: DataFrame) -> DataFrame:
+    """EVENT rows ready to publish."""
+    return validated.where("error IS NULL").select("event.*")
 
 
-def validate_submissions(
-    submissions: DataFrame,
-    rules: RuleSet | None = None,
-    *,
-    received_ms: Column | None = None,
-) -> DataFrame:
-    """Every submission with either ``event`` or ``error`` (message, status).
+def rejected_submissions(validated: DataFrame) -> DataFrame:
+    """Refused submissions with the first failed check."""
+    own = [name for name in validated.columns if name not in ("event", "error")]
+    return validated.where("error IS NOT NULL").select(*own, "error.*")
 
-    ``received_ms`` is the time given to readings without one; now if omitted.
-    Plausibility and the default flag look at the value before rounding.
-    """
-    rules = rules or RuleSet()
-    now = F.unix_millis(F.current_timestamp()) if received_ms is None else received_ms
-    fields = {name: _Field(name) for name in _FIELDS}
-    read = _once(
-        _parse(submissions),
-        [*submissions.columns, "is_object"],
-        F.concat_ws(
-            ", ", *[F.when(~fields[n].present, n) for n in REQUIRED_FIELDS]
-        ).alias("missing"),
-        F.lower(_strip(fields["sensor"].text())).alias("sensor"),
-        fields["value"].number().alias("number"),
-        fields["unit"].text().alias("unit"),
-        _strip(fields["source"].text()).alias("source"),
-        fields["timestamp"].present.alias("has_timestamp"),
-        fields["timestamp"].integer().alias("timestamp"),
-        fields["anomaly"].truth().alias("flag"),
-    )
-    judged = rules.judge(read, "sensor", "number")
-    bounds, unit = rules.plausible_bounds(F.col("sensor")), rules.unit_of(F.col("sensor"))
+
+def _first_error(rules: RuleSet) -> str:
+    """Struct of the first failed check; later ones may rely on earlier ones."""
     checks = [
-        (~F.coalesce("is_object", F.lit(False)), F.lit(MALFORMED), BAD_REQUEST),
-        (
-            F.col("missing") != "",
-            F.concat(F.lit("Missing required field(s): "), "missing"),
-            BAD_REQUEST,
-        ),
-        (
-            ~F.col("known"),
-            F.concat(F.lit("Unsupported sensor type: "), "sensor"),
-            UNPROCESSABLE,
-        ),
-        (F.col("number").isNull(), F.lit(VALUE_NOT_NUMERIC), BAD_REQUEST),
+        ("NOT coalesce(is_object, false)", sql_text(MALFORMED), BAD_REQUEST),
+        ("missing <> ''", "concat('Missing required field(s): ', missing)", BAD_REQUEST),
+        ("NOT known", "concat('Unsupported sensor type: ', sensor)", UNPROCESSABLE),
+        ("number IS NULL", sql_text(VALUE_NOT_NUMERIC), BAD_REQUEST),
         (
-            F.col("unit") != unit,
-            F.concat(F.lit("Invalid unit for "), "sensor", F.lit(". Expected "), unit),
+            f"unit <> {rules.unit_sql('sensor')}",
+            f"concat('Invalid unit for ', sensor, '. Expected ', {rules.unit_sql('sensor')})",
             UNPROCESSABLE,
         ),
         (
-            ~F.col("plausible"),
-            F.concat(
-                F.lit("Value for "),
-                "sensor",
-                F.lit(" must be between "),
-                bounds["low"].cast("string"),
-                F.lit(" and "),
-                bounds["high"].cast("string"),
-            ),
+            "NOT plausible",
+            f"concat('Value for ', sensor, ' must be ', {rules.bounds_sql('sensor')})",
             UNPROCESSABLE,
         ),
         (
-            F.col("has_timestamp") & F.col("timestamp").isNull(),
-            F.lit(TIMESTAMP_NOT_INTEGER),
+            "timestamp_kind IS NOT NULL AND timestamp IS NULL",
+            sql_text(TIMESTAMP_NOT_INTEGER),
             BAD_REQUEST,
         ),
     ]
-    error = F.coalesce(
-        *[
-            F.when(failed, F.struct(message.alias("message"), F.lit(status).alias("status")))
-            for failed, message, status in checks
-        ]
+    whens = "\n".join(
+        f"WHEN {failed} THEN named_struct('message', {message}, 'status', {status})"
+        for failed, message, status in checks
     )
-    event = F.struct(
-        "sensor",
-        F.round("number", 2).alias("value"),
-        unit.alias("unit"),
-        F.coalesce("timestamp", now).alias("timestamp"),
-        "source",
-        F.coalesce("flag", "is_anomaly").alias("anomaly"),
+    return f"CASE {whens} END"
+
+
+def _read(submissions: DataFrame) -> DataFrame:
+    """The typed fields of each body; NULL where the given value does not fit."""
+    own = submissions.columns
+    parsed = _once(submissions, own, document="try_parse_json(body)")
+    values = _once(
+        parsed,
+        [*own, "document"],
+        is_object="startswith(schema_of_variant(document), 'OBJECT')",
+        **{name: f"try_variant_get(document, '$.{name}', 'variant')" for name in _FIELDS},
+    )
+    kinds = _once(
+        values,
+        [*own, "document", "is_object"],
+        **{f"{name}_kind": f"schema_of_variant({name})" for name in _FIELDS},
+        **{f"{name}_text": f"try_variant_get({name}, '$', 'string')" for name in _FIELDS},
     )
-    return _once(judged, judged.columns, error.alias("error")).select(
-        *submissions.columns,
-        F.when(F.col("error").isNull(), event).alias("event"),
-        "error",
+    missing = ", ".join(f"IF({name}_kind IS NULL, '{name}', NULL)" for name in REQUIRED_FIELDS)
+    return _once(
+        kinds,
+        [*own, "is_object", "timestamp_kind"],
+        missing=f"concat_ws(', ', {missing})",
+        sensor=f"lower({_stripped('sensor')})",
+        number=_number("value"),
+        unit=_as_text("unit"),
+        source=_stripped("source"),
+        timestamp=_integer("timestamp"),
+        flag=_truth("anomaly"),
     )
 
 
-def accepted_events(validated: DataFrame) -> DataFrame:
-    """EVENT rows ready to publish."""
-    return validated.where(F.col("error").isNull()).select("event.*")
+def _once(frame: DataFrame, keep: list[str], **columns: str) -> DataFrame:
+    """Compute columns exactly once, whatever later steps do with them.
 
+    A plain projection would be merged into every later use of its columns.
+    """
+    fields = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return frame.selectExpr(*keep, f"inline(array(named_struct({fields})))")
 
-def rejected_submissions(validated: DataFrame) -> DataFrame:
-    """Refused submissions with the first failed check."""
-    return validated.where(F.col("error").isNotNull()).drop("event").select("*", "error.*").drop("error")
+
+def _is_number(name: str) -> str:
+    return f"({name}_kind IN ('BIGINT', 'DOUBLE') OR startswith({name}_kind, 'DECIMAL'))"
+
+
+def _as_text(name: str) -> str:
+    """The value as a string, with ``null`` and booleans spelled as words."""
+    return f"""CASE {name}_kind WHEN 'STRING' THEN {name}_text WHEN 'VOID' THEN 'None'
+      WHEN 'BOOLEAN' THEN initcap({name}_text) ELSE {name}_text END"""
+
+
+def _stripped(name: str) -> str:
+    return f"trim(BOTH {_SPACE} FROM {_as_text(name)})"
+
+
+def _number(name: str) -> str:
+    """NULL unless the value is a number, a boolean or the text of a number."""
+    return f"""CASE WHEN {_is_number(name)} THEN try_cast({name}_text AS DOUBLE)
+      WHEN {name}_kind = 'STRING' AND {name}_text RLIKE {_NUMBER_TEXT}
+        THEN try_cast(replace({name}_text, '_') AS DOUBLE)
+      WHEN {name}_kind = 'BOOLEAN' THEN CAST({name}_text = 'true' AS DOUBLE) END"""
+
+
+def _integer(name: str) -> str:
+    """As a number; fractions of a number are cut, of a text refused."""
+    return f"""CASE WHEN {_is_number(name)} THEN try_variant_get(document, '$.{name}', 'bigint')
+      WHEN {name}_kind = 'STRING' AND {name}_text RLIKE {_INTEGER_TEXT}
+        THEN try_cast(replace({name}_text, '_') AS BIGINT)
+      WHEN {name}_kind = 'BOOLEAN' THEN CAST({name}_text = 'true' AS BIGINT) END"""
+
+
+def _truth(name: str) -> str:
+    """NULL where absent; ``null`` and what is empty or 0 count as false."""
+    return f"""CASE WHEN {name}_kind = 'BOOLEAN' THEN {name}_text = 'true'
+      WHEN {_is_number(name)} THEN try_cast({name}_text AS DOUBLE) <> 0
+      WHEN {name}_kind = 'STRING'
+        THEN coalesce(try_cast({name}_text AS BOOLEAN), {name}_text <> '')
+      WHEN {name}_kind IS NOT NULL
+        THEN coalesce({name}_text, 'null') NOT IN ('null', '[]', '{{}}') END"""

@@ -19,6 +19,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "double": T.DoubleType(),
     "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
 }
 
 
@@ -34,6 +35,11 @@ KAFKA_RECORD = _schema(
     "timestamp timestamp, timestampType int"
 )
 
+# The generic event table that ``sources.event_table`` reads as a sensor topic.
+EVENT_TABLE = _schema(
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+)
+
 # JSON value of one message; ``timestamp`` is epoch milliseconds.
 EVENT = _schema(
     "sensor string, value double, unit string, timestamp bigint, source string, anomaly boolean"

@@ -24,6 +24,10 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# Recording the source line of every Column costs more calls to the JVM than the
+# expressions themselves.
+BUILD_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -50,6 +54,7 @@ def build_session(
     options = {
         **ADAPTIVE_SETTINGS,
         **RUNTIME_SETTINGS,
+        **BUILD_SETTINGS,
         "spark.sql.shuffle.partitions": str(settings.shuffle_partitions),
         **({"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER} if large_state else {}),
         **(extra or {}),

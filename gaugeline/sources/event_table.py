@@ -6,94 +6,86 @@ the event id gives the place in a log of three partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.functions.payloads import encode
 from gaugeline.functions.rules import RuleSet
-from gaugeline.schemas import EVENT, KAFKA_RECORD
+from gaugeline.schemas import EVENT, EVENT_TABLE, KAFKA_RECORD
 
 TOPIC = "sensor-events"
 LOG_PARTITIONS = 3
 TABLE_FILE = "events.parquet"
 
-# Event type -> (sensor, value). Fixed values; other types keep their name and value.
-_SENSORS = {
-    "view": ("temperature", lambda value: F.round(value - 60, 2)),
-    "click": ("humidity", lambda value: value),
-    "purchase": ("pressure", lambda value: F.round(value + 960, 2)),
-}
+# Which event types are sensors, and how their values are shifted
+# into the range of the sensor. Other types keep their name and value.
+_SENSOR = """CASE event_type WHEN 'view' THEN 'temperature' WHEN 'click' THEN 'humidity'
+  WHEN 'purchase' THEN 'pressure' ELSE event_type END"""
+_VALUE = """CASE event_type WHEN 'view' THEN round(value - 60, 2)
+  WHEN 'purchase' THEN round(value + 960, 2) ELSE value END"""
+_LOG_PARTITION = f"CAST(event_id % {LOG_PARTITIONS} AS INT)"
+_LOG_OFFSET = f"event_id DIV {LOG_PARTITIONS}"
 
 
 def read_event_table(spark: SparkSession, directory: str) -> DataFrame:
-    return spark.read.parquet(f"{directory.rstrip('/')}/{TABLE_FILE}")
+    return spark.read.schema(EVENT_TABLE).parquet(f"{directory.rstrip('/')}/{TABLE_FILE}")
 
 
 def stream_event_table(spark: SparkSession, directory: str) -> DataFrame:
     """The same table as a stream of its files."""
-    schema = read_event_table(spark, directory).schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", TABLE_FILE).parquet(directory)
-    )
+    reader = spark.readStream.schema(EVENT_TABLE).option("pathGlobFilter", TABLE_FILE)
+    return reader.parquet(directory)
 
 
-def as_events(table: DataFrame, *keep: str | Column) -> DataFrame:
+def as_events(table: DataFrame, *keep: str) -> DataFrame:
     """EVENT rows of the table, after the columns to keep."""
     rules = RuleSet()
-    sensor, value = F.col("event_type"), F.col("value")
-    for event_type, (name, reading) in _SENSORS.items():
-        match = F.col("event_type") == event_type
-        sensor = F.when(match, name).otherwise(sensor)
-        value = F.when(match, reading(F.col("value"))).otherwise(value)
-    kept = table.select(*keep, "ts", "user_id", "event_type", "value")
-    names = [name for name in kept.columns if name not in ("event_type", "value")]
     # inline computes sensor and value once; as plain columns they would be
     # repeated in every rule that mentions them.
-    sensed = kept.select(
-        *names, F.inline(F.array(F.struct(sensor.alias("sensor"), value.alias("value"))))
+    sensed = table.selectExpr(
+        *keep,
+        "ts",
+        "user_id",
+        f"inline(array(named_struct('sensor', {_SENSOR}, 'value', {_VALUE})))",
     )
-    return sensed.select(
-        *[name for name in names if name not in ("ts", "user_id")],
+    return sensed.selectExpr(
+        *keep,
         "sensor",
         "value",
-        rules.unit_of(F.col("sensor")).alias("unit"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
-        F.concat(F.lit("user-"), "user_id").alias("source"),
-        rules.is_anomaly(F.col("sensor"), F.col("value")).alias("anomaly"),
+        f"{rules.unit_sql('sensor')} AS unit",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS timestamp",
+        "concat('user-', user_id) AS source",
+        f"{rules.anomaly_sql('sensor', 'value')} AS anomaly",
     )
 
 
 def as_messages(table: DataFrame) -> DataFrame:
     """KAFKA_RECORD rows: the event as JSON, keyed by sensor."""
-    events = as_events(table, "event_id")
-    return events.select(
-        F.col("sensor").cast("binary").alias("key"),
-        encode(*EVENT.fieldNames()).cast("binary").alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        _log_partition().alias("partition"),
-        _log_offset().alias("offset"),
-        F.timestamp_millis("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    ).select(*KAFKA_RECORD.fieldNames())
-
-
-def as_decoded(table: DataFrame, ingestion_time: Column) -> DataFrame:
+    return as_events(table, "event_id").selectExpr(
+        "CAST(sensor AS BINARY) AS key",
+        f"CAST(to_json(struct({', '.join(EVENT.fieldNames())})) AS BINARY) AS value",
+        f"'{TOPIC}' AS topic",
+        f"{_LOG_PARTITION} AS partition",
+        f"{_LOG_OFFSET} AS offset",
+        "timestamp_millis(timestamp) AS timestamp",
+        "0 AS timestampType",
+    )
+
+
+def as_decoded(table: DataFrame, ingestion_time: str) -> DataFrame:
     """What ``operators.decode.decode`` makes of ``as_messages``, without the
     detour through JSON, so column pruning reaches the table's files."""
-    events = as_events(table, "event_id")
-    return events.select(
-        F.col("sensor").alias("message_key"),
-        F.timestamp_millis("timestamp").alias("kafka_timestamp"),
-        _log_partition().alias("kafka_partition"),
-        _log_offset().alias("kafka_offset"),
-        ingestion_time.alias("ingestion_time"),
-        F.lit(True).alias("has_payload"),
-        F.col("sensor").alias("sensor_type"),
+    return as_events(table, "event_id").selectExpr(
+        "sensor AS message_key",
+        "timestamp_millis(timestamp) AS kafka_timestamp",
+        f"{_LOG_PARTITION} AS kafka_partition",
+        f"{_LOG_OFFSET} AS kafka_offset",
+        f"{ingestion_time} AS ingestion_time",
+        "true AS has_payload",
+        "sensor AS sensor_type",
         "value",
         "unit",
-        F.col("timestamp").alias("event_timestamp_ms"),
-        F.col("source").alias("reading_source"),
-        F.col("anomaly").alias("producer_anomaly"),
+        "timestamp AS event_timestamp_ms",
+        "source AS reading_source",
+        "anomaly AS producer_anomaly",
     )
 
 
@@ -103,28 +95,17 @@ def as_submissions(table: DataFrame) -> DataFrame:
     The number in ``props`` decides what is wrong with a body, so that every
     check of the strict validation meets some of the rows.
     """
-    events = as_events(table, "event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
-    k = F.col("k")
-    fields = F.struct(
-        F.concat(F.lit(" "), F.upper("sensor")).alias("sensor"),
-        F.when(k < 5, "warm").when(k < 50, F.col("value").cast("string")).alias("value_text"),
-        F.when(k >= 50, F.col("value")).alias("value"),
-        F.when(k.between(5, 9), "K").otherwise(F.coalesce("unit", F.lit("C"))).alias("unit"),
-        F.when(k.between(10, 14), "soon").alias("timestamp_text"),
-        F.when(k > 19, F.col("timestamp")).alias("timestamp"),
-        F.when(~k.between(20, 24), F.concat("source", F.lit(" "))).alias("source"),
-        F.when(k.between(30, 59), k < 45).alias("anomaly"),
-    )
+    numbered = table.selectExpr("*", "CAST(get_json_object(props, '$.k') AS INT) AS k")
     # A field is written as text or as a number; to_json leaves out the other.
-    body = F.regexp_replace(F.to_json(fields), "_text", "")
-    return events.select(
-        "event_id", F.when(k.between(25, 27), F.left(body, F.lit(20))).otherwise(body).alias("body")
+    body = """replace(to_json(named_struct(
+      'sensor', concat(' ', upper(sensor)),
+      'value_text', CASE WHEN k < 5 THEN 'warm' WHEN k < 50 THEN CAST(value AS STRING) END,
+      'value', CASE WHEN k >= 50 THEN value END,
+      'unit', CASE WHEN k BETWEEN 5 AND 9 THEN 'K' ELSE coalesce(unit, 'C') END,
+      'timestamp_text', CASE WHEN k BETWEEN 10 AND 14 THEN 'soon' END,
+      'timestamp', CASE WHEN k > 19 THEN timestamp END,
+      'source', CASE WHEN k NOT BETWEEN 20 AND 24 THEN concat(source, ' ') END,
+      'anomaly', CASE WHEN k BETWEEN 30 AND 59 THEN k < 45 END)), '_text', '')"""
+    return as_events(numbered, "event_id", "k").selectExpr(
+        "event_id", f"CASE WHEN k BETWEEN 25 AND 27 THEN left({body}, 20) ELSE {body} END AS body"
     )
-
-
-def _log_partition() -> Column:
-    return (F.col("event_id") % LOG_PARTITIONS).cast("int")
-
-
-def _log_offset() -> Column:
-    return F.floor(F.col("event_id") / LOG_PARTITIONS)

@@ -51,7 +51,8 @@ def _raw(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, directory: str) -> DataFrame:
-    return D.judge(as_decoded(_table(spark, directory), _ingestion_time()), RuleSet())
+    arrived = f"timestamp_seconds({INGESTION_SECONDS})"
+    return D.judge(as_decoded(_table(spark, directory), arrived), RuleSet())
 
 
 def _curated(spark: SparkSession, directory: str) -> DataFrame:
@@ -97,7 +98,7 @@ def reject_counts(spark, directory):
 
 def _validated(spark, directory):
     return validate_submissions(
-        as_submissions(_table(spark, directory)), received_ms=F.lit(RECEIVED_MS)
+        as_submissions(_table(spark, directory)), received_ms=f"{RECEIVED_MS}L"
     )
 
 
