@@ -15,8 +15,10 @@ def spark():
         "gaugeline-tests",
         master="local[8]",
         extra={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
+            "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-", dir="/tmp"),
             "spark.driver.memory": "6g",
         },

@@ -1,0 +1,286 @@
+"""Window averages on streams: lateness, revisions, restarts, failures."""
+
+import os
+import tempfile
+import time
+
+import pytest
+from builders import curated, messages, millis, payload, tuples, utc
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from gaugeline.operators.decode import curated_readings, drop_replayed
+from gaugeline.operators.envelope import raw_envelope
+from gaugeline.operators.windows import latest_revision, window_averages
+from gaugeline.schemas import CONSUMPTION, CONSUMPTION_ZONE, CURATED_ZONE
+from gaugeline.sinks.zones import append_zone
+from gaugeline.sources.lake import read_consumption, read_curated, read_raw, zone_path
+from gaugeline.sources.messages import ReplaySource
+from gaugeline.streaming import ingest
+from gaugeline.streaming.ingest import IngestJob, drain, supervise
+
+
+def reading(minute, value, sensor="temperature"):
+    return payload(sensor, value, millis(utc(2024, 1, 1, 0, minute)))
+
+
+class Log:
+    """A replay log that grows by one file per batch."""
+
+    def __init__(self, spark):
+        self.spark = spark
+        self.root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        self.path = f"{self.root}/log"
+        self.offset = 0
+        os.mkdir(self.path)
+
+    def add(self, *payloads):
+        batch = messages(self.spark, payloads, first_offset=self.offset)
+        self.offset += len(payloads)
+        batch.coalesce(1).write.mode("append").parquet(self.path)
+        time.sleep(0.01)
+        return self
+
+    def stream(self):
+        return ReplaySource(self.path, max_files_per_trigger=1).stream(self.spark)
+
+    def batch(self):
+        return ReplaySource(self.path).batch(self.spark)
+
+    def job(self, **options):
+        options = {"trigger_interval": None, **options}
+        return IngestJob(f"{self.root}/lake", f"{self.root}/checkpoints", **options)
+
+
+@pytest.fixture
+def log(spark):
+    return Log(spark)
+
+
+def emitted(spark, job):
+    """(batch, window start minute, count, mean) of all revisions."""
+    rows = read_consumption(spark, job.lake).orderBy("batch_id", "window_start", "sensor_type")
+    return [
+        (r["batch_id"], r["window_start"].minute, r["observation_count"], round(r["mean_value"], 3))
+        for r in rows.collect()
+    ]
+
+
+def test_windows_are_half_open_and_per_sensor(spark):
+    rows = curated(
+        spark,
+        [
+            ("temperature", 10.0, utc(2024, 1, 1, 0, 0), False),
+            ("temperature", 20.0, utc(2024, 1, 1, 0, 4, 59), True),
+            ("temperature", 40.0, utc(2024, 1, 1, 0, 5), True),
+            ("humidity", 50.0, utc(2024, 1, 1, 0, 1), False),
+        ],
+    )
+    averages = window_averages(rows)
+    assert [f.name for f in averages.schema] == [n for n in CONSUMPTION.names if n != "batch_id"]
+    found = sorted(
+        (r["sensor_type"], r["window_start"].minute, r["window_end"].minute, r["mean_value"],
+         r["min_value"], r["max_value"], r["observation_count"], r["anomaly_count"])
+        for r in averages.collect()
+    )
+    assert found == [
+        ("humidity", 0, 5, 50.0, 50.0, 50.0, 1, 0),
+        ("temperature", 0, 5, 15.0, 10.0, 20.0, 2, 1),
+        ("temperature", 5, 10, 40.0, 40.0, 40.0, 1, 1),
+    ]
+    assert {(r["use_case"], r["year"], r["month"]) for r in averages.collect()} == {
+        ("sensor_averages", 2024, 1)
+    }
+
+
+def test_late_rows_miss_the_windows_but_stay_curated(spark, log):
+    log.add(reading(1, 1.0)).add(reading(20, 9.0)).add(reading(21, 9.0))
+    log.add(reading(3, 33.0), reading(21, 2.0)).add(reading(30, 2.0))
+    job = log.job()
+    drain(job.start(log.stream()))
+    assert emitted(spark, job) == [
+        (0, 0, 1, 1.0),
+        (1, 20, 1, 9.0),
+        (2, 20, 2, 9.0),
+        (3, 20, 3, 6.667),
+        (4, 30, 1, 2.0),
+    ]
+    assert read_curated(spark, job.lake).count() == 6
+    assert read_raw(spark, job.lake).count() == 6
+
+
+def test_row_right_after_the_advance_is_still_accepted(spark, log):
+    log.add(reading(1, 1.0)).add(reading(20, 9.0)).add(reading(3, 3.0))
+    job = log.job()
+    drain([job.start_windows(log.stream())])
+    assert (2, 0, 2, 2.0) in emitted(spark, job)
+
+
+def test_latest_revision_equals_the_batch_result(spark, log):
+    for part in range(5):
+        log.add(*[reading(m, float(m + part)) for m in range(part, 10 + part)])
+    job = log.job(watermark="1 hour")
+    drain([job.start_windows(log.stream())])
+    revisions = read_consumption(spark, job.lake)
+    expected = window_averages(curated_readings(raw_envelope(log.batch())))
+    latest = latest_revision(revisions).drop("batch_id")
+    assert revisions.count() > latest.count() == 3
+    assert sorted(tuples(latest.select(*expected.columns))) == sorted(tuples(expected))
+
+
+def test_revisions_without_batch_number(spark):
+    rows = [
+        (utc(2024, 1, 1), utc(2024, 1, 1, 0, 5), "t", float(n), 0.0, 1.0, n, 0, "u", 2024, 1, batch)
+        for n, batch in [(1, None), (3, None), (2, None), (3, 4)]
+    ]
+    latest = latest_revision(spark.createDataFrame(rows, CONSUMPTION)).collect()
+    assert [(r["observation_count"], r["batch_id"]) for r in latest] == [(3, 4)]
+
+
+def test_append_mode_emits_closed_windows_once(spark, log):
+    for minute in (1, 2, 11, 22, 23, 40):
+        log.add(reading(minute, 1.0))
+    job = log.job()
+    drain([job.start_windows(log.stream(), output_mode="append")])
+    assert [row[1:3] for row in emitted(spark, job)] == [(0, 2), (10, 1), (20, 2)]
+
+
+def test_restart_goes_on_where_it_stopped(spark, log):
+    job = log.job()
+    log.add(reading(1, 10.0))
+    drain(job.start(log.stream()))
+    log.add(reading(2, 20.0))
+    drain(job.start(log.stream()))
+    drain(job.start(log.stream()))
+    assert [row[1:] for row in emitted(spark, job)] == [(0, 1, 10.0), (0, 2, 15.0)]
+    assert read_raw(spark, job.lake).count() == read_curated(spark, job.lake).count() == 2
+
+
+def test_crash_between_write_and_commit_leaves_no_duplicates(spark, log, monkeypatch):
+    log.add(reading(1, 10.0), reading(2, 20.0)).add(reading(3, 30.0))
+    job = log.job()
+    with monkeypatch.context() as patch:
+        for name in ("_raw", "_curate", "_consume"):
+            patch.setattr(IngestJob, name, _crash_after(getattr(IngestJob, name)))
+        with pytest.raises(ExceptionGroup) as caught:
+            drain(job.start(log.stream()))
+        assert len(caught.value.exceptions) == 3
+    before = sorted(tuples(read_curated(spark, job.lake)))
+    assert len(before) == 3
+    drain(job.start(log.stream()))
+    assert sorted(tuples(read_curated(spark, job.lake))) == before
+    assert read_raw(spark, job.lake).count() == 3
+    assert emitted(spark, job) == [(0, 0, 2, 15.0), (1, 0, 3, 20.0)]
+
+
+def _crash_after(sink):
+    """The sink, failing once its second batch is written but not committed."""
+
+    def crashing(self, batch, batch_id):
+        sink(self, batch, batch_id)
+        if batch_id == 1:
+            raise RuntimeError("crashed before the commit")
+
+    return crashing
+
+
+def test_lost_checkpoint_keeps_old_files_and_settles(spark, log):
+    log.add(reading(1, 10.0)).add(reading(2, 20.0))
+    job = log.job()
+    drain([job.start_windows(log.stream())])
+    again = IngestJob(job.lake, f"{log.root}/other", trigger_interval=None)
+    drain(again.start(ReplaySource(log.path).stream(spark)))
+    drain([log.job().start_windows(log.stream())])
+    assert read_consumption(spark, job.lake).count() == 3
+    latest = latest_revision(read_consumption(spark, job.lake)).collect()
+    assert [(r["observation_count"], r["mean_value"]) for r in latest] == [(2, 15.0)]
+
+
+def test_shared_batches_write_the_same_zones(spark, log):
+    log.add(reading(1, 10.0), payload(value=None)).add(reading(2, 20.0))
+    job = log.job()
+    drain(job.start(log.stream(), shared_batches=True))
+    assert read_raw(spark, job.lake).count() == 3
+    stored = read_curated(spark, job.lake)
+    assert stored.count() == 2
+    # Both zones come from one batch, so a message has one ingestion time.
+    keys = ["kafka_partition", "kafka_offset", "ingestion_time"]
+    assert stored.select(keys).exceptAll(read_raw(spark, job.lake).select(keys)).count() == 0
+
+
+def test_empty_batches_write_nothing(spark, log):
+    log.add(payload(value=None))
+    job = log.job()
+    drain(job.start(log.stream()))
+    assert os.path.exists(zone_path(job.lake, CONSUMPTION_ZONE)) is False
+    assert read_curated(spark, job.lake).count() == 0
+    assert read_raw(spark, job.lake).count() == 1
+
+
+def test_stateful_batch_is_evaluated_once(spark, log, monkeypatch):
+    """Writing and checking a batch must not run its plan, and its state, twice."""
+    log.add(reading(1, 1.0)).add(reading(20, 9.0)).add(reading(21, 9.0)).add(reading(3, 33.0))
+    log.add(reading(22, 9.0))
+    query = log.job().start_windows(log.stream())
+    query.awaitTermination()
+    dropped = sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+    assert dropped == 1
+
+
+def _failing(self, batch, batch_id):
+    raise RuntimeError("disk full")
+
+
+def test_drain_reports_the_failure_of_any_query(spark, log, monkeypatch):
+    monkeypatch.setattr(IngestJob, "_curate", _failing)
+    log.add(reading(1, 1.0))
+    job = log.job()
+    with pytest.raises(ExceptionGroup) as caught:
+        drain(job.start(log.stream()))
+    assert "disk full" in str(caught.value.exceptions[0])
+    assert read_raw(spark, job.lake).count() == 1
+    assert read_consumption(spark, job.lake).count() == 1
+
+
+def test_supervise_stops_all_when_one_fails(spark, log, monkeypatch):
+    monkeypatch.setattr(IngestJob, "_curate", _failing)
+    log.add(reading(1, 1.0))
+    queries = log.job(trigger_interval="1 second").start(log.stream())
+    with pytest.raises((StreamingQueryException, ExceptionGroup)):
+        supervise(spark, queries)
+    assert not any(query.isActive for query in queries)
+
+
+def test_append_layout_and_replay(spark, log):
+    log.add(reading(1, 1.0), reading(2, 2.0))
+    rows = curated_readings(raw_envelope(log.batch()))
+    for _ in range(2):
+        append_zone(rows, f"{log.root}/plain", CURATED_ZONE)
+    stored = read_curated(spark, f"{log.root}/plain")
+    assert stored.count() == 4
+    assert drop_replayed(stored).count() == 2
+
+
+def test_write_id_names_the_query(spark, log):
+    log.add(reading(1, 1.0))
+    seen = []
+    writer = log.stream().writeStream.foreachBatch(
+        lambda batch, n: (batch.count(), seen.append(ingest.write_id_of(batch, n)))
+    )
+    query = writer.option("checkpointLocation", f"{log.root}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert seen == [f"{query.id}-0"]
+
+
+def test_batch_run_is_repeatable(spark, log):
+    log.add(reading(1, 1.0), reading(9, 3.0))
+    arrived = F.lit("2024-06-01").cast("timestamp")
+    job = log.job()
+    for _ in range(2):
+        job.run_batch(log.batch(), write_id="backfill", ingestion_time=arrived)
+    assert read_raw(spark, job.lake).count() == read_curated(spark, job.lake).count() == 2
+    assert read_consumption(spark, job.lake).count() == 2
