@@ -14,7 +14,10 @@ class Settings:
     # Shared storage; there is no default because a cluster has no common /tmp.
     lake_root: str | None = None
     checkpoint_root: str | None = None
+    # Streams keep this number for the life of their checkpoint.
     shuffle_partitions: int = 6
+    # First split of batch shuffles, merged again as their size allows.
+    batch_partitions: int | None = None
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> Settings:

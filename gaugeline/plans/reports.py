@@ -72,7 +72,8 @@ def in_partition(curated: DataFrame, sensor_type: str, year: int, month: int, da
 
 def first_partition(curated: DataFrame) -> tuple[str, int, int, int] | None:
     """Keys of the first partition in sort order, None without data."""
-    first = curated.agg(F.min(F.struct(*PARTITION_KEYS)).alias("keys")).first()["keys"]
+    distinct = curated.select(*PARTITION_KEYS).distinct()
+    first = distinct.agg(F.min(F.struct(*PARTITION_KEYS)).alias("keys")).first()["keys"]
     return tuple(first) if first is not None else None
 
 

@@ -43,11 +43,12 @@ def build_session(
 ) -> SparkSession:
     """A session for the jobs of this package.
 
-    ``shuffle_partitions`` matters for streams, which keep the number of their
-    first checkpoint; batch plans are resized by adaptive execution.
-    ``large_state`` moves window state out of the JVM heap.
+    ``large_state`` moves window state out of the JVM heap. On a large cluster
+    set ``batch_partitions`` to a few times the number of cores: few shuffle
+    partitions suit a stream's small state, but would hold back a backfill.
     """
     settings = settings or Settings.from_env()
+    split = settings.batch_partitions
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -56,6 +57,7 @@ def build_session(
         **RUNTIME_SETTINGS,
         **BUILD_SETTINGS,
         "spark.sql.shuffle.partitions": str(settings.shuffle_partitions),
+        **({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(split)} if split else {}),
         **({"spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER} if large_state else {}),
         **(extra or {}),
     }

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, Zone
+from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, WRITE_ID, Zone
 
 CURATED_VIEW = "curated_readings"
 
@@ -14,11 +15,14 @@ def zone_path(root: str, zone: Zone) -> str:
     return f"{str(root).rstrip('/')}/{zone.name}"
 
 
-def read_zone(spark: SparkSession, root: str, zone: Zone) -> DataFrame:
-    """A zone with its declared schema; partition columns keep their types.
+def read_zone(
+    spark: SparkSession, root: str, zone: Zone, *, write_id: str | None = None
+) -> DataFrame:
+    """A zone, or what one write put there, with its declared schema.
 
-    A zone that does not exist yet reads as an empty frame. Files that cannot be
-    read are an error, they are never taken for missing data.
+    Partition columns keep their types. A zone that does not exist yet reads as
+    an empty frame. Files that cannot be read are an error, they are never taken
+    for missing data.
     """
     reader = spark.read.schema(zone.stored_schema).format(zone.format)
     try:
@@ -27,6 +31,8 @@ def read_zone(spark: SparkSession, root: str, zone: Zone) -> DataFrame:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], zone.schema)
+    if write_id is not None:
+        stored = stored.where(F.col(WRITE_ID) == write_id)
     return stored.select(*zone.columns)
 
 

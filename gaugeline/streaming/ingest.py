@@ -13,7 +13,9 @@ from gaugeline.functions.rules import RuleSet
 from gaugeline.operators.decode import curated_readings, readings_of
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.operators.windows import WATERMARK, WINDOW, window_averages
+from gaugeline.schemas import CURATED_ZONE
 from gaugeline.sinks.zones import write_consumption, write_curated, write_raw
+from gaugeline.sources.lake import read_zone
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -23,7 +25,8 @@ class IngestJob:
     """Where a job reads its rules, writes its zones and keeps its progress.
 
     ``checkpoints`` and ``lake`` must be folders that all executors share.
-    ``trigger_interval`` None drains what is available and stops.
+    ``trigger_interval`` None drains what is available and stops. ``label`` goes
+    before the query names, so that several jobs can share a session.
     """
 
     lake: str
@@ -33,6 +36,7 @@ class IngestJob:
     watermark: str = WATERMARK
     max_future_skew: str | None = None
     trigger_interval: str | None = "10 seconds"
+    label: str = ""
 
     def start(self, messages: DataFrame, *, shared_batches: bool = False) -> list[StreamingQuery]:
         """Start the writers of all zones.
@@ -68,14 +72,15 @@ class IngestJob:
     ) -> None:
         """The same zones from a bounded set of messages, such as a backfill.
 
-        Running again with the same ``write_id`` and ``ingestion_time`` replaces
-        the first result.
+        The windows are made from the curated files just written, so the messages
+        are decoded once. Running again with the same ``write_id`` and
+        ``ingestion_time`` replaces the first result.
         """
         raw = raw_envelope(messages, ingestion_time=ingestion_time)
         write_raw(raw, self.lake, write_id=write_id)
         write_curated(self._curated(raw), self.lake, write_id=write_id)
-        readings = readings_of(raw, self.rules, max_future_skew=self.max_future_skew)
-        averages = window_averages(readings, window=self.window, watermark=self.watermark)
+        written = read_zone(messages.sparkSession, self.lake, CURATED_ZONE, write_id=write_id)
+        averages = window_averages(written, window=self.window, watermark=self.watermark)
         write_consumption(averages, self.lake, write_id=write_id, batch_id=0)
 
     def _curated(self, raw: DataFrame) -> DataFrame:
@@ -86,7 +91,7 @@ class IngestJob:
     ) -> StreamingQuery:
         writer = (
             rows.writeStream.foreachBatch(sink)
-            .queryName(name)
+            .queryName(f"{self.label}{name}")
             .outputMode(output_mode)
             .option("checkpointLocation", f"{self.checkpoints.rstrip('/')}/{name}")
         )

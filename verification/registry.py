@@ -187,7 +187,11 @@ def window_averages_batch(spark, directory):
 def _job(spark: SparkSession, label: str, **options) -> IngestJob:
     scratch = scratch_dir(spark, label)
     return IngestJob(
-        f"{scratch}/lake", f"{scratch}/checkpoints", trigger_interval=None, **options
+        f"{scratch}/lake",
+        f"{scratch}/checkpoints",
+        trigger_interval=None,
+        label=f"{label}-",
+        **options,
     )
 
 
