@@ -9,48 +9,40 @@ from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, WRITE_ID
 from gaugeline.sources.lake import zone_path
 
 
-def write_zone(rows: DataFrame, root: str, zone: Zone, *, write_id: str) -> None:
+def write_zone(rows: DataFrame, root: str, zone: Zone, *, write_id: str | None) -> None:
     """Add rows to a zone, under a directory named after this write.
 
     Partition values and ``write_id`` are functions of the rows and the write, so
     repeating a write after a crash replaces exactly the files of the first try:
     no duplicates, and files of other writes are not touched.
-    """
-    (
-        rows.select(*zone.columns)
-        .withColumn(WRITE_ID, F.lit(write_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*zone.partitions, WRITE_ID)
-        .format(zone.format)
-        .options(**({"compression": "snappy"} if zone.format == "parquet" else {}))
-        .save(zone_path(root, zone))
-    )
-
-
-def append_zone(rows: DataFrame, root: str, zone: Zone) -> None:
-    """Plain append in the layout without write directories.
 
-    For stores without directory replacement. A repeated write stores its rows
-    again; read such a zone through ``operators.decode.drop_replayed``.
+    Without ``write_id`` rows are appended in the plain layout, for lakes that
+    have it already and for stores without directory replacement. A repeated
+    write then stores its rows again; ``operators.decode.drop_replayed`` removes
+    them on reading. One zone can only have one of the two layouts.
     """
-    (
-        rows.select(*zone.columns)
-        .write.mode("append")
-        .partitionBy(*zone.partitions)
-        .format(zone.format)
-        .options(**({"compression": "snappy"} if zone.format == "parquet" else {}))
-        .save(zone_path(root, zone))
-    )
-
-
-def write_raw(rows: DataFrame, root: str, *, write_id: str) -> None:
+    writer = rows.select(*zone.columns)
+    partitions = zone.partitions
+    if write_id is not None:
+        writer = writer.withColumn(WRITE_ID, F.lit(write_id))
+        partitions = (*partitions, WRITE_ID)
+    writer = writer.write.format(zone.format).partitionBy(*partitions)
+    if zone.format == "parquet":
+        writer = writer.option("compression", "snappy")
+    if write_id is None:
+        writer = writer.mode("append")
+    else:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.save(zone_path(root, zone))
+
+
+def write_raw(rows: DataFrame, root: str, *, write_id: str | None) -> None:
     """All rows of a batch share one ingestion hour, so every task writes one
     file and a shuffle would gain nothing."""
     write_zone(rows, root, RAW_ZONE, write_id=write_id)
 
 
-def write_curated(rows: DataFrame, root: str, *, write_id: str) -> None:
+def write_curated(rows: DataFrame, root: str, *, write_id: str | None) -> None:
     """Rows are gathered by partition to keep the file count low.
 
     ``rebalance`` sizes the result adaptively: small partitions share a task and
@@ -60,7 +52,9 @@ def write_curated(rows: DataFrame, root: str, *, write_id: str) -> None:
     write_zone(gathered, root, CURATED_ZONE, write_id=write_id)
 
 
-def write_consumption(rows: DataFrame, root: str, *, write_id: str, batch_id: int) -> None:
+def write_consumption(
+    rows: DataFrame, root: str, *, write_id: str | None, batch_id: int
+) -> None:
     """Stateful batches run without adaptive execution, so this gathers by a
     plain shuffle. A sensor and month hold at most some 9,000 five-minute
     windows, however many readings went into them."""

@@ -27,6 +27,8 @@ class IngestJob:
     ``checkpoints`` and ``lake`` must be folders that all executors share.
     ``trigger_interval`` None drains what is available and stops. ``label`` goes
     before the query names, so that several jobs can share a session.
+    ``plain_layout`` continues a lake without write directories, where a batch
+    repeated after a crash is stored twice.
     """
 
     lake: str
@@ -37,6 +39,7 @@ class IngestJob:
     max_future_skew: str | None = None
     trigger_interval: str | None = "10 seconds"
     label: str = ""
+    plain_layout: bool = False
 
     def start(self, messages: DataFrame, *, shared_batches: bool = False) -> list[StreamingQuery]:
         """Start the writers of all zones.
@@ -99,16 +102,19 @@ class IngestJob:
             return writer.trigger(availableNow=True).start()
         return writer.trigger(processingTime=self.trigger_interval).start()
 
+    def _write_id(self, batch: DataFrame, batch_id: int) -> str | None:
+        return None if self.plain_layout else write_id_of(batch, batch_id)
+
     # A stateless batch can be looked at twice: finding one row costs little, and
     # keeping the whole batch would cost more than reading it again.
 
     def _raw(self, batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            write_raw(batch, self.lake, write_id=write_id_of(batch, batch_id))
+            write_raw(batch, self.lake, write_id=self._write_id(batch, batch_id))
 
     def _curate(self, batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            write_curated(batch, self.lake, write_id=write_id_of(batch, batch_id))
+            write_curated(batch, self.lake, write_id=self._write_id(batch, batch_id))
 
     # A batch used for two writes, or one that carries window state, is evaluated
     # once: a second run of a stateful plan would update its state twice.
@@ -117,7 +123,7 @@ class IngestJob:
         kept = batch.persist()
         try:
             if not kept.isEmpty():
-                write_id = write_id_of(batch, batch_id)
+                write_id = self._write_id(batch, batch_id)
                 write_raw(kept, self.lake, write_id=write_id)
                 write_curated(self._curated(kept), self.lake, write_id=write_id)
         finally:
@@ -128,7 +134,7 @@ class IngestJob:
         try:
             if not kept.isEmpty():
                 write_consumption(
-                    kept, self.lake, write_id=write_id_of(batch, batch_id), batch_id=batch_id
+                    kept, self.lake, write_id=self._write_id(batch, batch_id), batch_id=batch_id
                 )
         finally:
             kept.unpersist()

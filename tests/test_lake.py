@@ -18,7 +18,7 @@ from gaugeline.operators.envelope import raw_envelope
 from gaugeline.plans import reports, serving
 from gaugeline.schemas import CURATED, CURATED_ZONE, KAFKA_RECORD, RAW, RAW_ZONE
 from gaugeline.sinks.reports import save_report
-from gaugeline.sinks.zones import append_zone, write_curated, write_zone
+from gaugeline.sinks.zones import write_curated, write_zone
 from gaugeline.sources.lake import (
     read_consumption,
     read_curated,
@@ -242,7 +242,7 @@ def test_raw_zone_round_trip(spark):
     root = folder()
     arrived = F.lit("2024-06-30 23:15:00.25").cast("timestamp")
     raw = raw_envelope(messages(spark, [payload(), 'a "quoted"\ntext', None]), ingestion_time=arrived)
-    append_zone(raw, root, RAW_ZONE)
+    write_zone(raw, root, RAW_ZONE, write_id=None)
     layout = "source=kafka/topic=sensor-events/year=2024/month=6/day=30/hour=23"
     assert glob.glob(f"{zone_path(root, RAW_ZONE)}/{layout}/*.json")
     assert sorted(tuples(read_raw(spark, root)), key=str) == sorted(tuples(raw), key=str)

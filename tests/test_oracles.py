@@ -1,11 +1,13 @@
 """Every registered query against its SQL, on whole tables."""
 
+import os
+
 import pytest
 from comparison import duck, rows_of_duck, rows_of_spark
 
 import __spark_entry__ as driver
 
-DIRECTORY = "/root/testdata/sf0.01"
+DIRECTORY = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 def test_every_query_has_sql():

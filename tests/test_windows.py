@@ -13,7 +13,6 @@ from gaugeline.operators.decode import curated_readings, drop_replayed
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.operators.windows import latest_revision, window_averages
 from gaugeline.schemas import CONSUMPTION, CONSUMPTION_ZONE, CURATED_ZONE
-from gaugeline.sinks.zones import append_zone
 from gaugeline.sources.lake import read_consumption, read_curated, read_raw, zone_path
 from gaugeline.sources.messages import ReplaySource
 from gaugeline.streaming import ingest
@@ -255,14 +254,21 @@ def test_supervise_stops_all_when_one_fails(spark, log, monkeypatch):
     assert not any(query.isActive for query in queries)
 
 
-def test_append_layout_and_replay(spark, log):
-    log.add(reading(1, 1.0), reading(2, 2.0))
-    rows = curated_readings(raw_envelope(log.batch()))
-    for _ in range(2):
-        append_zone(rows, f"{log.root}/plain", CURATED_ZONE)
-    stored = read_curated(spark, f"{log.root}/plain")
+def test_plain_layout_and_replay(spark, log, monkeypatch):
+    log.add(reading(1, 1.0), reading(2, 2.0)).add(reading(7, 3.0))
+    job = log.job(plain_layout=True)
+    with monkeypatch.context() as patch:
+        patch.setattr(IngestJob, "_curate", _crash_after(IngestJob._curate))
+        with pytest.raises(ExceptionGroup):
+            drain(job.start(log.stream()))
+    drain(job.start(log.stream()))
+    stored = read_curated(spark, job.lake)
+    assert sorted(os.listdir(zone_path(job.lake, CURATED_ZONE) + "/domain=iot")) == [
+        "sensor_type=temperature"
+    ]
     assert stored.count() == 4
-    assert drop_replayed(stored).count() == 2
+    assert drop_replayed(stored).count() == 3
+    assert emitted(spark, job) == [(0, 0, 2, 1.5), (1, 5, 1, 3.0)]
 
 
 def test_write_id_names_the_query(spark, log):

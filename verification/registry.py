@@ -145,9 +145,7 @@ def recent_anomalies(spark, directory):
 
 
 def recent_anomalies_of_sensor(spark, directory):
-    return _plain_times(
-        serving.recent_anomalies(_curated(spark, directory), "temperature", 500, as_of=AS_OF)
-    )
+    return _plain_times(serving.recent_anomalies(_curated(spark, directory), "temperature", 500))
 
 
 def latest_reading(spark, directory):
