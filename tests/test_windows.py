@@ -13,6 +13,7 @@ from gaugeline.operators.decode import curated_readings, drop_replayed
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.operators.windows import latest_revision, window_averages
 from gaugeline.schemas import CONSUMPTION, CONSUMPTION_ZONE, CURATED_ZONE
+from gaugeline.session import ROCKSDB_PROVIDER
 from gaugeline.sources.lake import read_consumption, read_curated, read_raw, zone_path
 from gaugeline.sources.messages import ReplaySource
 from gaugeline.streaming import ingest
@@ -282,6 +283,17 @@ def test_write_id_names_the_query(spark, log):
     assert seen == [f"{query.id}-0"]
 
 
+def test_state_may_live_outside_the_heap(spark, log):
+    log.add(reading(1, 10.0)).add(reading(2, 20.0))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    try:
+        job = log.job()
+        drain([job.start_windows(log.stream())])
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert [row[1:] for row in emitted(spark, job)] == [(0, 1, 10.0), (0, 2, 15.0)]
+
+
 def test_batch_run_is_repeatable(spark, log):
     log.add(reading(1, 1.0), reading(9, 3.0))
     arrived = F.lit("2024-06-01").cast("timestamp")
