@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,8 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import gaugeline
 from gaugeline.session import scratch_dir
 
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(gaugeline.__file__)))
+
 # Rows in one Arrow batch of texts: a batch of long documents stays small.
 TEXT_ROWS = 256
 
@@ -52,10 +56,23 @@ def map_arrow(
             for start in range(0, batch.num_rows, rows):
                 yield batch.slice(start, rows)
 
-    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark = frame.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    share_package(spark)
     return frame.mapInArrow(lambda batches: work(cut(batches)), schema)
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster has it installed, or shipped with ``--py-files``; this serves
+    sessions that were started without it on their path.
+    """
+    env = spark.sparkContext.environment
+    if PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [PACKAGE_ROOT, env.get("PYTHONPATH")]))
+
+
 def row_numbers() -> Iterator[int]:
     """Numbers no other task of the job gives out: task in the high bits."""
     base = TaskContext.get().partitionId() << 40

@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gaugeline.llm import token_store
+from gaugeline.llm import simhash, token_store, url_filter
 from gaugeline.llm.common import table
+from gaugeline.llm.oracles import URL_FILTER_SQL
 from gaugeline.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = url_filter.UrlRules(
+    rules=(
+        ("block", "net/"),
+        ("allow", "example.net/en/"),
+        ("block", "example.com/de/"),
+        ("allow", "org/fr/"),
+    )
+)
+
 
 def op1_token_store(spark: SparkSession, directory: str) -> DataFrame:
     path = scratch_dir(spark, "token-store")
@@ -25,5 +36,20 @@ def op1_token_store(spark: SparkSession, directory: str) -> DataFrame:
     return token_store.document_digests(token_store.read_segments(spark, path))
 
 
-QUERIES: dict[str, Query] = {"op1_token_store": op1_token_store}
-ORACLES: dict[str, str] = {}
+def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
+    judged = url_filter.judge_urls(table(spark, directory, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
+    groups = simhash.simhash_groups(table(spark, directory, "documents"), shingle=3, radius=3)
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return groups.select("doc_id", fingerprint, "component_id")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_token_store": op1_token_store,
+    "op7_url_filter": op7_url_filter,
+    "op10_simhash": op10_simhash,
+}
+ORACLES: dict[str, str] = {"op7_url_filter": URL_FILTER_SQL}
