@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from gaugeline.llm.line_dedup import ALONE, WINDOW
 from gaugeline.llm.url_filter import SOFT_LIMIT, SOFT_TERMS, STRICT_TERMS, UPPER
 
 
@@ -36,3 +37,35 @@ SELECT page_id, host, path, rule,
          OR {_terms(SOFT_TERMS)} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
+
+
+LINE_DEDUP_SQL = f"""
+WITH split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+numbered AS (
+  SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line FROM split),
+lines AS (
+  SELECT doc_id, line, trim(raw, ' ' || chr(9) || chr(13)) AS l FROM numbered
+  WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''),
+slid AS (
+  SELECT doc_id, line, l, list(l) OVER following AS run, list(line) OVER following AS numbers,
+         row_number() OVER (PARTITION BY doc_id ORDER BY line) AS place,
+         count(*) OVER (PARTITION BY doc_id) AS n
+  FROM lines
+  WINDOW following AS (PARTITION BY doc_id ORDER BY line
+                       ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+windows AS (
+  SELECT doc_id, line, run, numbers FROM slid
+  WHERE len(run) > 1 AND (len(run) = {WINDOW} OR place = 1)
+    AND len(list_filter(run, lambda x: length(x) < {ALONE})) > 0
+  UNION ALL
+  SELECT doc_id, line, [l], [line] FROM slid WHERE length(l) >= {ALONE}),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, line) AS met FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(numbers) AS line FROM ranked WHERE met > 1)
+SELECT split.doc_id, any_value(len(parts)) AS n_lines, count(gone.line) AS n_removed,
+       coalesce(string_agg(raw, chr(10) ORDER BY numbered.line) FILTER (gone.line IS NULL), '') AS text
+FROM split JOIN numbered USING (doc_id) LEFT JOIN gone USING (doc_id, line)
+GROUP BY split.doc_id
+"""

@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import simhash, token_store, url_filter
+from gaugeline.llm import line_dedup, quality, simhash, token_store, url_filter
 from gaugeline.llm.common import table
-from gaugeline.llm.oracles import URL_FILTER_SQL
+from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
 from gaugeline.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,22 @@ def op1_token_store(spark: SparkSession, directory: str) -> DataFrame:
     return token_store.document_digests(token_store.read_segments(spark, path))
 
 
+def op3_quality(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    forest = quality.fit_quality(docs, table(spark, directory, "labels"))
+    return quality.score_quality(docs, forest).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
+def op6_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    return line_dedup.drop_repeated_lines(docs, counts=True)
+
+
 def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, directory, "pages"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -49,7 +65,12 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
+    "op3_quality": op3_quality,
+    "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
     "op10_simhash": op10_simhash,
 }
-ORACLES: dict[str, str] = {"op7_url_filter": URL_FILTER_SQL}
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": LINE_DEDUP_SQL,
+    "op7_url_filter": URL_FILTER_SQL,
+}
