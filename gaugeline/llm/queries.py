@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontaminate, line_dedup, quality, simhash, token_store, url_filter
+from gaugeline.llm import decontaminate, line_dedup, nearest, packing, quality, simhash, token_store, url_filter
 from gaugeline.llm.common import table
 from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
 from gaugeline.session import scratch_dir
@@ -62,6 +62,14 @@ def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.pack(table(spark, directory, "documents"))
+
+
+def op9_nearest(spark: SparkSession, directory: str) -> DataFrame:
+    return nearest.nearest(table(spark, directory, "embeddings"), k=5, query_every=50)
+
+
 def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, directory, "documents"), shingle=3, radius=3)
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
@@ -74,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_packing": op8_packing,
+    "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
 }
 ORACLES: dict[str, str] = {
