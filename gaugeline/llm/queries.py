@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontaminate, line_dedup, nearest, packing, quality, simhash, token_store, url_filter
+from gaugeline.llm import decontaminate, line_dedup, nearest, packing, passages, quality, simhash, token_store, url_filter
 from gaugeline.llm.common import table
 from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
 from gaugeline.session import scratch_dir
@@ -47,6 +47,10 @@ def op3_quality(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op4_passages(spark: SparkSession, directory: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, directory, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     return decontaminate.contaminated(docs, table(spark, directory, "benchmark"))
@@ -79,6 +83,7 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
     "op3_quality": op3_quality,
+    "op4_passages": op4_passages,
     "op5_decontaminate": op5_decontaminate,
     "op6_line_dedup": op6_line_dedup,
     "op7_url_filter": op7_url_filter,
