@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import decontaminate, line_dedup, nearest, packing, passages, quality, simhash, token_store, url_filter
+from gaugeline.llm import (
+    decontaminate,
+    lattice_lm,
+    line_dedup,
+    nearest,
+    packing,
+    passages,
+    quality,
+    simhash,
+    token_store,
+    url_filter,
+)
 from gaugeline.llm.common import table
 from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
 from gaugeline.session import scratch_dir
@@ -36,6 +47,11 @@ def op1_token_store(spark: SparkSession, directory: str) -> DataFrame:
     return token_store.document_digests(token_store.read_segments(spark, path))
 
 
+def op2_lattice_lm(spark: SparkSession, directory: str) -> DataFrame:
+    vocabulary = lattice_lm.Vocabulary.of(public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice_lm.score_texts(table(spark, directory, "documents"), vocabulary)
+
+
 def op3_quality(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     forest = quality.fit_quality(docs, table(spark, directory, "labels"))
@@ -82,6 +98,7 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
+    "op2_lattice_lm": op2_lattice_lm,
     "op3_quality": op3_quality,
     "op4_passages": op4_passages,
     "op5_decontaminate": op5_decontaminate,
