@@ -31,6 +31,14 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def fresh_name(frame: DataFrame, name: str) -> str:
+    """A column name the frame does not have."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = f"{name}_"
+    return name
+
+
 def saved(frame: DataFrame, label: str) -> DataFrame:
     """The frame written to shared scratch space and read back.
 

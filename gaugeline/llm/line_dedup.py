@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import column
+from gaugeline.llm.common import column, fresh_name
 
 WINDOW = 3
 ALONE = 40
@@ -106,29 +106,31 @@ def drop_repeated_lines(
     text_column: str = "text",
     window: int = WINDOW,
     alone: int = ALONE,
-    counts: bool = False,
+    lines_column: str | None = None,
+    removed_column: str | None = None,
 ) -> DataFrame:
     """The rows of ``docs`` with all their columns and the cleaned text.
 
-    With ``counts`` also ``n_lines`` and ``n_removed``.
+    Where names are given for them, also the numbers of lines before, and of those removed.
     """
     gone = repeated_lines(
         docs, id_column=id_column, text_column=text_column, window=window, alone=alone
-    ).select(F.col("id").alias("_gone_id"), F.col("mark").alias("_gone_mark"), "removed")
-    text = column(text_column).cast("string")
-    joined = docs.join(
-        gone.withColumnRenamed("removed", "_gone_lines"),
-        column(id_column).eqNullSafe(F.col("_gone_id"))
-        & (F.xxhash64(text) == F.col("_gone_mark")),
-        "left",
     )
+    own_id, own_mark, own_lines = (fresh_name(docs, n) for n in ("gone_id", "gone_mark", "gone_lines"))
+    gone = gone.select(
+        F.col("id").alias(own_id), F.col("mark").alias(own_mark), F.col("removed").alias(own_lines)
+    )
+    text, removed = column(text_column).cast("string"), column(own_lines)
+    same = column(id_column).eqNullSafe(column(own_id)) & (F.xxhash64(text) == column(own_mark))
+    joined = docs.join(gone, same, "left")
     names = [
-        _kept_text(text, F.col("_gone_lines")).alias(name) if name == text_column else column(name)
+        _kept_text(text, removed).alias(name) if name == text_column else column(name)
         for name in docs.columns
     ]
-    if counts:
+    if lines_column:
         n_lines = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1)))
-        removed = F.coalesce(F.size("_gone_lines"), F.lit(0))
-        n_removed = F.when(F.col("_gone_lines").isNull(), 0).otherwise(removed)
-        names += [n_lines.cast("bigint").alias("n_lines"), n_removed.cast("bigint").alias("n_removed")]
+        names.append(n_lines.cast("bigint").alias(lines_column))
+    if removed_column:
+        n_removed = F.when(removed.isNull(), 0).otherwise(F.size(removed))
+        names.append(n_removed.cast("bigint").alias(removed_column))
     return joined.select(*names)

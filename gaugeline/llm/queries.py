@@ -74,7 +74,9 @@ def op5_decontaminate(spark: SparkSession, directory: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
-    return line_dedup.drop_repeated_lines(docs, counts=True)
+    return line_dedup.drop_repeated_lines(
+        docs, lines_column="n_lines", removed_column="n_removed"
+    )
 
 
 def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:

@@ -17,14 +17,15 @@ its rows lack one. An empty table gives no rows; further columns are not looked
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gaugeline.llm.common import column, map_arrow, saved
+from gaugeline.llm.common import column, fresh_name, map_arrow, row_numbers, saved
 from gaugeline.llm.components import connected_components
 
 SEED = 42
@@ -215,6 +216,16 @@ def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
     return map_arrow(tasks.select("fps"), work, "a bigint, b bigint", rows=512).distinct()
 
 
+def _group_firsts(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, group_first): the least ``first`` in the group of each fingerprint."""
+    groups = connected_components(fingerprint_links(prints, radius))
+    rooted = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    firsts = rooted.groupBy("root").agg(F.min("first").alias("group_first"))
+    return rooted.join(firsts, "root").select("fp", "group_first")
+
+
 def simhash_groups(
     docs: DataFrame,
     *,
@@ -228,12 +239,37 @@ def simhash_groups(
         fingerprints(docs, shingle=shingle, id_column=id_column, text_column=text_column),
         "fingerprints",
     )
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
-    links = fingerprint_links(prints, radius)
-    groups = connected_components(links)
-    rooted = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_doc", F.coalesce("root", "fp").alias("root")
-    )
-    ids = rooted.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    named = _group_firsts(prints, radius)
+    return rows.join(named, "fp").select("doc_id", "fp", F.col("group_first").alias("component_id"))
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    *,
+    shingle: int,
+    radius: int,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """One row of each group, with all columns: one of the smallest id, rows without id last."""
+    place = docs.columns.index(text_column)
+    fp, number = fresh_name(docs, "fp"), fresh_name(docs, "row_number")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = row_numbers()
+        for batch in batches:
+            texts = batch.column(place).cast(pa.string()).cast(pa.binary()).to_pylist()
+            found = np.array([fingerprint(t or b"", shingle) for t in texts], dtype=np.uint64)
+            own = np.fromiter(islice(numbers, len(texts)), np.int64, len(texts))
+            yield batch.append_column(fp, pa.array(found.view(np.int64))).append_column(
+                number, pa.array(own)
+            )
+
+    longs = [T.StructField(name, T.LongType()) for name in (fp, number)]
+    marked = saved(map_arrow(docs, work, T.StructType([*docs.schema.fields, *longs])), "marked")
+    doc_id = column(id_column).cast("bigint")
+    first = F.struct(doc_id.isNull().alias("no_id"), doc_id.alias("id"), column(number).alias("row"))
+    prints = marked.groupBy(column(fp).alias("fp")).agg(F.min(first).alias("first"))
+    kept = _group_firsts(prints, radius).select(F.col("group_first.row").alias(number)).distinct()
+    return marked.join(kept, number, "left_semi").select(*map(column, docs.columns))
