@@ -19,9 +19,9 @@ gives an empty store. Further columns are not looked at.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
@@ -35,7 +35,7 @@ from gaugeline.llm.common import column, map_arrow, partitions
 
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 700_000
 
 SEGMENT = (
     "part int, segment int, part_start bigint, n_tokens bigint, doc_ids array<bigint>, "
@@ -123,48 +123,85 @@ class Codes:
 
 # ---- encoding of texts
 
-class PieceEncoder:
-    """Whole texts to ids, with the ids of white-space-led pieces remembered.
+class Uncuttable(Exception):
+    """The text has white space or marks at which it can't be cut."""
 
-    A byte-level tokenizer of this kind never joins a non-space character with
-    white space after it. So text whose only white space is a single space or
-    line feed between words can be cut before each of them, and equal pieces are
-    encoded once. Any other text goes through the tokenizer as a whole.
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+class PieceEncoder(dict):
+    """Whole texts to ids, by remembered ids of words.
+
+    A byte-level tokenizer of this kind never joins a non-space character with the
+    white space after it, nor a letter with a mark of punctuation. So a text whose only
+    white space is a single space or line feed between words is cut before each of
+    them, and equal words are encoded once; words of letters go straight to the
+    tokenizer's model. Any other text goes through the tokenizer as a whole.
+
+    Keys are words; one that begins with a line feed had that before it, any other
+    a space.
     """
 
-    _ODD = re.compile(r"[ \n]{2}|[^\S \n]|[ \n]\Z|<\|")
+    _MARKS = ".,;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=np.uint32).tobytes() for e in encoded]
-
-    def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
-        cut = [None if self._ODD.search(t) else self._pieces(t) for t in texts]
-        new = set().union(*(c for c in cut if c)) - self.known.keys()
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known.clear()
-            new = set().union(*(c for c in cut if c))
-        missing = list(new)
-        self.known.update(zip(missing, self._encode(missing)))
-        whole = iter(self._encode([t for t, c in zip(texts, cut) if c is None]))
-        get = self.known.__getitem__
-        parts = (next(whole) if c is None else b"".join(map(get, c)) for c in cut)
-        return [np.frombuffer(p, np.uint32) for p in parts]
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        if not text:
-            return []
-        words = text.replace("\n", " \n").split(" ")
-        pieces = [w if w[:1] == "\n" else " " + w for w in words]
-        pieces[0] = words[0]
-        return pieces if words[0] else pieces[1:]
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.marks: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(found[0].ids, dtype=np.uint32).tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        shown = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def _piece(self, lead: str, word: str) -> bytes:
+        bare = word.rstrip(self._MARKS)
+        marks = word[len(bare) :]
+        if not bare.isalpha():
+            return self._whole(lead + word)
+        if marks and lead == " ":
+            return self[bare] + self._end(marks)
+        before = self._end(lead) if lead == "\n" else b""
+        joined = bare if before else lead + bare
+        return before + self._letters(joined) + (self._end(marks) if marks else b"")
+
+    def _end(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            self.marks[marks] = self._whole(marks)
+        return self.marks[marks]
+
+    def __missing__(self, word: str) -> bytes:
+        lead = "\n" if word[:1] == "\n" else " "
+        body = word.removeprefix("\n")
+        if body.split() != [body] or "<|" in body:
+            raise Uncuttable
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        self[word] = found = self._piece(lead, body)
+        return found
+
+    def encode(self, text: str) -> np.ndarray:
+        first, *words = text.replace("\n", " \n").split(" ")
+        try:
+            begin = self._piece("", first) if first and first.split() == [first] else b""
+            if first and not begin or "<|" in first:
+                raise Uncuttable
+            ids = begin + b"".join(map(self.__getitem__, words))
+        except Uncuttable:
+            ids = self._whole(text)
+        return np.frombuffer(ids, np.uint32)
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -204,7 +241,7 @@ def write_tokens(
     )
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer).encode
         part, number, before = TaskContext.get().partitionId(), 0, 0
         doc_ids: list[int | None] = []
         ids: list[np.ndarray] = []
@@ -232,7 +269,8 @@ def write_tokens(
         end = np.array([end_id], np.uint32)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for name, found in zip(names, encode(batch.column(1).to_pylist())):
+            for name, text in zip(names, batch.column(1).to_pylist()):
+                found = encode(text)
                 doc_ids.append(name)
                 ids.append(np.concatenate([found, end]))
                 size += len(found) + 1
