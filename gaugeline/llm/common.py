@@ -59,15 +59,19 @@ def map_arrow(
 ) -> DataFrame:
     """``mapInArrow`` with at most ``rows`` rows in a batch handed to Python."""
 
+    names = frame.columns
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
-                yield batch.slice(start, rows)
+                yield batch.slice(start, rows).rename_columns(names)
 
     spark = frame.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     share_package(spark)
-    return frame.mapInArrow(lambda batches: work(cut(batches)), schema)
+    # Passed by position, so names may be anything, dots included.
+    plain = frame.toDF(*(f"c{i}" for i in range(len(names))))
+    return plain.mapInArrow(lambda batches: work(cut(batches)), schema)
 
 
 def share_package(spark: SparkSession) -> None:
