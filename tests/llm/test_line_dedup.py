@@ -1,0 +1,75 @@
+import random
+
+import pytest
+from comparison import duck, rows_of_duck, rows_of_spark
+
+import __spark_entry__ as driver
+from gaugeline.llm import line_dedup as L
+
+WINDOW, ALONE = 3, 40
+
+
+def plain(rows, window=WINDOW, alone=ALONE):
+    """{row number: text} by looking every window up among all earlier ones."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
+    seen, out = set(), {}
+    for i in order:
+        text = rows[i][1]
+        if text is None:
+            out[i] = None
+            continue
+        parts = text.split("\n")
+        lines = [(n, p.strip(" \t\r")) for n, p in enumerate(parts) if p.strip(" \t\r")]
+        windows = [lines[k : k + window] for k in range(max(1, len(lines) - window + 1))]
+        windows = [w for w in windows if len(w) > 1 and any(len(x) < alone for _, x in w)]
+        windows += [[x] for x in lines if len(x[1]) >= alone]
+        gone = set()
+        for w in sorted(windows, key=lambda w: w[0][0]):
+            key = tuple(x for _, x in w)
+            gone |= {n for n, _ in w} if key in seen else set()
+            seen.add(key)
+        out[i] = "\n".join(p for n, p in enumerate(parts) if n not in gone)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_equals_lookup_of_every_window(texts, seed):
+    rng = random.Random(seed)
+    pool = [rng.choice("abcdef") * rng.choice([1, 2, 50]) for _ in range(14)] + ["", "  "]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(0, 12)))) for i in range(40)]
+    found = L.drop_repeated_lines(texts(rows)).collect()
+    expected = plain(rows)
+    assert {r.doc_id: r.text for r in found} == {rows[i][0]: t for i, t in expected.items()}
+
+
+def test_odd_rows(texts):
+    long = "x" * 45
+    rows = [(3, None), (1, ""), (2, f"{long}\n\n a"), (2, f"{long}\n\n a"), (None, long), (4, "\n".join([long] * 4000))]
+    frame = texts(rows)
+    found = L.drop_repeated_lines(frame, lines_column="n_lines", removed_column="n_removed")
+    assert found.columns == [*frame.columns, "n_lines", "n_removed"]
+    got = sorted((r.doc_id or 0, r.text, r.n_lines, r.n_removed) for r in found.collect() if r.doc_id != 3)
+    # The row without id comes first and keeps its line; equal rows are one document.
+    assert got == [(0, long, 1, 0), (1, "", 1, 0), (2, "\n a", 3, 1), (2, "\n a", 3, 1), (4, "", 4000, 4000)]
+    assert [(r.text, r.n_lines) for r in found.where("doc_id = 3").collect()] == [(None, 0)]
+    assert L.drop_repeated_lines(texts([])).count() == 0
+
+
+def test_runs_of_short_lines_need_a_window(texts):
+    rows = [(1, "a\nb\nc\nd"), (2, "a\nb\nx"), (3, "y\nb\nc\nd\nz"), (4, "a\nb")]
+    found = {r.doc_id: r.text for r in L.drop_repeated_lines(texts(rows)).collect()}
+    assert found == {1: "a\nb\nc\nd", 2: "a\nb\nx", 3: "y\nz", 4: "a\nb"}
+
+
+def test_no_python_in_the_plan(texts):
+    plan = L.drop_repeated_lines(texts([(1, "a")]))._jdf.queryExecution().toString()
+    assert "Arrow" not in plan and "Python" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("name", ["op6_line_dedup", "op7_url_filter"])
+def test_query_equals_sql(spark, name):
+    directory = "/root/testdata/sf0.01"
+    names, rows = rows_of_spark(driver.queries()[name](spark, directory))
+    expected_names, expected = rows_of_duck(duck(directory), driver.oracle_sql()[name])
+    assert names == expected_names
+    assert rows == expected and sum(rows.values()) > 0

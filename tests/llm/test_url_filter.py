@@ -1,0 +1,43 @@
+import pytest
+
+from gaugeline.llm import url_filter as U
+from gaugeline.llm.queries import URL_RULES
+
+
+@pytest.mark.parametrize(
+    ("url", "expected"),
+    [
+        (None, ("", "", None, "allow")),
+        ("", ("", "", None, "allow")),
+        ("casino.com/x", ("", "", None, "allow")),
+        ("HTTP://A.Example.NET/en/?q", ("a.example.net", "/en/", "example.net/en/", "allow")),
+        ("http://example.net/EN/", ("example.net", "/EN/", "net/", "block")),
+        ("http://xexample.com/de/", ("xexample.com", "/de/", None, "allow")),
+        ("http://x.example.com/de/a#f", ("x.example.com", "/de/a", "example.com/de/", "block")),
+        ("http://net", ("net", "", None, "allow")),
+        ("http://casino-win.org/fr/1", ("casino-win.org", "/fr/1", "org/fr/", "allow")),
+        ("http://casino-win.org/1", ("casino-win.org", "/1", None, "block")),
+        ("http://casinos.org/1", ("casinos.org", "/1", None, "allow")),
+        ("http://a.org/free", ("a.org", "/free", None, "allow")),
+        ("http://a.org/free-free", ("a.org", "/free-free", None, "allow")),
+        ("http://a.org/free?bets", ("a.org", "/free", None, "block")),
+        ("http://a.org://net/", ("a.org:", "//net/", None, "allow")),
+        ("http://net:80/", ("net:80", "/", None, "allow")),
+        ("http://É.NET/ü", ("É.net", "/ü", "net/", "block")),
+        ("x://" + "a." * 5000 + "net/" + "b" * 5000, None),
+    ],
+)
+def test_verdicts(spark, texts, url, expected):
+    row = U.judge_urls(texts([(1, url)]), URL_RULES, id_column="doc_id", url_column="text").first()
+    if expected is None:
+        assert (row.rule, row.verdict) == ("net/", "block")
+    else:
+        assert (row.host, row.path, row.rule, row.verdict) == expected
+
+
+def test_ties_and_no_terms(spark, texts):
+    rules = U.UrlRules(rules=(("allow", "b.c/x"), ("block", "b.c/x")), strict=(), soft=())
+    frame = texts([(1, "s://b.c/xy"), (1, "s://b.c/xy"), (None, "s://casino.c/")])
+    found = U.judge_urls(frame, rules, id_column="doc_id", url_column="text").collect()
+    assert sorted(r.verdict for r in found) == ["allow", "block", "block"]
+    assert U.judge_urls(texts([]), rules, id_column="doc_id", url_column="text").count() == 0
