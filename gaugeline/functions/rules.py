@@ -73,12 +73,13 @@ class RuleSet:
         return f"{sensor} IN ({', '.join(map(sql_text, self.by_sensor))})"
 
     def plausible_sql(self, sensor: str, value: str) -> str:
-        """False for an unknown sensor and for NaN, NULL only for a NULL input."""
-        return _any(
+        """False for an unknown sensor and for NaN, NULL exactly for a NULL input."""
+        inside = _any(
             f"{sensor} = {sql_text(rule.sensor)} AND {value} BETWEEN "
             f"{sql_double(rule.plausible_low)} AND {sql_double(rule.plausible_high)}"
             for rule in self.rules
         )
+        return f"CASE WHEN {sensor} IS NOT NULL AND {value} IS NOT NULL THEN {inside} END"
 
     def anomaly_sql(self, sensor: str, value: str) -> str:
         """Never NULL; an unknown sensor or a NULL value is no anomaly."""
@@ -99,16 +100,17 @@ class RuleSet:
         return _case(
             sensor,
             {
-                rule.sensor: sql_text(f"between {rule.plausible_low} and {rule.plausible_high}")
+                rule.sensor: sql_text(range_text(rule))
                 for rule in self.rules
             },
         )
 
     def judge(self, readings: DataFrame, sensor: str, value: str) -> DataFrame:
-        """Add ``known``, ``plausible`` and ``is_anomaly``.
+        """Add ``known``, ``plausible``, ``is_anomaly``, ``rule_unit`` and ``rule_range``.
 
-        The first two are NULL only where the sensor or value is NULL; plain
-        comparisons can be pushed down to a scan. A short rule table becomes a chain of comparisons inside the scan stage.
+        ``known`` is NULL for a NULL sensor, ``plausible`` for a NULL sensor or value,
+        unit and range (in words) for a sensor without rule, however many rules there
+        are. A short rule table becomes a chain of comparisons inside the scan stage.
         A longer one is joined: broadcast while its length proves it small, as a
         plain join that adaptive execution may split beyond that.
         """
@@ -118,26 +120,35 @@ class RuleSet:
                 f"{self.known_sql(sensor)} AS known",
                 f"{self.plausible_sql(sensor, value)} AS plausible",
                 f"{self.anomaly_sql(sensor, value)} AS is_anomaly",
+                f"{self.unit_sql(sensor)} AS rule_unit",
+                f"{self.bounds_sql(sensor)} AS rule_range",
             )
-        table = self.frame(readings.sparkSession).select(
-            F.col("sensor").alias("rule_sensor"),
-            "plausible_low",
-            "plausible_high",
-            "anomaly_below",
-            "anomaly_above",
+        # The range is worded here, as numbers print differently in SQL.
+        rows = [(*astuple(rule), range_text(rule)) for rule in self.rules]
+        table = (
+            readings.sparkSession.createDataFrame(rows, RULE_SCHEMA + ", rule_range string")
+            .withColumnRenamed("sensor", "rule_sensor")
+            .withColumnRenamed("unit", "rule_unit")
         )
         if len(self) <= MAX_BROADCAST_RULES:
             table = F.broadcast(table)
         joined = readings.join(table, F.col(sensor) == F.col("rule_sensor"), "left")
         return joined.selectExpr(
             *readings.columns,
-            "rule_sensor IS NOT NULL AS known",
-            f"{value} BETWEEN plausible_low AND plausible_high AS plausible",
+            f"CASE WHEN {sensor} IS NOT NULL THEN rule_sensor IS NOT NULL END AS known",
+            f"""CASE WHEN {sensor} IS NOT NULL AND {value} IS NOT NULL
+              THEN coalesce({value} BETWEEN plausible_low AND plausible_high, false) END AS plausible""",
             f"coalesce({value} < anomaly_below, false) OR coalesce({value} > anomaly_above, false)"
             " AS is_anomaly",
+            "rule_unit",
+            "rule_range",
         )
 
 
+def range_text(rule: SensorRule) -> str:
+    return f"between {rule.plausible_low} and {rule.plausible_high}"
+
+
 def sql_text(text: str) -> str:
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

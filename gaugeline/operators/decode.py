@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.payloads import decode_event
 from gaugeline.functions.rules import RuleSet
 from gaugeline.functions.times import date_parts, event_time, in_event_range
-from gaugeline.schemas import CURATED
+from gaugeline.schemas import CURATED, REJECTED
 
 # Reject reasons in the order of the checks.
 NO_PAYLOAD = "no_payload"
@@ -34,6 +34,7 @@ EVENT_COLUMNS = {
 }
 ENVELOPE_COLUMNS = (
     "message_key",
+    "topic",
     "kafka_timestamp",
     "kafka_partition",
     "kafka_offset",
@@ -41,16 +42,20 @@ ENVELOPE_COLUMNS = (
 )
 
 
-def decode(raw: DataFrame) -> DataFrame:
+MESSAGE_KEY = ("topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
+
+
+def decode(raw: DataFrame, *keep: str) -> DataFrame:
     """Parse ``json_payload`` once per row into the event's columns.
 
     The struct is unnested with ``inline`` rather than by field access: filters
     on its fields would otherwise be pushed below the projection, each with its
-    own copy of the parser.
+    own copy of the parser. Further columns of ``raw`` can be kept.
     """
     event = F.inline(F.array(decode_event(F.col("json_payload"))))
     return raw.select(
         *ENVELOPE_COLUMNS,
+        *keep,
         F.coalesce(F.col("json_payload") != "", F.lit(False)).alias("has_payload"),
         event.alias(*EVENT_COLUMNS.values()),
     )
@@ -125,11 +130,13 @@ def rejected(
     raw: DataFrame, rules: RuleSet | None = None, *, max_future_skew: str | None = None
 ) -> DataFrame:
     """Refused messages with ``reject_reason`` and their place in the log."""
-    judged = judge(decode(raw), rules or RuleSet(), max_future_skew=max_future_skew)
+    decoded = decode(raw, "json_payload")
+    judged = judge(decoded, rules or RuleSet(), max_future_skew=max_future_skew)
     return (
         judged.withColumn("reject_reason", reject_reason())
         .where(F.col("reject_reason").isNotNull())
-        .select(*ENVELOPE_COLUMNS, "sensor_type", "value", "event_timestamp_ms", "reject_reason")
+        .withColumns(date_parts(F.col("ingestion_time"), "year", "month", "day"))
+        .select(*REJECTED.fieldNames())
     )
 
 
@@ -138,10 +145,21 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
 
 
 def drop_replayed(rows: DataFrame) -> DataFrame:
-    """Keep one row per log position.
+    """Keep one row per message, named by its place in the log and the log's time for it.
 
     Only lakes written in append mode need this: at-least-once delivery can
-    store a message twice. The key is unique per message, so no group is large.
+    store a message twice. Two topics share places, and so do a topic and the one
+    that was made anew under its name; the time tells the latter apart. The key is
+    unique per message, so no group is large.
+    """
+    return rows.dropDuplicates([c for c in MESSAGE_KEY if c in rows.columns])
+
+
+def near_arrival(readings: DataFrame, limit: str) -> DataFrame:
+    """Readings dated no more than ``limit`` after their arrival.
+
+    A single one from the far future would push a watermark ahead and make all
+    regular rows late. Rows without an arrival time are kept.
     """
-    keys = [c for c in ("topic", "kafka_partition", "kafka_offset") if c in rows.columns]
-    return rows.dropDuplicates(keys)
+    latest = F.col("kafka_timestamp") + F.expr(f"INTERVAL {limit}")
+    return readings.where(F.coalesce(F.col("event_time") <= latest, F.lit(True)))

@@ -46,9 +46,9 @@ def validate_submissions(
     rules = rules or RuleSet()
     own = submissions.columns
     judged = rules.judge(_read(submissions), "sensor", "number")
-    answered = _once(judged, judged.columns, error=_first_error(rules))
+    answered = _once(judged, judged.columns, error=_first_error())
     event = f"""named_struct(
-      'sensor', sensor, 'value', round(number, 2), 'unit', {rules.unit_sql('sensor')},
+      'sensor', sensor, 'value', round(number, 2), 'unit', rule_unit,
       'timestamp', coalesce(timestamp, {received_ms}), 'source', source,
       'anomaly', coalesce(flag, is_anomaly))"""
     return answered.selectExpr(*own, f"CASE WHEN error IS NULL THEN {event} END AS event", "error")
@@ -65,7 +65,7 @@ def rejected_submissions(validated: DataFrame) -> DataFrame:
     return validated.where("error IS NOT NULL").select(*own, "error.*")
 
 
-def _first_error(rules: RuleSet) -> str:
+def _first_error() -> str:
     """Struct of the first failed check; later ones may rely on earlier ones."""
     checks = [
         ("NOT coalesce(is_object, false)", sql_text(MALFORMED), BAD_REQUEST),
@@ -73,13 +73,13 @@ def _first_error(rules: RuleSet) -> str:
         ("NOT known", "concat('Unsupported sensor type: ', sensor)", UNPROCESSABLE),
         ("number IS NULL", sql_text(VALUE_NOT_NUMERIC), BAD_REQUEST),
         (
-            f"unit <> {rules.unit_sql('sensor')}",
-            f"concat('Invalid unit for ', sensor, '. Expected ', {rules.unit_sql('sensor')})",
+            "unit <> rule_unit",
+            "concat('Invalid unit for ', sensor, '. Expected ', rule_unit)",
             UNPROCESSABLE,
         ),
         (
             "NOT plausible",
-            f"concat('Value for ', sensor, ' must be ', {rules.bounds_sql('sensor')})",
+            "concat('Value for ', sensor, ' must be ', rule_range)",
             UNPROCESSABLE,
         ),
         (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.payloads import decode_event
@@ -91,18 +91,17 @@ def recent_anomalies(
 ) -> DataFrame:
     """The ``limit`` latest anomalies, of one sensor or of all.
 
-    Rows of equal time are ordered by their place in the log. With ``as_of`` the
-    search looks at the days from there on first and goes back in growing steps
-    until they hold enough rows; a lake of years is then read for its last days
-    only. Days follow event time, so the result is the same.
+    Rows of equal time are ordered by their place in the log. The search looks at
+    the days from ``as_of`` (now) on first and goes back in growing steps until
+    they hold enough rows, so a lake of years is read for its last days
+    only. Days follow event time, so the result does not depend on where it starts.
     """
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     anomalies = typed_time(curated, "event_time").where("is_anomaly")
     if sensor:
         anomalies = anomalies.where(F.col("sensor_type") == (rules or RuleSet()).require(sensor))
-    if as_of is not None:
-        anomalies = _newest_days(anomalies, limit, as_utc(as_of))
+    anomalies = _newest_days(anomalies, limit, as_utc(as_of))
     return (
         anomalies.orderBy(F.desc_nulls_last("event_time"), "kafka_partition", "kafka_offset")
         .limit(limit)
@@ -132,17 +131,19 @@ def latest_reading(
     Messages are taken as they are, without validation; a missing timestamp
     counts as 0. Of equal times the first in the log wins. No row if none.
     """
-    sensor = (rules or RuleSet()).require(sensor)
+    return newest_of(tail(raw, lookback), (rules or RuleSet()).require(sensor))
+
+
+def newest_of(messages: DataFrame, sensor: str) -> DataFrame:
+    """The sensor's message of latest event time; each is parsed once."""
+    event = F.inline(F.array(decode_event(F.col("json_payload"))))
     return (
-        tail(raw, lookback)
-        .select("kafka_partition", "kafka_offset", decode_event(F.col("json_payload")).alias("event"))
-        .where(F.col("event.sensor") == sensor)
-        .orderBy(
-            F.desc(F.coalesce("event.timestamp", F.lit(0))), "kafka_partition", "kafka_offset"
-        )
+        messages.select("kafka_partition", "kafka_offset", event)
+        .where(F.col("sensor") == sensor)
+        .orderBy(F.desc(F.coalesce("timestamp", F.lit(0))), "kafka_partition", "kafka_offset")
         .limit(1)
         .select(
-            *[F.col(f"event.{name}").alias(name) for name in EVENT.fieldNames()],
+            *EVENT.fieldNames(),
             F.struct(
                 F.col("kafka_partition").alias("partition"), F.col("kafka_offset").alias("offset")
             ).alias("_kafka"),
@@ -150,11 +151,13 @@ def latest_reading(
     )
 
 
-def sensor_units(readings: DataFrame, rules: RuleSet | None = None) -> DataFrame:
-    """The sensor/unit list, each with the number of its readings at hand.
+def sensor_units(spark: SparkSession, rules: RuleSet | None = None) -> DataFrame:
+    """The sensors and their units."""
+    return (rules or RuleSet()).sensors(spark)
 
-    ``RuleSet.sensors`` gives the bare list.
-    """
+
+def reading_counts(readings: DataFrame, rules: RuleSet | None = None) -> DataFrame:
+    """The number of readings at hand of every sensor, 0 for those without any."""
     rules = rules or RuleSet()
     counts = readings.groupBy("sensor_type").agg(F.count("*").alias("reading_count"))
     dimension = rules.sensors(readings.sparkSession)

@@ -35,7 +35,7 @@ KAFKA_RECORD = _schema(
     "timestamp timestamp, timestampType int"
 )
 
-# The generic event table that ``sources.event_table`` reads as a sensor topic.
+# A generic event table, which can be read as a sensor topic.
 EVENT_TABLE = _schema(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
@@ -55,10 +55,21 @@ CURATED = _schema(
     "sensor_type string, value double, unit string, event_timestamp_ms bigint, "
     "reading_source string, producer_anomaly boolean, message_key string, "
     "kafka_timestamp timestamp, kafka_partition int, kafka_offset bigint, "
-    "ingestion_time timestamp, event_time timestamp, is_anomaly boolean, "
+    "ingestion_time timestamp, event_time timestamp, is_anomaly boolean, topic string, "
     "domain string, year int, month int, day int"
 )
 
+# Refused messages with the first check they fail, and their text as it came.
+REJECTED = _schema(
+    "message_key string, topic string, kafka_timestamp timestamp, kafka_partition int, "
+    "kafka_offset bigint, ingestion_time timestamp, sensor_type string, value double, "
+    "event_timestamp_ms bigint, json_payload string, "
+    "reject_reason string, year int, month int, day int"
+)
+
+# Refused submissions; ``received_day`` is the day of the job that refused them.
+REFUSED = _schema("body string, message string, status int, received_day string")
+
 # ``batch_id`` is the micro-batch that emitted the revision of the window.
 CONSUMPTION = _schema(
     "window_start timestamp, window_end timestamp, sensor_type string, "
@@ -94,6 +105,14 @@ RAW_ZONE = Zone("raw", RAW, "json", ("source", "topic", "year", "month", "day",
 CURATED_ZONE = Zone(
     "curated", CURATED, "parquet", ("domain", "sensor_type", "year", "month", "day")
 )
+# Where in the log the rows of each raw hour are from.
+OFFSETS = _schema(
+    "kafka_partition int, first_offset bigint, last_offset bigint, topic string, "
+    "year int, month int, day int, hour int"
+)
+OFFSETS_ZONE = Zone("raw_offsets", OFFSETS, "parquet", ("topic",))
+REJECTED_ZONE = Zone("rejected", REJECTED, "parquet", ("reject_reason", "year", "month", "day"))
+REFUSED_ZONE = Zone("refused", REFUSED, "parquet", ("received_day",))
 CONSUMPTION_ZONE = Zone(
     "consumption", CONSUMPTION, "parquet", ("use_case", "sensor_type", "year", "month")
 )

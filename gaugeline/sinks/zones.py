@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, WRITE_ID, Zone
+from gaugeline.schemas import (
+    CONSUMPTION_ZONE,
+    CURATED_ZONE,
+    OFFSETS_ZONE,
+    RAW_ZONE,
+    REJECTED_ZONE,
+    WRITE_ID,
+    Zone,
+)
+from gaugeline.sinks.files import delete_directories, files_of_write
 from gaugeline.sources.lake import zone_path
 
+# As many digits as the curated zone keeps of the same times.
+JSON_TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
-def write_zone(rows: DataFrame, root: str, zone: Zone, *, write_id: str | None) -> None:
+
+def write_zone(
+    rows: DataFrame, root: str, zone: Zone, *, write_id: str | None, rerun: bool = False
+) -> None:
     """Add rows to a zone, under a directory named after this write.
 
-    Partition values and ``write_id`` are functions of the rows and the write, so
-    repeating a write after a crash replaces exactly the files of the first try:
-    no duplicates, and files of other writes are not touched.
+    Repeating a write replaces its files in every partition that it touches again,
+    and files of other writes are left alone. A repeated micro-batch holds the same
+    rows and so touches the same partitions. A write that may hold other rows than
+    its first try, such as a backfill, sets ``rerun``: partitions that only the first
+    try touched are then emptied as well, after the new files are in place.
 
     Without ``write_id`` rows are appended in the plain layout, for lakes that
     have it already and for stores without directory replacement. A repeated
@@ -29,31 +45,54 @@ def write_zone(rows: DataFrame, root: str, zone: Zone, *, write_id: str | None)
     writer = writer.write.format(zone.format).partitionBy(*partitions)
     if zone.format == "parquet":
         writer = writer.option("compression", "snappy")
+    else:
+        writer = writer.option("timestampFormat", JSON_TIMES)
     if write_id is None:
         writer = writer.mode("append")
     else:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    spark = rows.sparkSession
+    before = files_of_write(spark, root, zone, write_id) if rerun and write_id else {}
     writer.save(zone_path(root, zone))
+    if before:
+        # New files have new names, so a directory with the old ones was not written.
+        after = files_of_write(spark, root, zone, write_id)
+        delete_directories(spark, (d for d, names in before.items() if after.get(d) == names))
 
 
-def write_raw(rows: DataFrame, root: str, *, write_id: str | None) -> None:
+def write_raw(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
     """All rows of a batch share one ingestion hour, so every task writes one
     file and a shuffle would gain nothing."""
-    write_zone(rows, root, RAW_ZONE, write_id=write_id)
+    write_zone(rows, root, RAW_ZONE, write_id=write_id, rerun=rerun)
+
+
+def write_offsets(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
+    """First and last offset of each log partition in each hour that a write adds to
+    the raw zone, by which ``sources.tail.tail_of_zone`` finds the hours it needs."""
+    ranges = rows.groupBy("topic", "kafka_partition", "year", "month", "day", "hour").agg(
+        F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
+    )
+    write_zone(ranges.coalesce(1), root, OFFSETS_ZONE, write_id=write_id, rerun=rerun)
 
 
-def write_curated(rows: DataFrame, root: str, *, write_id: str | None) -> None:
+def write_curated(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
     """Rows are gathered by partition to keep the file count low.
 
     ``rebalance`` sizes the result adaptively: small partitions share a task and
     a sensor or day that holds much of the data is split over several.
     """
     gathered = rows.hint("rebalance", *CURATED_ZONE.partitions)
-    write_zone(gathered, root, CURATED_ZONE, write_id=write_id)
+    write_zone(gathered, root, CURATED_ZONE, write_id=write_id, rerun=rerun)
+
+
+def write_rejected(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
+    """Refused messages, gathered by reason and day as the curated ones are."""
+    gathered = rows.hint("rebalance", *REJECTED_ZONE.partitions)
+    write_zone(gathered, root, REJECTED_ZONE, write_id=write_id, rerun=rerun)
 
 
 def write_consumption(
-    rows: DataFrame, root: str, *, write_id: str | None, batch_id: int
+    rows: DataFrame, root: str, *, write_id: str | None, batch_id: int, rerun: bool = False
 ) -> None:
     """Stateful batches run without adaptive execution, so this gathers by a
     plain shuffle. A sensor and month hold at most some 9,000 five-minute
@@ -61,4 +100,4 @@ def write_consumption(
     gathered = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint")).repartition(
         *CONSUMPTION_ZONE.partitions
     )
-    write_zone(gathered, root, CONSUMPTION_ZONE, write_id=write_id)
+    write_zone(gathered, root, CONSUMPTION_ZONE, write_id=write_id, rerun=rerun)

@@ -6,7 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, WRITE_ID, Zone
+from gaugeline.schemas import (
+    CONSUMPTION_ZONE,
+    CURATED_ZONE,
+    RAW_ZONE,
+    REJECTED_ZONE,
+    WRITE_ID,
+    Zone,
+)
 
 CURATED_VIEW = "curated_readings"
 
@@ -21,10 +28,12 @@ def read_zone(
     """A zone, or what one write put there, with its declared schema.
 
     Partition columns keep their types. A zone that does not exist yet reads as
-    an empty frame. Files that cannot be read are an error, they are never taken
-    for missing data.
+    an empty frame. Files that cannot be read, and lines of them that are damaged,
+    are an error, they are never taken for missing data.
     """
     reader = spark.read.schema(zone.stored_schema).format(zone.format)
+    if zone.format == "json":
+        reader = reader.option("mode", "FAILFAST")
     try:
         stored = reader.load(zone_path(root, zone))
     except AnalysisException as problem:
@@ -49,6 +58,10 @@ def read_consumption(spark: SparkSession, root: str) -> DataFrame:
     return read_zone(spark, root, CONSUMPTION_ZONE)
 
 
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    return read_zone(spark, root, REJECTED_ZONE)
+
+
 def register_curated_view(curated: DataFrame, name: str = CURATED_VIEW) -> DataFrame:
     curated.createOrReplaceTempView(name)
     return curated

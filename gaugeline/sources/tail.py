@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.payloads import sorted_keys
+from gaugeline.schemas import OFFSETS_ZONE, RAW_ZONE
+from gaugeline.sources.lake import read_raw, read_zone
 
 LOOKBACK = 100
 MAX_PEEK = 10
@@ -30,6 +32,9 @@ def tail(
 ) -> DataFrame:
     """Rows among the last ``lookback`` offsets of every topic partition.
 
+    A log that grows meanwhile gives no more: both passes end at the offsets that
+    the first one found.
+
     The first pass finds the end offsets: a hash aggregate over three columns
     with one row per log partition. With those as literals the second pass is a
     scan with a pushed-down range filter, so Parquet skips every row group that
@@ -43,7 +48,7 @@ def tail(
         in_tail = [
             (F.col("topic") == topic)
             & (F.col("kafka_partition") == partition)
-            & (F.col("kafka_offset") > last_offset - lookback)
+            & F.col("kafka_offset").between(last_offset - lookback + 1, last_offset)
             for topic, partition, last_offset in fetched
         ]
         return raw.where(reduce(or_, in_tail, F.lit(False)))
@@ -51,11 +56,44 @@ def tail(
         ends = F.broadcast(raw.sparkSession.createDataFrame(fetched, ends.schema))
     return (
         raw.join(ends, _LOG)
-        .where(F.col("kafka_offset") > F.col("last_offset") - lookback)
+        .where(
+            F.col("kafka_offset").between(
+                F.col("last_offset") - (lookback - 1), F.col("last_offset")
+            )
+        )
         .select(*raw.columns)
     )
 
 
+def tail_of_zone(spark: SparkSession, root: str, lookback: int = LOOKBACK) -> DataFrame:
+    """``tail`` of a stored raw zone, read from the hours that hold it alone.
+
+    The offsets recorded with every write give the ends of the log and the hours
+    that reach into the tail; their number is some few for each log partition,
+    whatever the age of the lake. Raw rows without recorded offsets are not seen, so a
+    zone that has none is read in full.
+    """
+    raw = read_raw(spark, root)
+    ranges = read_zone(spark, root, OFFSETS_ZONE)
+    ends = ranges.groupBy(*_LOG).agg(F.max("last_offset").alias("end"))
+    hours = [name for name in RAW_ZONE.partitions if name != "source"]
+    needed = (
+        ranges.join(ends, _LOG)
+        .where(F.col("last_offset") > F.col("end") - lookback)
+        .groupBy(*hours, "kafka_partition")
+        .agg(F.max("end").alias("end"))
+        .collect()
+    )
+    if not needed:
+        return tail(raw, lookback)
+    inside = [
+        reduce(and_, [F.col(name) == row[name] for name in (*hours, "kafka_partition")])
+        & F.col("kafka_offset").between(row["end"] - lookback + 1, row["end"])
+        for row in needed
+    ]
+    return raw.where(reduce(or_, inside))
+
+
 def peek(raw: DataFrame, max_messages: int = MAX_PEEK, *, ordered: bool = False) -> DataFrame:
     """The first messages, with the keys of each value in order.
 

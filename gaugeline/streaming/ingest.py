@@ -10,13 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from gaugeline.functions.rules import RuleSet
-from gaugeline.operators.decode import curated_readings, readings_of
+from gaugeline.operators.decode import curated_readings, near_arrival, readings_of, rejected
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.operators.windows import WATERMARK, WINDOW, window_averages
 from gaugeline.schemas import CURATED_ZONE
-from gaugeline.sinks.zones import write_consumption, write_curated, write_raw
+from gaugeline.sinks.zones import (
+    write_consumption,
+    write_curated,
+    write_offsets,
+    write_raw,
+    write_rejected,
+)
 from gaugeline.sources.lake import read_zone
 
+WINDOW_FUTURE_LIMIT = "1 day"
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -29,6 +37,10 @@ class IngestJob:
     before the query names, so that several jobs can share a session.
     ``plain_layout`` continues a lake without write directories, where a batch
     repeated after a crash is stored twice.
+
+    ``max_future_skew`` refuses readings dated that much after their arrival. Without
+    it they are curated, but those beyond ``window_future_limit`` still don't reach
+    the windows, where one of them would make every later row late.
     """
 
     lake: str
@@ -37,6 +49,7 @@ class IngestJob:
     window: str = WINDOW
     watermark: str = WATERMARK
     max_future_skew: str | None = None
+    window_future_limit: str = WINDOW_FUTURE_LIMIT
     trigger_interval: str | None = "10 seconds"
     label: str = ""
     plain_layout: bool = False
@@ -45,8 +58,8 @@ class IngestJob:
         """Start the writers of all zones.
 
         By default each zone is a query with progress of its own, and a failure
-        of one leaves the others running. ``shared_batches`` writes raw and
-        curated from one query that reads the source once for both.
+        of one leaves the others running. ``shared_batches`` writes raw, curated
+        and rejected from one query that reads the source once for all.
         """
         raw = raw_envelope(messages)
         if shared_batches:
@@ -55,6 +68,7 @@ class IngestJob:
             stateless = [
                 self._start(raw, "append", "raw-zone-writer", self._raw),
                 self._start(self._curated(raw), "append", "curated-zone-writer", self._curate),
+                self._start(self._rejected(raw), "append", "rejected-zone-writer", self._reject),
             ]
         return [*stateless, self.start_windows(messages)]
 
@@ -67,7 +81,7 @@ class IngestJob:
         readings = readings_of(
             raw_envelope(messages), self.rules, max_future_skew=self.max_future_skew
         )
-        averages = window_averages(readings, window=self.window, watermark=self.watermark)
+        averages = self._averages(readings)
         return self._start(averages, output_mode, "consumption-zone-writer", self._consume)
 
     def run_batch(
@@ -76,15 +90,24 @@ class IngestJob:
         """The same zones from a bounded set of messages, such as a backfill.
 
         The windows are made from the curated files just written, so the messages
-        are decoded once. Running again with the same ``write_id`` and
-        ``ingestion_time`` replaces the first result.
+        are decoded once for both. Running again with the same ``write_id`` replaces
+        the first result, also where it held other rows or another ingestion time.
         """
         raw = raw_envelope(messages, ingestion_time=ingestion_time)
-        write_raw(raw, self.lake, write_id=write_id)
-        write_curated(self._curated(raw), self.lake, write_id=write_id)
+        this = {"write_id": write_id, "rerun": True}
+        write_raw(raw, self.lake, **this)
+        write_offsets(raw, self.lake, **this)
+        write_curated(self._curated(raw), self.lake, **this)
+        write_rejected(self._rejected(raw), self.lake, **this)
         written = read_zone(messages.sparkSession, self.lake, CURATED_ZONE, write_id=write_id)
-        averages = window_averages(written, window=self.window, watermark=self.watermark)
-        write_consumption(averages, self.lake, write_id=write_id, batch_id=0)
+        write_consumption(self._averages(written), self.lake, batch_id=0, **this)
+
+    def _averages(self, readings: DataFrame) -> DataFrame:
+        regular = near_arrival(readings, self.window_future_limit)
+        return window_averages(regular, window=self.window, watermark=self.watermark)
+
+    def _rejected(self, raw: DataFrame) -> DataFrame:
+        return rejected(raw, self.rules, max_future_skew=self.max_future_skew)
 
     def _curated(self, raw: DataFrame) -> DataFrame:
         return curated_readings(raw, self.rules, max_future_skew=self.max_future_skew)
@@ -110,12 +133,18 @@ class IngestJob:
 
     def _raw(self, batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            write_raw(batch, self.lake, write_id=self._write_id(batch, batch_id))
+            write_id = self._write_id(batch, batch_id)
+            write_raw(batch, self.lake, write_id=write_id)
+            write_offsets(batch, self.lake, write_id=write_id)
 
     def _curate(self, batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             write_curated(batch, self.lake, write_id=self._write_id(batch, batch_id))
 
+    def _reject(self, batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            write_rejected(batch, self.lake, write_id=self._write_id(batch, batch_id))
+
     # A batch used for two writes, or one that carries window state, is evaluated
     # once: a second run of a stateful plan would update its state twice.
 
@@ -125,7 +154,9 @@ class IngestJob:
             if not kept.isEmpty():
                 write_id = self._write_id(batch, batch_id)
                 write_raw(kept, self.lake, write_id=write_id)
+                write_offsets(kept, self.lake, write_id=write_id)
                 write_curated(self._curated(kept), self.lake, write_id=write_id)
+                write_rejected(self._rejected(kept), self.lake, write_id=write_id)
         finally:
             kept.unpersist()
 

@@ -67,6 +67,7 @@ def curated(spark, rows):
             when,
             when,
             flag,
+            TOPIC,
             "iot",
             when.year,
             when.month,

@@ -17,7 +17,7 @@ from gaugeline.operators.decode import curated_readings
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.plans import reports, serving
 from gaugeline.schemas import CURATED, CURATED_ZONE, KAFKA_RECORD, RAW, RAW_ZONE
-from gaugeline.sinks.reports import save_report
+from gaugeline.sinks.reports import save_csv
 from gaugeline.sinks.zones import write_curated, write_zone
 from gaugeline.sources.lake import (
     read_consumption,
@@ -292,7 +292,7 @@ def test_report_is_one_csv_file_in_order(spark, lake):
     out = folder()
     report = reports.daily_evolution(read_curated(spark, lake))
     for _ in range(2):
-        target = save_report(report, out, "daily")
+        target = save_csv(report, f"{out}/daily")
     files = glob.glob(f"{target}/*.csv")
     assert len(files) == 1
     with open(files[0]) as text:
@@ -310,7 +310,7 @@ def test_report_job(spark, lake, capsys):
         "temperature_daily_evolution",
         "partition_pruning",
     }
-    assert "=== Statistics by sensor type ===" in capsys.readouterr().out
+    assert "Sensors in figures\n------------------\nsensor_type | global_mean" in capsys.readouterr().out
     with open(glob.glob(f"{out}/sensor_statistics/*.csv")[0]) as text:
         assert text.read().splitlines()[1] == "humidity,73.05,50.1,96.0,23.09,50.00"
 

@@ -90,7 +90,10 @@ def test_run_summary(spark):
 
 def test_sensor_units_lists_sensors_without_readings(spark):
     readings = spark.createDataFrame([("humidity",), ("humidity",)], "sensor_type string")
-    assert sorted(tuples(serving.sensor_units(readings))) == [
+    assert tuples(serving.sensor_units(spark)) == [
+        ("temperature", "C"), ("humidity", "%"), ("pressure", "hPa")
+    ]
+    assert sorted(tuples(serving.reading_counts(readings))) == [
         ("humidity", "%", 2),
         ("pressure", "hPa", 0),
         ("temperature", "C", 0),

@@ -53,12 +53,15 @@ def test_boundaries(spark, monkeypatch, way):
     assert ("Broadcast" in plan) == (way == "broadcast")
 
     def view(rows):
-        # A NULL counts as not known / not plausible; NaN is compared as text.
+        # NaN is compared as text.
         return sorted(
-            (str(s), str(v), bool(k), bool(p), a) for s, v, k, p, a in rows
+            (str(s), str(v), k, p, a) for s, v, k, p, a, *_ in rows
         )
 
     assert view(tuples(judged)) == view(CASES)
+    words = {r["sensor"]: (r["rule_unit"], r["rule_range"]) for r in judged.collect()}
+    assert words["pressure"] == ("hPa", "between 900.0 and 1100.0")
+    assert words["co2"] == words[None] == (None, None)
 
 
 def test_unit_and_range_words(spark):
@@ -79,7 +82,9 @@ def test_sensor_list_is_in_rule_order(spark):
 def test_new_sensor_is_one_rule(spark):
     rules = RuleSet([*DEFAULT_RULES, SensorRule("co2's", "ppm", 0.0, 5000.0, None, 1000.0)])
     frame = spark.createDataFrame([("co2's", 1200.0)], "sensor string, value double")
-    assert tuples(rules.judge(frame, "sensor", "value")) == [("co2's", 1200.0, True, True, True)]
+    assert tuples(rules.judge(frame, "sensor", "value")) == [
+        ("co2's", 1200.0, True, True, True, "ppm", "between 0.0 and 5000.0")
+    ]
 
 
 def test_parameters():

@@ -30,9 +30,10 @@ def read_event_table(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def stream_event_table(spark: SparkSession, directory: str) -> DataFrame:
-    """The same table as a stream of its files."""
-    reader = spark.readStream.schema(EVENT_TABLE).option("pathGlobFilter", TABLE_FILE)
-    return reader.parquet(directory)
+    """The same table as a stream of its files, be it one file or a folder of them."""
+    # A stream's path must be a folder or a pattern, and this matches the one name.
+    pattern = f"{directory.rstrip('/')}/[{TABLE_FILE[0]}]{TABLE_FILE[1:]}"
+    return spark.readStream.schema(EVENT_TABLE).parquet(pattern)
 
 
 def as_events(table: DataFrame, *keep: str) -> DataFrame:
@@ -70,11 +71,37 @@ def as_messages(table: DataFrame) -> DataFrame:
     )
 
 
+# What the messages of ``error`` events hold instead, by the event's number.
+_FAULTS = """CASE event_id % 6
+  WHEN 0 THEN CAST(NULL AS STRING)
+  WHEN 1 THEN left(payload, 12)
+  WHEN 2 THEN concat('[', event_id, ']')
+  WHEN 3 THEN concat('{"sensor":"humidity","value":null,"timestamp":', timestamp, '}')
+  WHEN 4 THEN '{"sensor":"humidity","value":1.5}'
+  ELSE '{"sensor":"humidity","value":1.5,"timestamp":999999999999999}' END"""
+
+
+def as_faulty_messages(table: DataFrame) -> DataFrame:
+    """The same messages, with faults of every kind in those of ``error`` events."""
+    events = as_events(table, "event_id", "event_type", "ts")
+    payload = f"to_json(struct({', '.join(EVENT.fieldNames())}))"
+    return events.selectExpr("*", f"{payload} AS payload").selectExpr(
+        "CAST(sensor AS BINARY) AS key",
+        f"CAST(CASE WHEN event_type = 'error' THEN {_FAULTS} ELSE payload END AS BINARY) AS value",
+        f"'{TOPIC}' AS topic",
+        f"{_LOG_PARTITION} AS partition",
+        f"{_LOG_OFFSET} AS offset",
+        "timestamp_millis(unix_millis(CAST(ts AS TIMESTAMP))) AS timestamp",
+        "0 AS timestampType",
+    )
+
+
 def as_decoded(table: DataFrame, ingestion_time: str) -> DataFrame:
     """What ``operators.decode.decode`` makes of ``as_messages``, without the
     detour through JSON, so column pruning reaches the table's files."""
     return as_events(table, "event_id").selectExpr(
         "sensor AS message_key",
+        f"'{TOPIC}' AS topic",
         "timestamp_millis(timestamp) AS kafka_timestamp",
         f"{_LOG_PARTITION} AS kafka_partition",
         f"{_LOG_OFFSET} AS kafka_offset",

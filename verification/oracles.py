@@ -36,7 +36,8 @@ WITH sensed AS (
 ), curated AS (
   SELECT sensor_type, value, unit, ms AS event_timestamp_ms, reading_source,
     is_anomaly AS producer_anomaly, sensor_type AS message_key, kafka_timestamp,
-    kafka_partition, kafka_offset, ingestion_time, event_time, is_anomaly, 'iot' AS domain,
+    kafka_partition, kafka_offset, ingestion_time, event_time, is_anomaly,
+    'sensor-events' AS topic, 'iot' AS domain,
     CAST(year(event_time) AS INTEGER) AS year, CAST(month(event_time) AS INTEGER) AS month,
     CAST(day(event_time) AS INTEGER) AS day
   FROM flagged WHERE plausible
@@ -52,12 +53,36 @@ SELECT sensor_type AS message_key, json_payload, kafka_timestamp, kafka_partitio
 FROM flagged
 """
 
-_REJECTS = """, rejects AS (
-  SELECT sensor_type AS message_key, kafka_timestamp, kafka_partition, kafka_offset,
-    ingestion_time, sensor_type, value, ms AS event_timestamp_ms,
-    CASE WHEN plausible IS NULL THEN 'sensor_unsupported' ELSE 'value_implausible' END
-      AS reject_reason
-  FROM flagged WHERE plausible IS NOT TRUE
+# Faults in the messages of error events, by the event's number.
+_REJECTS = """, faulty AS (
+  SELECT flagged.*, event_id % 6 AS fault, events.event_type = 'error' AS broken
+  FROM flagged JOIN events USING (event_id)
+), judged AS (
+  SELECT *,
+    CASE WHEN NOT broken THEN json_payload
+      WHEN fault = 0 THEN NULL
+      WHEN fault = 1 THEN left(json_payload, 12)
+      WHEN fault = 2 THEN '[' || event_id || ']'
+      WHEN fault = 3 THEN '{"sensor":"humidity","value":null,"timestamp":' || ms || '}'
+      WHEN fault = 4 THEN '{"sensor":"humidity","value":1.5}'
+      ELSE '{"sensor":"humidity","value":1.5,"timestamp":999999999999999}' END AS payload,
+    CASE WHEN broken AND fault = 0 THEN 'no_payload'
+      WHEN broken AND fault IN (1, 2) THEN 'sensor_missing'
+      WHEN broken AND fault = 3 THEN 'value_missing'
+      WHEN broken AND fault = 4 THEN 'timestamp_missing'
+      WHEN broken THEN 'timestamp_out_of_range'
+      WHEN plausible IS NULL THEN 'sensor_unsupported'
+      WHEN NOT plausible THEN 'value_implausible' END AS reject_reason
+  FROM faulty
+), rejects AS (
+  SELECT sensor_type AS message_key, 'sensor-events' AS topic, kafka_timestamp, kafka_partition,
+    kafka_offset, ingestion_time,
+    CASE WHEN NOT broken THEN sensor_type WHEN fault > 2 THEN 'humidity' END AS sensor_type,
+    CASE WHEN NOT broken THEN value WHEN fault > 3 THEN 1.5 END AS value,
+    CASE WHEN NOT broken OR fault = 3 THEN ms WHEN fault = 5 THEN 999999999999999 END
+      AS event_timestamp_ms,
+    payload AS json_payload, reject_reason, 2024 AS year, 6 AS month, 1 AS day
+  FROM judged WHERE reject_reason IS NOT NULL
 )
 """
 
@@ -93,15 +118,20 @@ FROM curated WHERE sensor_type = '{sensor}' AND event_time >= TIMESTAMP '{since}
 """
 
 
-_ZONE_COUNTS = _READINGS + """
-SELECT 'raw' AS zone, sensor_type, count(*) AS row_count FROM flagged GROUP BY 2
+def _zone_counts(condition: str = "true") -> str:
+    return _READINGS + f"""
+SELECT 'raw' AS zone, sensor_type, count(*) AS row_count FROM flagged WHERE {condition} GROUP BY 2
+UNION ALL
+SELECT 'curated', sensor_type, count(*) FROM flagged WHERE plausible AND {condition} GROUP BY 2
 UNION ALL
-SELECT 'curated', sensor_type, count(*) FROM curated GROUP BY 2
+SELECT 'consumption', sensor_type, count(DISTINCT time_bucket(INTERVAL '5 minutes', event_time))
+FROM flagged WHERE plausible AND {condition} GROUP BY 2
 UNION ALL
-SELECT 'consumption', sensor_type,
-  count(DISTINCT time_bucket(INTERVAL '5 minutes', event_time)) FROM curated GROUP BY 2
+SELECT 'rejected', sensor_type, count(*) FROM flagged
+WHERE plausible IS NOT TRUE AND {condition} GROUP BY 2
 """
 
+
 # Submissions: what each value of k makes of the body, then the checks in order.
 _SUBMISSIONS = _READINGS + """
 , submitted AS (
@@ -144,8 +174,8 @@ _SUBMISSIONS = _READINGS + """
 ORACLES: dict[str, str] = {
     "curated_readings": _CURATED,
     "envelope_roundtrip": _READINGS + """
-SELECT sensor_type AS message_key, kafka_timestamp, kafka_partition, kafka_offset, ingestion_time,
-  true AS has_payload, sensor_type, value, unit, ms AS event_timestamp_ms, reading_source,
+SELECT sensor_type AS message_key, 'sensor-events' AS topic, kafka_timestamp, kafka_partition,
+  kafka_offset, ingestion_time, true AS has_payload, sensor_type, value, unit, ms AS event_timestamp_ms, reading_source,
   is_anomaly AS producer_anomaly
 FROM flagged
 """,
@@ -225,7 +255,11 @@ SELECT kafka_partition AS partition, kafka_offset AS offset, sensor_type AS key,
   || regexp_replace(CAST(value AS VARCHAR), '\\.0$', '') || '}' AS value
 FROM flagged ORDER BY kafka_partition, kafka_offset LIMIT 10
 """,
-    "sensor_units": _READINGS + """
+    "sensor_units": """
+SELECT * FROM (VALUES ('temperature', 'C'), ('humidity', '%'), ('pressure', 'hPa'))
+  AS listed(sensor, unit)
+""",
+    "reading_counts": _READINGS + """
 , units AS (
   SELECT * FROM (VALUES ('temperature', 'C'), ('humidity', '%'), ('pressure', 'hPa'))
     AS listed(sensor, unit)
@@ -239,17 +273,62 @@ SELECT count(*) AS event_count, CAST(count(*) FILTER (WHERE is_anomaly) AS BIGIN
 FROM flagged
 """,
     "publish_messages": _READINGS + "SELECT sensor_type AS key, json_payload AS value FROM flagged",
-    "replays_dropped": _CURATED,
+    "replays_dropped": _READINGS + """
+SELECT * FROM curated UNION ALL SELECT * REPLACE ('other' AS topic) FROM curated
+""",
     "window_averages": _windows("5 minutes"),
     "window_averages_stream_update": _windows("5 minutes"),
     "window_averages_stream_append": _windows(
         "5 minutes", "window_end <= (SELECT max(event_time) FROM curated) - INTERVAL '2 minutes'"
     ),
     "window_averages_stream_revisions": _windows("1 day"),
-    "stream_ingest_zones": _ZONE_COUNTS,
-    "stream_ingest_shared": _ZONE_COUNTS,
+    "stream_ingest_zones": _zone_counts(),
+    "stream_ingest_shared": _zone_counts(),
     "raw_zone_roundtrip": _RAW,
     "zone_roundtrip": _CURATED,
     "consumption_zone_roundtrip": _windows("5 minutes"),
     "report_csv": _TOP_HOURS,
 }
+
+
+def _anomalies(limit: int) -> str:
+    return _READINGS + f"""
+SELECT sensor_type, value, unit, event_time, reading_source, producer_anomaly, is_anomaly
+FROM curated WHERE is_anomaly
+ORDER BY event_time DESC, kafka_partition, kafka_offset LIMIT {limit}
+"""
+
+
+ORACLES |= {
+    "rejected_zone_roundtrip": ORACLES["reject_reasons"],
+    "submit_job": _SUBMISSIONS + """
+SELECT coalesce(message, '') AS message, coalesce(status, 202) AS status, count(*) AS body_count
+FROM answered GROUP BY 1, 2
+""",
+    "recent_anomaly_records": "WITH recent AS (" + _anomalies(50) + """)
+SELECT '{"sensor_type":"' || sensor_type || '","value":' || CAST(value AS VARCHAR)
+  || ',"unit":"' || unit || '","event_time":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S')
+  || '+00:00","reading_source":"' || reading_source || '","producer_anomaly":'
+  || CASE WHEN sensor_type = 'humidity' THEN 'null' ELSE 'true' END
+  || ',"is_anomaly":true}' AS record
+FROM recent
+""",
+    "window_averages_stream_late": _READINGS.replace(
+        "FROM flagged WHERE plausible\n",
+        """FROM flagged WHERE plausible
+  AND NOT (event_id % 17 = 0 AND ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events))
+""",
+    )
+    + _windows("5 minutes").removeprefix(_READINGS),
+    "rerun_zone": _zone_counts("epoch_us(ts) < (SELECT avg(epoch_us(ts)) FROM events)"),
+    "compacted_zone": _READINGS + """
+SELECT sensor_type, count(*) AS row_count,
+  count(DISTINCT CAST(event_time AS DATE)) AS directories, round(sum(value), 2) AS total
+FROM curated GROUP BY 1
+""",
+    "partition_counts_from_zone": ORACLES["partition_counts"],
+    "daily_stats_from_zone": ORACLES["daily_stats"],
+    "recent_anomalies_from_zone": _anomalies(500),
+    "tail_from_zone": ORACLES["tail_messages"],
+    "latest_reading_from_zone": ORACLES["latest_reading"],
+}

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugeline import jobs
+from gaugeline.config import Settings
 from gaugeline.functions.payloads import to_records
 from gaugeline.functions.rules import RuleSet
 from gaugeline.operators import decode as D
@@ -19,17 +21,34 @@ from gaugeline.plans import reports, serving
 from gaugeline.schemas import EVENT
 from gaugeline.session import apply_runtime_settings, scratch_dir
 from gaugeline.sinks.publish import to_messages
-from gaugeline.sinks.reports import save_report
-from gaugeline.sources.event_table import (
+from gaugeline.sinks.compaction import compact_curated
+from gaugeline.sinks.reports import save_csv
+from gaugeline.sinks.zones import (
+    write_consumption,
+    write_curated,
+    write_offsets,
+    write_raw,
+    write_rejected,
+    write_zone,
+)
+from verification.event_table import (
     as_decoded,
     as_events,
+    as_faulty_messages,
     as_messages,
     as_submissions,
     read_event_table,
     stream_event_table,
 )
-from gaugeline.sources.lake import read_consumption, read_curated, read_raw
-from gaugeline.sources.tail import peek, tail
+from gaugeline.schemas import CURATED_ZONE, REFUSED_ZONE, WRITE_ID
+from gaugeline.sources.lake import (
+    read_consumption,
+    read_curated,
+    read_raw,
+    read_rejected,
+    read_zone,
+)
+from gaugeline.sources.tail import peek, tail, tail_of_zone
 from gaugeline.streaming.ingest import IngestJob, drain
 
 # Stands for the arrival of all messages, so that results can be compared.
@@ -50,6 +69,11 @@ def _raw(spark: SparkSession, directory: str) -> DataFrame:
     return raw_envelope(as_messages(_table(spark, directory)), ingestion_time=_ingestion_time())
 
 
+def _faulty_raw(spark: SparkSession, directory: str) -> DataFrame:
+    records = as_faulty_messages(_table(spark, directory))
+    return raw_envelope(records, ingestion_time=_ingestion_time())
+
+
 def _judged(spark: SparkSession, directory: str) -> DataFrame:
     arrived = f"timestamp_seconds({INGESTION_SECONDS})"
     return D.judge(as_decoded(_table(spark, directory), arrived), RuleSet())
@@ -89,11 +113,18 @@ def raw_envelope_parts(spark, directory):
 
 
 def reject_reasons(spark, directory):
-    return _plain_times(D.rejected(_raw(spark, directory)))
+    return _plain_times(D.rejected(_faulty_raw(spark, directory)))
 
 
 def reject_counts(spark, directory):
-    return D.reject_counts(D.rejected(_raw(spark, directory)))
+    return D.reject_counts(D.rejected(_faulty_raw(spark, directory)))
+
+
+def rejected_zone_roundtrip(spark, directory):
+    """Refused messages as a backfill stores them."""
+    root = scratch_dir(apply_runtime_settings(spark), "rejected-zone")
+    write_rejected(D.rejected(_faulty_raw(spark, directory)), root, write_id="backfill")
+    return _plain_times(read_rejected(spark, root))
 
 
 def _validated(spark, directory):
@@ -110,6 +141,22 @@ def submit_publish(spark, directory):
     return to_messages(accepted_events(_validated(spark, directory)))
 
 
+def submit_job(spark, directory):
+    """What the job stores and sends: refused bodies by message, and events sent."""
+    root = scratch_dir(apply_runtime_settings(spark), "submit")
+    jobs.submit(
+        as_submissions(_table(spark, directory)),
+        Settings(lake_root=root),
+        write_id="one",
+        received_day=AS_OF.date(),
+        received_ms=RECEIVED_MS,
+        send=lambda events, settings: to_messages(events).write.parquet(f"{root}/sent"),
+    )
+    refused = read_zone(spark, root, REFUSED_ZONE).selectExpr("message", "status")
+    sent = spark.read.parquet(f"{root}/sent").selectExpr("'' AS message", "202 AS status")
+    return refused.union(sent).groupBy("message", "status").agg(F.count("*").alias("body_count"))
+
+
 def top_anomaly_hours(spark, directory):
     return reports.top_anomaly_hours(_curated(spark, directory))
 
@@ -161,8 +208,22 @@ def peek_messages(spark, directory):
     return peek(_raw(spark, directory), ordered=True)
 
 
+def recent_anomaly_records(spark, directory):
+    """Records with timestamps, and NULL for a flag that tells nothing."""
+    recent = serving.recent_anomalies(_curated(spark, directory), limit=50)
+    flag = F.when(F.col("sensor_type") != "humidity", F.col("producer_anomaly"))
+    return to_records(recent.withColumn("producer_anomaly", flag))
+
+
 def sensor_units(spark, directory):
-    return serving.sensor_units(_curated(spark, directory))
+    """The list itself, for the sensors that the table has."""
+    met = _curated(spark, directory).select("sensor_type").distinct()
+    units = serving.sensor_units(spark)
+    return units.join(met, units["sensor"] == met["sensor_type"], "left_semi")
+
+
+def reading_counts(spark, directory):
+    return serving.reading_counts(_curated(spark, directory))
 
 
 def anomaly_ratio(spark, directory):
@@ -174,8 +235,11 @@ def publish_messages(spark, directory):
 
 
 def replays_dropped(spark, directory):
+    """Every message stored twice, in two topics that share all places in the log."""
     once = _curated(spark, directory)
-    return _plain_times(D.drop_replayed(once.union(once)))
+    other = once.withColumn("topic", F.lit("other"))
+    both = once.union(other)
+    return _plain_times(D.drop_replayed(both.union(both)))
 
 
 def window_averages_batch(spark, directory):
@@ -212,22 +276,42 @@ def window_averages_stream_revisions(spark, directory):
     table = _table(spark, directory)
     slices = scratch_dir(spark, "slices")
     first, last = table.agg(F.min("ts"), F.max("ts")).first()
-    step = (last - first) / 5
-    bounds = [first + step * n for n in range(1, 5)]
-    for low, high in zip([None, *bounds], [*bounds, None]):
-        part = table
-        if low is not None:
-            part = part.where(F.col("ts") >= F.lit(low).cast("timestamp_ntz"))
-        if high is not None:
-            part = part.where(F.col("ts") < F.lit(high).cast("timestamp_ntz"))
-        part.write.mode("append").parquet(slices)
-    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(slices)
-    # Files of one slice come in any order; the watermark must not cut them off.
-    job = _job(spark, "stream-revisions", window="1 day", watermark="30 days")
+    seconds = (last - first).total_seconds()
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    since = micros - F.unix_micros(F.lit(first).cast("timestamp"))
+    slice_of = F.least(F.floor(since * 5 / max(1, int(seconds * 1e6))), F.lit(4)).alias("slice")
+    table.select("*", slice_of).repartition("slice").write.partitionBy("slice").parquet(slices)
+    stream = (
+        spark.readStream.schema(table.schema)
+        .option("maxFilesPerTrigger", 2)
+        .parquet(f"{slices}/slice=*")
+    )
+    # Slices come in any order, so the watermark covers the whole span of the table.
+    span = f"{int(seconds) + 1} seconds"
+    job = _job(spark, "stream-revisions", window="1 day", watermark=span)
     drain([job.start_windows(as_messages(stream))])
     return _plain_averages(latest_revision(read_consumption(spark, job.lake)))
 
 
+def window_averages_stream_late(spark, directory):
+    """Windows of a stream whose last batch comes far too late and is left out.
+
+    Every 17th event before the middle of the table arrives after all the others."""
+    table = _table(spark, directory)
+    log = scratch_dir(spark, "late")
+    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(first + (last - first) / 2).cast("timestamp_ntz")
+    early, late = F.col("ts") < middle, F.col("event_id") % 17 == 0
+    parts = [early & ~late, ~early, early & late]
+    job = _job(spark, "stream-late", watermark="2 minutes")
+    for number, part in enumerate(parts):
+        # A query over what has arrived so far, continued from the same checkpoint.
+        table.where(part).write.parquet(f"{log}/part={number}")
+        stream = spark.readStream.schema(table.schema).parquet(f"{log}/part=*")
+        drain([job.start_windows(as_messages(stream))])
+    return _plain_averages(latest_revision(read_consumption(spark, job.lake)))
+
+
 def stream_ingest_zones(spark, directory):
     """The three streaming writers together; rows per zone and sensor."""
     job = _job(apply_runtime_settings(spark), "ingest")
@@ -236,6 +320,7 @@ def stream_ingest_zones(spark, directory):
         "raw": read_raw(spark, job.lake).withColumnRenamed("message_key", "sensor_type"),
         "curated": read_curated(spark, job.lake),
         "consumption": latest_revision(read_consumption(spark, job.lake)),
+        "rejected": read_rejected(spark, job.lake),
     }
     return _zone_counts(zones)
 
@@ -248,6 +333,7 @@ def stream_ingest_shared(spark, directory):
         "raw": read_raw(spark, job.lake).withColumnRenamed("message_key", "sensor_type"),
         "curated": read_curated(spark, job.lake),
         "consumption": latest_revision(read_consumption(spark, job.lake)),
+        "rejected": read_rejected(spark, job.lake),
     }
     return _zone_counts(zones)
 
@@ -261,29 +347,112 @@ def _zone_counts(zones: dict[str, DataFrame]) -> DataFrame:
     return counts
 
 
-def _batch_lake(spark: SparkSession, directory: str, label: str) -> str:
-    job = _job(apply_runtime_settings(spark), label)
-    messages = as_messages(read_event_table(spark, directory))
-    job.run_batch(messages, write_id="backfill", ingestion_time=_ingestion_time())
-    return job.lake
+def _curated_lake(spark: SparkSession, directory: str, label: str) -> str:
+    root = scratch_dir(apply_runtime_settings(spark), label)
+    write_curated(_curated(spark, directory), root, write_id="backfill")
+    return root
 
 
 def raw_zone_roundtrip(spark, directory):
-    return _plain_times(read_raw(spark, _batch_lake(spark, directory, "raw-zone")))
+    root = scratch_dir(apply_runtime_settings(spark), "raw-zone")
+    write_raw(_raw(spark, directory), root, write_id="backfill")
+    return _plain_times(read_raw(spark, root))
 
 
 def zone_roundtrip(spark, directory):
-    return _plain_times(read_curated(spark, _batch_lake(spark, directory, "curated-zone")))
+    return _plain_times(read_curated(spark, _curated_lake(spark, directory, "curated-zone")))
 
 
 def consumption_zone_roundtrip(spark, directory):
-    lake = _batch_lake(spark, directory, "consumption-zone")
-    return _plain_averages(read_consumption(spark, lake))
+    root = scratch_dir(apply_runtime_settings(spark), "consumption-zone")
+    averages = window_averages(_curated(spark, directory))
+    write_consumption(averages, root, write_id="backfill", batch_id=0)
+    return _plain_averages(read_consumption(spark, root))
+
+
+def rerun_zone(spark, directory):
+    """All zones after a backfill of everything was run again for half of it."""
+    job = _job(apply_runtime_settings(spark), "rerun")
+    table = _table(spark, directory)
+    middle = table.agg(F.expr("timestamp_micros(bigint(avg(unix_micros(timestamp(ts)))))")).first()[0]
+    half = table.where(F.col("ts").cast("timestamp") < F.lit(middle))
+    for rows in (table, half):
+        job.run_batch(as_messages(rows), write_id="one", ingestion_time=_ingestion_time())
+    return _zone_counts(
+        {
+            "raw": read_raw(spark, job.lake).withColumnRenamed("message_key", "sensor_type"),
+            "curated": read_curated(spark, job.lake),
+            "consumption": read_consumption(spark, job.lake),
+            "rejected": read_rejected(spark, job.lake),
+        }
+    )
+
+
+def compacted_zone(spark, directory):
+    """Three writes a day and a repeated one, then all closed days in one write each."""
+    root = scratch_dir(apply_runtime_settings(spark), "compacted")
+    curated = _curated(spark, directory)
+    third = F.col("kafka_offset") % 3
+    for number in range(3):
+        write_zone(curated.where(third == number), root, CURATED_ZONE, write_id=f"w{number}")
+    write_zone(curated.where(third == 0), root, CURATED_ZONE, write_id="again")
+    compact_curated(spark, root, AS_OF.date())
+    stored = spark.read.schema(CURATED_ZONE.stored_schema).parquet(f"{root}/curated")
+    return stored.groupBy("sensor_type").agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("year", "month", "day", WRITE_ID).alias("directories"),
+        F.round(F.sum("value"), 2).alias("total"),
+    )
+
+
+def partition_counts_from_zone(spark, directory):
+    """Of the stored zone; the second number from a scan of that partition alone."""
+    stored = read_curated(spark, _curated_lake(spark, directory, "partition-counts"))
+    keys = reports.first_partition(stored)
+    counts = reports.partition_counts(stored)
+    if keys is None:
+        return counts
+    pruned = reports.in_partition(stored, *keys).agg(F.count("*").cast("string").alias("pruned"))
+    return counts.crossJoin(F.broadcast(pruned)).selectExpr(
+        "query_type",
+        "IF(query_type = 'partition_pruned', pruned, row_count) AS row_count",
+        *[c for c in counts.columns if c.endswith("_filter")],
+    )
+
+
+def daily_stats_from_zone(spark, directory):
+    stored = read_curated(spark, _curated_lake(spark, directory, "daily-stats"))
+    return serving.daily_stats(stored, "humidity", 7, as_of=AS_OF)
+
+
+def recent_anomalies_from_zone(spark, directory):
+    stored = read_curated(spark, _curated_lake(spark, directory, "recent"))
+    return _plain_times(serving.recent_anomalies(stored, limit=500))
+
+
+def _hourly_lake(spark: SparkSession, directory: str) -> str:
+    """The raw zone as messages arrived hour by hour, with its offsets."""
+    root = scratch_dir(apply_runtime_settings(spark), "hourly")
+    arrived = F.date_trunc("hour", "timestamp")
+    raw = raw_envelope(as_messages(_table(spark, directory)), ingestion_time=arrived)
+    write_raw(raw, root, write_id="backfill")
+    write_offsets(raw, root, write_id="backfill")
+    return root
+
+
+def tail_from_zone(spark, directory):
+    found = tail_of_zone(spark, _hourly_lake(spark, directory))
+    return found.select("kafka_partition", "kafka_offset", "json_payload")
+
+
+def latest_reading_from_zone(spark, directory):
+    found = serving.newest_of(tail_of_zone(spark, _hourly_lake(spark, directory)), "humidity")
+    return found.select(*EVENT.fieldNames(), "_kafka.partition", "_kafka.offset")
 
 
 def report_csv(spark, directory):
     report = top_anomaly_hours(spark, directory)
-    target = save_report(report, scratch_dir(spark, "reports"), "top_anomaly_hours")
+    target = save_csv(report, scratch_dir(spark, "reports"))
     return spark.read.schema(report.schema).option("header", True).csv(target)
 
 
@@ -295,8 +464,10 @@ QUERIES: dict[str, Query] = {
     "raw_envelope_parts": raw_envelope_parts,
     "reject_reasons": reject_reasons,
     "reject_counts": reject_counts,
+    "rejected_zone_roundtrip": rejected_zone_roundtrip,
     "submit_validation": submit_validation,
     "submit_publish": submit_publish,
+    "submit_job": submit_job,
     "top_anomaly_hours": top_anomaly_hours,
     "sensor_statistics": sensor_statistics,
     "temperature_daily": temperature_daily,
@@ -306,10 +477,12 @@ QUERIES: dict[str, Query] = {
     "daily_stats_records": daily_stats_records,
     "recent_anomalies": recent_anomalies,
     "recent_anomalies_of_sensor": recent_anomalies_of_sensor,
+    "recent_anomaly_records": recent_anomaly_records,
     "latest_reading": latest_reading,
     "tail_messages": tail_messages,
     "peek_messages": peek_messages,
     "sensor_units": sensor_units,
+    "reading_counts": reading_counts,
     "anomaly_ratio": anomaly_ratio,
     "publish_messages": publish_messages,
     "replays_dropped": replays_dropped,
@@ -317,10 +490,18 @@ QUERIES: dict[str, Query] = {
     "window_averages_stream_update": window_averages_stream_update,
     "window_averages_stream_append": window_averages_stream_append,
     "window_averages_stream_revisions": window_averages_stream_revisions,
+    "window_averages_stream_late": window_averages_stream_late,
     "stream_ingest_zones": stream_ingest_zones,
     "stream_ingest_shared": stream_ingest_shared,
     "raw_zone_roundtrip": raw_zone_roundtrip,
     "zone_roundtrip": zone_roundtrip,
     "consumption_zone_roundtrip": consumption_zone_roundtrip,
+    "rerun_zone": rerun_zone,
+    "compacted_zone": compacted_zone,
+    "partition_counts_from_zone": partition_counts_from_zone,
+    "daily_stats_from_zone": daily_stats_from_zone,
+    "recent_anomalies_from_zone": recent_anomalies_from_zone,
+    "tail_from_zone": tail_from_zone,
+    "latest_reading_from_zone": latest_reading_from_zone,
     "report_csv": report_csv,
 }
