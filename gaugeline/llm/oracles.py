@@ -14,14 +14,14 @@ def _terms(terms: tuple[str, ...]) -> str:
 
 URL_FILTER_SQL = f"""
 WITH rests AS (
-  SELECT page_id,
+  SELECT page_id, coalesce(url, '') AS url,
          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
 parts AS (
   SELECT page_id,
          translate(regexp_extract(rest, '^([^/?#]*)', 1), '{UPPER}', '{UPPER.lower()}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
-         translate(rest, '{UPPER}', '{UPPER.lower()}') AS low
+         translate(url, '{UPPER}', '{UPPER.lower()}') AS low
   FROM rests),
 rules(verdict, rule_host, rule_path) AS (VALUES
   ('block', 'net', '/'), ('allow', 'example.net', '/en/'),

@@ -161,7 +161,7 @@ def fit_forest(
 
 def held_out(doc_id: Column) -> Column:
     """Rows that no label may be learned from."""
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def fit_quality(

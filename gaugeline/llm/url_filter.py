@@ -7,8 +7,8 @@ boundary on either side, which is any character other than an ASCII letter or
 digit, or the end of the url. One strict term, or several different soft terms,
 block the url.
 
-Defined cases: a null url, or one without ``://``, has an empty host and path and
-is allowed, as no term is searched without a host. Only A-Z are lower-cased. A port or a
+Defined cases: a null url, or one without ``://``, has an empty host and path, which
+no rule fits; a null or empty url holds no term. Only A-Z are lower-cased. A port or a
 user name is a part of the host as written. Of rules of equal length ``block``
 wins. Repeated rows are judged alike; an empty table gives no rows.
 """
@@ -111,17 +111,17 @@ def judge_urls(
         column(id_column),
         host.alias("host"),
         path.alias("path"),
-        F.translate(rest, UPPER, UPPER.lower()).alias("_rest"),
+        F.translate("_url", UPPER, UPPER.lower()).alias("_low"),
     )
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judges = UrlJudge(spec)
         for batch in batches:
-            ids, hosts, paths, rests = batch.columns
+            ids, hosts, paths, urls = batch.columns
             out: tuple[Sequence, ...] = ([], [], [], [])
-            values = zip(hosts.to_pylist(), paths.to_pylist(), rests.to_pylist())
-            for host, path, rest in values:
-                strict, soft = judges.hits(rest)
+            values = zip(hosts.to_pylist(), paths.to_pylist(), urls.to_pylist())
+            for host, path, url in values:
+                strict, soft = judges.hits(url)
                 rule = judges.rule_of(host, path)
                 verdict = rule[1] if rule else judges.verdict_of(strict, soft)
                 for target, value in zip(out, (rule and rule[0], verdict, strict, soft)):

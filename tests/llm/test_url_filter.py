@@ -9,7 +9,7 @@ from gaugeline.llm.queries import URL_RULES
     [
         (None, ("", "", None, "allow")),
         ("", ("", "", None, "allow")),
-        ("casino.com/x", ("", "", None, "allow")),
+        ("casino.com/x", ("", "", None, "block")),
         ("HTTP://A.Example.NET/en/?q", ("a.example.net", "/en/", "example.net/en/", "allow")),
         ("http://example.net/EN/", ("example.net", "/EN/", "net/", "block")),
         ("http://xexample.com/de/", ("xexample.com", "/de/", None, "allow")),
