@@ -2,8 +2,9 @@
 
 Every round joins the links with the smallest neighbour of each node. A node of
 many links is only ever a group of a combining aggregate or a side of a join that
-adaptive execution may split; nothing is collected. Rounds are cut from each
-other with checkpoints in the shared folder, so lost executors cost one round.
+adaptive execution may split, as the smallest neighbours are stored before they are
+joined; nothing is collected. Tables in the shared folder cut the rounds from each
+other, so lost executors cost one round.
 """
 
 from __future__ import annotations
@@ -24,14 +25,14 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Larger neighbours of each node are linked to the smallest one, or to the node."""
     around = _both_ways(links)
     least = around.groupBy("a").agg(F.min("b").alias("low"))
-    least = least.select("a", F.least("a", "low").alias("low"))
+    least = saved(least.select("a", F.least("a", "low").alias("low")), "least")
     return around.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("low"))
+    least = saved(down.groupBy("a").agg(F.min("b").alias("low")), "least")
     moved = down.join(least, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
     return moved.union(least.select("a", F.col("low").alias("b")))
 

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import column, fresh_name
+from gaugeline.llm.common import column, fresh_name, saved
 
 WINDOW = 3
 ALONE = 40
@@ -83,7 +83,9 @@ def repeated_lines(
     key = ["fingerprint", "place", "h1", "h2"]
     here = F.struct(F.col("id"), F.col("mark"), F.col("line_numbers")[0].alias("line"))
     met = windows.groupBy(*key).agg(F.min(here).alias("first"), F.max(here).alias("last"))
-    again = met.where("NOT (first <=> last)").select(*key, "first")
+    # Stored, so the join has a shuffle on either side and a line that very many
+    # documents share is split over tasks.
+    again = saved(met.where("NOT (first <=> last)").select(*key, "first"), "repeated")
     later = windows.join(again, key).where(~here.eqNullSafe(F.col("first")))
     return (
         later.select("id", "mark", F.explode("line_numbers").alias("line"))

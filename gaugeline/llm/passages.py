@@ -188,7 +188,8 @@ def paragraph_links(docs: DataFrame, nodes: DataFrame, *, similarity, shingle, l
         F.count("*").alias("n"), F.ceil(F.sum("n_words") / BLOCK_SHINGLES).alias("blocks")
     )
     members = saved(
-        keyed.join(shared.where("n > 1"), "band").select("band", "blocks", "node"), "candidates"
+        keyed.join(saved(shared.where("n > 1"), "buckets"), "band").select("band", "blocks", "node"),
+        "candidates",
     )
     wanted = members.select("node").distinct().join(nodes, "node").select("doc_id", "paragraph", "node")
     sets = saved(_node_sets(docs, wanted, shingle, least_words), "shingles")
@@ -253,7 +254,9 @@ def repeated_passages(
     )
     rooted = rooted.withColumn("root", F.coalesce("root", "node"))
     classes = rooted.groupBy("root").agg(F.min("place").alias("first"), F.sum("n").alias("class_size"))
-    named = rooted.select("node", "root").join(classes.where("class_size > 1"), "root").drop("root")
+    # Stored, so the join can split a class that very many paragraphs are in.
+    classes = saved(classes.where("class_size > 1"), "classes")
+    named = rooted.select("node", "root").join(classes, "root").drop("root")
     return met.drop("bands").join(named, "node").select(
         "doc_id",
         "paragraph",

@@ -180,7 +180,8 @@ def fingerprint_links(prints: DataFrame, radius: int) -> DataFrame:
         ]
     )
     keyed = prints.select("fp", F.explode(masks).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # Stored before they are joined, here and below, so a hot key can be split.
+    shared = saved(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
     # Large buckets are dealt out: a task for each pair of their blocks.
     blocks = F.ceil(F.col("n") / BUCKET_BLOCK)
     own = F.pmod(F.xxhash64("fp", F.lit(7)), blocks)
@@ -222,7 +223,7 @@ def _group_firsts(prints: DataFrame, radius: int) -> DataFrame:
     rooted = prints.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("group_first"))
+    firsts = saved(rooted.groupBy("root").agg(F.min("first").alias("group_first")), "firsts")
     return rooted.join(firsts, "root").select("fp", "group_first")
 
 
