@@ -33,6 +33,9 @@ ROCKSDB_PROVIDER = (
 )
 
 
+_scratch: list[str] = []
+
+
 def build_session(
     app_name: str,
     *,
@@ -77,14 +80,26 @@ def apply_runtime_settings(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new directory that every executor can reach.
+    """A new directory that every executor can reach, for ``clear_scratch`` to remove.
 
     It lies under ``spark.checkpoint.dir``. Where that is unset a temporary
     folder serves a local session, and a cluster session is refused.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+        made = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    elif spark.conf.get("spark.master", "").startswith("local"):
+        made = os.path.join(tempfile.mkdtemp(prefix="gaugeline-"), label)
+    else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(tempfile.mkdtemp(prefix="gaugeline-"), label)
+    _scratch.append(made)
+    return made
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all scratch directories handed out so far.
+
+    Results are read from them, so this is for the end of a session."""
+    while _scratch:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

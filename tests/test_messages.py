@@ -1,5 +1,7 @@
 """Sources and sinks of messages, bounded scans, settings."""
 
+import os
+
 import pytest
 from builders import messages, payload, tuples
 from pyspark.errors import AnalysisException
@@ -7,7 +9,7 @@ from pyspark.errors import AnalysisException
 from gaugeline.config import Settings, split_servers
 from gaugeline.operators.envelope import raw_envelope
 from gaugeline.plans import serving
-from gaugeline.session import apply_runtime_settings, scratch_dir
+from gaugeline.session import apply_runtime_settings, clear_scratch, scratch_dir
 from gaugeline.sinks.publish import publish_options
 from gaugeline.sources.messages import KafkaSource
 from gaugeline.sources.tail import peek, tail
@@ -145,3 +147,7 @@ def test_session(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert scratch_dir(spark, "x").startswith(f"{shared}/x-")
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+    made = scratch_dir(spark, "y")
+    spark.range(1).write.parquet(made)
+    clear_scratch(spark)
+    assert not os.path.exists(made.removeprefix("file:"))
