@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gaugeline.functions.rules import RuleSet
-from gaugeline.schemas import EVENT, EVENT_TABLE, KAFKA_RECORD
+from gaugeline.schemas import EVENT, EVENT_TABLE
 
 TOPIC = "sensor-events"
 LOG_PARTITIONS = 3

@@ -412,12 +412,10 @@ def partition_counts_from_zone(spark, directory):
     counts = reports.partition_counts(stored)
     if keys is None:
         return counts
-    pruned = reports.in_partition(stored, *keys).agg(F.count("*").cast("string").alias("pruned"))
-    return counts.crossJoin(F.broadcast(pruned)).selectExpr(
-        "query_type",
-        "IF(query_type = 'partition_pruned', pruned, row_count) AS row_count",
-        *[c for c in counts.columns if c.endswith("_filter")],
+    pruned = reports.in_partition(stored, *keys).agg(F.count("*").cast("string")).select(
+        F.lit("partition_pruned"), "*", *(F.lit(str(key)) for key in keys)
     )
+    return counts.where("query_type = 'full_scan'").union(pruned)
 
 
 def daily_stats_from_zone(spark, directory):
