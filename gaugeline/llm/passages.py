@@ -33,7 +33,7 @@ RECALL = 0.998
 MOST_HASHES = 64
 CHANCE, CHANCE_SHARE = 0.2, 0.1
 # A block of a bucket, in shingles.
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 18
 
 PARAGRAPH = (
     "doc_id bigint, paragraph int, start int, n_chars int, n_words int, node binary, bands array<bigint>"
@@ -131,25 +131,33 @@ def paragraph_rows(docs: DataFrame, *, bands: int, rows: int, least_words: int,
 def similar_in_block(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
     """Links (place, place) that span the groups of similar sets.
 
-    Grows each group from its first member: a member found is compared with those
-    that are in no group yet, so all pairs are met only where no group forms.
+    The sets are turned round into lists of who has a shingle. A set's common shingles
+    with all others are counted from the lists of its own, so only sets that
+    share something cost anything, and a link is kept only where it joins two groups.
     """
+    n = len(sets)
     sizes = np.array([len(s) for s in sets])
-    rest = np.arange(len(sets))
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(flat, kind="stable")
+    owners = owner[order]
+    starts = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
+    ends = np.r_[starts[1:], len(flat)]
+    number = np.empty(len(flat), np.int64)
+    number[order] = np.repeat(np.arange(len(starts)), ends - starts)
+    shared = ends - starts > 1
+    label = np.arange(n)
     links = []
-    while len(rest):
-        front, rest = [int(rest[0])], rest[1:]
-        while front and len(rest):
-            member = front.pop()
-            pool = np.concatenate([sets[i] for i in rest])
-            inside = np.isin(pool, sets[member])
-            starts = np.cumsum(sizes[rest]) - sizes[rest]
-            common = np.add.reduceat(inside, starts, dtype=np.int64)
-            either = sizes[member] + sizes[rest] - common
-            near = common >= similarity * either
-            links += [(member, int(i)) for i in rest[near]]
-            front += rest[near].tolist()
-            rest = rest[~near]
+    for own, place in zip(np.split(number, np.cumsum(sizes)[:-1]), range(n)):
+        own = own[shared[own]]
+        if not len(own):
+            continue
+        lists = [owners[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())]
+        common = np.bincount(np.concatenate(lists), minlength=n)
+        near = np.flatnonzero(common >= similarity * (sizes[place] + sizes - common))
+        groups, first = np.unique(label[near], return_index=True)
+        if len(groups) > 1:
+            links += [(place, int(near[f])) for f, g in zip(first, groups) if g != label[place]]
+            label[np.isin(label, groups)] = groups[0]
     return links
 
 
