@@ -71,7 +71,7 @@ def test_edited_passages(texts, monkeypatch, block):
         assert r.removed == ((r.doc_id, r.paragraph) != (r.class_doc_id, r.class_paragraph))
 
 
-def test_groups_grow_through_their_members():
+def test_links_span_groups_of_all_similar_pairs():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**60, 100, dtype=np.uint64)
     sets = []
@@ -80,9 +80,24 @@ def test_groups_grow_through_their_members():
         changed[: step * 6] = rng.integers(0, 2**60, step * 6, dtype=np.uint64)
         base = changed if step == 4 else base
         sets.append(np.unique(changed))
+    sets += [np.unique(rng.integers(0, 2**60, 30, dtype=np.uint64)) for _ in range(5)] + sets[:2]
+    pairs = [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i)
+        if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))
+    ]
+
+    def groups(links):
+        label = list(range(len(sets)))
+        for _ in label:
+            for i, j in links:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
     links = P.similar_in_block(sets, 0.8)
-    assert len(links) < len(sets)
-    assert len({frozenset(x) for x in links}) == len(links)
+    assert groups(links) == groups(pairs) and len(pairs) > len(links) > 2
+    assert len(links) == len(sets) - len(set(groups(pairs)))
 
 
 def test_odd_rows(texts):
