@@ -1,17 +1,19 @@
-"""Passages of benchmark items in texts, found by rare n-grams and scored by alignment.
+"""Passages of benchmark items in texts, found by n-grams and scored by alignment.
 
-Every item is covered by seeds: of each ``reach`` consecutive word n-grams of it
-the rarest in the corpus is one, so each part of an item has a seed however common
-its words are. Texts that hold a seed are candidates. The passage around the seeds
+Every word n-gram of an item is a seed, however common it is, so a copy is a candidate
+as long as it keeps n words in a row anywhere. n is ``seed_words``, and half the
+words of items that are shorter than two seeds (two words at least): one changed
+word leaves so many in a row. Texts that hold a seed are candidates. The passage around the seeds
 of an item is aligned with it by Smith-Waterman over words, and the score is the
 share of the best possible one; edited copies lose a little, chance meetings most.
+A passage is not aligned if too few words of the item are in it for the least score.
 
 The texts stay where they are read: a task looks for the seeds of a block of items
 in its texts and aligns there. A block is bounded by its number of words, and a
 benchmark of any size is many blocks, each with one pass over the texts.
 
-Defined cases: null texts and items count as empty and match nothing. An item with
-fewer words than the seed length is a single shorter seed. Repeated items are one
+Defined cases: null texts and items count as empty and match nothing. An item of
+one word is a seed of one word. Repeated items are one
 item to the search, and each of their ids is reported. Repeated rows are judged each. An
 empty benchmark or table gives no matches. Further columns are passed on by
 ``drop_contaminated`` and not looked at.
@@ -29,7 +31,6 @@ from pyspark.sql import functions as F
 from gaugeline.llm.common import column, map_arrow
 
 SEED_WORDS = 5
-REACH = 8
 LEAST_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 1_000_000
@@ -58,11 +59,16 @@ def _grams(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def seed_length(words: int, n: int) -> int:
+    """Words in a row that an item of so many words keeps if one of them is changed, n at most."""
+    return min(n, max(words // 2, min(words, 2)))
+
+
 class Items:
     """A block of items: their different word sequences, the ids of each, their n-grams.
 
     ``postings`` has a row (number of the n-gram, item, place in the item) for every
-    n-gram to look for, in the order of items or, for seeds, of n-grams.
+    n-gram of every item, in the order of n-grams.
     """
 
     def __init__(self, vocabulary, words, ids, grams, postings, n):
@@ -72,8 +78,8 @@ class Items:
         self.grams: np.ndarray = grams  # sorted, all different
         self.postings: np.ndarray = postings
         self.n: int = n
-        # Lengths to look for: n, and those of items with fewer words.
-        self.sizes = sorted({min(n, len(w)) for w in words})
+        # Lengths to look for: n, and those of short items.
+        self.sizes = sorted({seed_length(len(w), n) for w in words})
 
     @classmethod
     def of(cls, rows: Sequence[tuple[int, str | None]], n: int) -> Items:
@@ -84,26 +90,13 @@ class Items:
             if numbers:
                 by_words.setdefault(numbers, []).append(item)
         words = [np.array(w, np.int64) for w in by_words]
-        found = [_grams(w, min(n, len(w))) for w in words]
+        found = [_grams(w, seed_length(len(w), n)) for w in words]
         grams, number = np.unique(np.concatenate([_NO_GRAMS, *found]), return_inverse=True)
         item = np.repeat(np.arange(len(words)), [len(f) for f in found])
         place = np.concatenate([_NONE, *(np.arange(len(f)) for f in found)])
         postings = np.stack([number.reshape(-1), item, place], 1).astype(np.int64)
-        return cls(vocabulary, words, list(by_words.values()), grams, postings, n)
-
-    def seeds(self, counts: np.ndarray, reach: int) -> Items:
-        """The block with only the rarest n-gram of each ``reach`` consecutive ones."""
-        keep = np.zeros(len(self.postings), bool)
-        number, item, place = self.postings.T
-        rarity = counts[number]
-        starts = np.flatnonzero(place == 0)
-        for start, end in zip(starts, [*starts[1:], len(item)]):
-            for at in range(start, max(start + 1, end - reach + 1)):
-                keep[at + rarity[at : min(at + reach, end)].argmin()] = True
-        used, number = np.unique(number[keep], return_inverse=True)
-        postings = np.column_stack([number.reshape(-1), self.postings[keep, 1:]])
         postings = postings[np.argsort(postings[:, 0], kind="stable")]
-        return Items(self.vocabulary, self.words, self.ids, self.grams[used], postings, self.n)
+        return cls(vocabulary, words, list(by_words.values()), grams, postings, n)
 
 
 class Reader:
@@ -180,15 +173,23 @@ def _matches(reader: Reader, text: str | None, least: float) -> list[tuple[int,
     found: list[tuple[int, float, int, int]] = []
     order = np.lexsort((begin, posting[:, 1]))
     item_of, begin = posting[order, 1], begin[order]
-    for item in np.unique(item_of):
+    bounds = np.r_[0, np.flatnonzero(np.diff(item_of)) + 1, len(item_of)].tolist()
+    for start, end in zip(bounds, bounds[1:]):
+        item = int(item_of[start])
         own = items.words[item]
         slack = len(own) // 2 + items.n
-        starts = begin[item_of == item]
+        starts = begin[start:end]
         # Seeds of one copy agree on its begin but for insertions and deletions.
         cut = np.flatnonzero(np.diff(starts) > slack) + 1
         lows = starts[np.r_[0, cut]] - slack
         highs = starts[np.r_[cut - 1, len(starts) - 1]] + len(own) + slack
         lows, highs = np.clip(lows, 0, len(ids)), np.clip(highs, 0, len(ids))
+        # A score is no more than the share of the item's words that are there.
+        there = [np.isin(own, ids[a:b]).sum() for a, b in zip(lows.tolist(), highs.tolist())]
+        hopeful = np.array(there) >= least * len(own)
+        if not hopeful.any():
+            continue
+        lows, highs = lows[hopeful], highs[hopeful]
         best = (0.0, 0, 0)
         at_once = max(1, CELLS_AT_ONCE // max(1, int((highs - lows).max())))
         for at in range(0, len(lows), at_once):
@@ -199,7 +200,7 @@ def _matches(reader: Reader, text: str | None, least: float) -> list[tuple[int,
             top = int(scores.argmax())
             best = max(best, (float(scores[top]), int(low[top]), int(high[top])))
         if best[0] >= least:
-            found.append((int(item), *best))
+            found.append((item, *best))
     return found
 
 
@@ -221,24 +222,6 @@ def _blocks(benchmark: DataFrame, item_column: str, text_column: str, block_word
         yield block
 
 
-def _gram_counts(texts: DataFrame, items: Items) -> np.ndarray:
-    """How often each n-gram of a block occurs in the corpus; one row a gram at most."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, reader = np.zeros(len(items.grams), np.int64), Reader(items)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, reader.hits(reader.numbers(text))[1], 1)
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], ["gram", "n"])
-
-    found = map_arrow(texts, work, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n"))
-    counts = np.zeros(len(items.grams), np.int64)
-    for gram, count in found.collect():
-        counts[gram] = count
-    return counts
-
-
 _MATCH = "array<struct<item_id:bigint,score:double,first_word:int,end_word:int>>"
 
 
@@ -251,18 +234,15 @@ def with_matches(
     item_column: str = "item_id",
     item_text_column: str = "text",
     seed_words: int = SEED_WORDS,
-    reach: int = REACH,
     least_score: float = LEAST_SCORE,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
     """The rows of ``docs`` with an array of matches as the last column ``name``."""
     out = docs.withColumn(name, F.from_json(F.lit("[]"), _MATCH))
     for block in _blocks(benchmark, item_column, item_text_column, block_words):
-        every = Items.of(block, seed_words)
-        if len(every.grams):
-            texts = docs.select(column(text_column).cast("string").alias("text"))
-            seeds = every.seeds(_gram_counts(texts, every), reach)
-            out = _add_matches(out, seeds, text_column, least_score)
+        items = Items.of(block, seed_words)
+        if len(items.grams):
+            out = _add_matches(out, items, text_column, least_score)
     return out
 
 

@@ -65,6 +65,37 @@ def test_items_in_very_many_texts_are_found(spark, texts, bench):
     assert found.where("item_id = 0 AND score = 1").count() == 300
 
 
+@pytest.mark.parametrize("every", [9, 10, 11, 12])
+@pytest.mark.parametrize("beside_exact", [False, True])
+def test_copies_edited_all_over_are_found(spark, texts, bench, every, beside_exact):
+    items, words, rng = bench
+    noise = lambda: " ".join(rng.choices(words, k=60))
+    rows = []
+    for i, text in items:
+        own = text.split()
+        # Each changed word breaks five 5-grams, and no 8 in a row are all whole.
+        own[every // 2 :: every] = ["changed"] * len(own[every // 2 :: every])
+        rows.append((i, f"{noise()} {' '.join(own)} {noise()}"))
+        if beside_exact:
+            rows.append((100 + i, f"{noise()} {text} {noise()}"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(texts(rows), benchmark).collect()}
+    assert found == {(doc, doc % 100) for doc, _ in rows}
+
+
+def test_short_items_with_one_changed_word(spark, texts):
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(n))) for n in range(4, 17)]
+    rows = []
+    for n, text in items:
+        for k in range(n):
+            own = text.split()
+            own[k] = "changed"
+            rows.append((100 * n + k, f"some words before {' '.join(own)} and some after"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id) for r in D.contaminated(texts(rows), benchmark).collect()}
+    assert found == {(doc, doc // 100) for doc, _ in rows}
+
+
 def test_odd_rows(spark, texts):
     rows = [(1, None), (2, ""), (3, "only one"), (None, "only one"), (3, "only one"), (4, "x " * 200_000 + "only one")]
     items = [(7, None), (8, ""), (9, "Only, one!"), (10, "only one"), (None, "... !!")]
