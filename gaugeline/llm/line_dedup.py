@@ -1,18 +1,19 @@
-"""Repeated runs of lines, found by winnowing and deleted where they come later.
+"""Repeated windows of lines, found by their hashes and deleted where they come later.
 
 Lines are compared without white space around them; blank lines take no part. Over
-the lines of a document slides a window of ``window`` lines, and the smallest line
-hash in it, the rightmost of equal ones, is its fingerprint. Equal runs of that many lines have equal
-windows, so they are sure to share a fingerprint. A line of ``alone`` characters or
-more is also a window of its own, so a single long line is found as well.
-
-A fingerprint's occurrences are joined by the windows they stand for, which extend
-the match by up to a window on both sides; consecutive fingerprints are less than a
-window apart, so together they cover every repeated run to its ends. A line goes
-if a window over it has occurred before, in the order of documents and lines. Each
+the lines of a document slides a window of ``window`` lines; a shorter document of
+two lines or more is one window. A window of lines that are all long is left out, as a line of ``alone`` characters or
+more is a window of its own, so a single long line is found as well.
+
+Every window is looked up; none are selected as in winnowing, and no match is extended
+line by line. A line goes if a window over it has occurred before, in the order of
+documents and lines. So a repeated run of ``window`` lines or more goes to its ends. Of
+a shorter one the long lines go and the short ones stay: a heading stays where its
+repeated paragraph goes, if the lines around the two differ. Each
 window is compared with its first occurrence only: a run met n times makes n links.
 
-All of it is DataFrame functions. Hashes of 64 and 32 bits together name a window.
+All of it is DataFrame functions. Hashes of 64 and 32 bits together name a window; the
+smallest line hash and its place are further columns of the key and decide nothing.
 
 Defined cases: a null text stays null and has no lines. Empty texts and blank lines stay as they
 are. Rows of equal id and text are one document given several times and all get
@@ -34,7 +35,7 @@ _LINES = "transform(split({text}, '\\n', -1), l -> trim(BOTH ' \\t\\r' FROM l))"
 
 
 def _windows(docs: DataFrame, window: int, alone: int) -> DataFrame:
-    """(id, mark, start, size, h1, h2): every window, named by its fingerprint and hashes.
+    """(id, mark, start, size, h1, h2): every window, named by its hashes.
 
     ``docs`` has the columns id, mark and text.
     """
