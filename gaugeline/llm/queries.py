@@ -15,9 +15,11 @@ from gaugeline.llm import (
     nearest,
     packing,
     passages,
+    periodic_runs,
     quality,
     simhash,
     token_store,
+    toxicity,
     url_filter,
 )
 from gaugeline.llm.common import table
@@ -98,6 +100,41 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return groups.select("doc_id", fingerprint, "component_id")
 
 
+def op12_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    planted = periodic_runs.with_planted_runs(docs, id_column="doc_id", text_column="text")
+    found = periodic_runs.with_runs(planted)
+    # Runs come by start, then by period, so the first of equal ones stays.
+    best = F.expr(
+        """CASE WHEN size(runs) > 0 THEN aggregate(runs, runs[0],
+             (a, r) -> if(r.length * a.period > a.length * r.period, r, a)) END"""
+    )
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    ended = F.transform(lines, lambda line: F.concat(line, F.lit("\n")))
+    rows = found.select("*", best.alias("best"), F.array_join(ended, "").alias("listed"))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = table(spark, directory, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, table(spark, directory, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_store": op1_token_store,
     "op2_lattice_lm": op2_lattice_lm,
@@ -109,6 +146,8 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_toxicity": op13_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op6_line_dedup": LINE_DEDUP_SQL,
