@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
+    alignment,
     decontaminate,
     lattice_lm,
     line_dedup,
@@ -22,7 +23,7 @@ from gaugeline.llm import (
     toxicity,
     url_filter,
 )
-from gaugeline.llm.common import table
+from gaugeline.llm.common import saved, table
 from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
 from gaugeline.session import scratch_dir
 
@@ -100,6 +101,24 @@ def op10_simhash(spark: SparkSession, directory: str) -> DataFrame:
     return groups.select("doc_id", fingerprint, "component_id")
 
 
+def op11_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    aligned = alignment.align_tokens(
+        table(spark, directory, "documents"),
+        byte_level=public_tokenizers.path("byte_bpe_50k.json"),
+        pieces=public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    aligned = saved(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    width = len(alignment.Pieces(public_tokenizers.path("piece_bpe_32k.model")).bytes_of)
+    counts = alignment.link_counts(aligned, width)
+    return aligned.join(counts, "row", "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links",
+        F.coalesce("n_best", F.lit(0)).cast("bigint").alias("n_best"),
+        F.coalesce("count_sum", F.lit(0)).cast("bigint").alias("count_sum"),
+        "groups_sha256",
+    )
+
+
 def op12_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").select("doc_id", "text")
     planted = periodic_runs.with_planted_runs(docs, id_column="doc_id", text_column="text")
@@ -146,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_nearest": op9_nearest,
     "op10_simhash": op10_simhash,
+    "op11_alignment": op11_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_toxicity": op13_toxicity,
 }
