@@ -49,9 +49,11 @@ DROPOUT = 0.5
 PADDING = 200
 
 MARKS = ".,;:!?\"'()[]{}*#$%&|-_<>"
+# Words remembered by a task, and characters of them.
 KNOWN_WORDS = 300_000
-# Longer words are not remembered.
-LONGEST_KNOWN = 64
+KNOWN_CHARACTERS = 8_000_000
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -59,41 +61,35 @@ def words_of(text: str | None) -> list[str]:
     return [w for w in (w.strip(MARKS) for w in (text or "").lower().split()) if w]
 
 
-def subwords(word: str, buckets: int = BUCKETS) -> list[int]:
-    """Buckets of the character n-grams of a word, repeats included."""
-    import xxhash
-
-    digest = xxhash.xxh32_intdigest
-    marked = f"<{word}>"
-    return [
-        digest(marked[i : i + n]) % buckets for n in GRAMS for i in range(max(1, len(marked) - n + 1))
-    ]
-
-
-class Bags:
-    """Texts as bags of subwords, for use inside a task."""
-
-    def __init__(self, buckets: int = BUCKETS):
-        self.buckets = buckets
-        self.known: dict[str, np.ndarray] = {}
+def subwords(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, word) of every character n-gram of words that are not empty, repeats included.
 
-    def _word(self, word: str) -> np.ndarray:
-        found = self.known.get(word)
-        if found is None:
-            found = np.array(subwords(word, self.buckets), np.int32)
-            if len(word) <= LONGEST_KNOWN:
-                if len(self.known) >= KNOWN_WORDS:
-                    self.known.clear()
-                self.known[word] = found
-        return found
-
-    def of(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """(bucket, share): the different buckets of a text, and their shares of all subwords."""
-        words = words_of(text)
-        if not words:
-            return np.zeros(0, np.int32), np.zeros(0, np.float32)
-        bucket, count = np.unique(np.concatenate([self._word(w) for w in words]), return_counts=True)
-        return bucket, (count / (count.sum() + PADDING)).astype(np.float32)
+    Words are marked at their ends, so each has one n-gram of the least length at least.
+    """
+    marked = "".join(f"<{w}>" for w in words)
+    codes = np.frombuffer(marked.encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    word = np.repeat(np.arange(len(words)), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
+    found, owner = [], []
+    for n in GRAMS:
+        hashes = np.full(max(0, len(codes) - n + 1), n, np.uint64)
+        for k in range(n):
+            hashes = (hashes + codes[k : k + len(hashes)]) * _BASE
+            hashes ^= hashes >> np.uint64(29)
+        inside = np.flatnonzero(left[: len(hashes)] >= n)
+        found.append((hashes[inside] % np.uint64(buckets)).astype(np.int32))
+        owner.append(word[inside])
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def bag(text: str | None, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, share): the different buckets of a text, and their shares of all subwords."""
+    words = words_of(text)
+    if not words:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    bucket, count = np.unique(subwords(words, buckets)[0], return_counts=True)
+    return bucket, (count / (count.sum() + PADDING)).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -117,27 +113,36 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[float, int]] = {}
-
-    def _word(self, word: str) -> tuple[float, int]:
-        bare = word.strip(MARKS)
-        found = (0.0, 0)
-        if bare:
-            buckets = subwords(bare, len(self.model.weight))
-            found = (float(self.model.weight[buckets].sum(dtype=np.float64)), len(buckets))
-        if len(word) <= LONGEST_KNOWN:
-            self.known[word] = found
-        return found
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.total, self.size = np.zeros(0), np.zeros(0)
+        self.characters = 0
+
+    def _learn(self, words: list[str]) -> None:
+        bare = [w.strip(MARKS) for w in words]
+        some = np.array([i for i, w in enumerate(bare) if w], np.int64)
+        total, size = np.zeros(len(words)), np.zeros(len(words))
+        if len(some):
+            bucket, owner = subwords([bare[i] for i in some], len(self.model.weight))
+            total[some] = np.bincount(owner, self.model.weight[bucket], len(some))
+            size[some] = np.bincount(owner, minlength=len(some))
+        self.place.update(zip(words, range(len(self.total), len(self.total) + len(words))))
+        self.total, self.size = np.r_[self.total, total], np.r_[self.size, size]
+        self.characters += sum(map(len, words))
 
     def margins(self, texts: list[str | None]) -> np.ndarray:
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        total, size = np.zeros(len(texts)), np.zeros(len(texts))
-        for row, text in enumerate(texts):
-            get, own = self.known.get, self._word
-            words = [get(w) or own(w) for w in (text or "").lower().split()]
-            if words:
-                total[row], size[row] = np.array(words).sum(axis=0)
+        if len(self.place) > KNOWN_WORDS or self.characters > KNOWN_CHARACTERS:
+            self._forget()
+        cut = [(t or "").lower().split() for t in texts]
+        new = {w for words in cut for w in words}.difference(self.place)
+        if new:
+            self._learn(list(new))
+        sizes = [len(words) for words in cut]
+        at = np.fromiter((self.place[w] for words in cut for w in words), np.int64, sum(sizes))
+        text = np.repeat(np.arange(len(texts)), sizes)
+        total, size = (np.bincount(text, v[at], len(texts)) for v in (self.total, self.size))
         return self.model.margin(total, size)
 
 
@@ -233,9 +238,8 @@ def fit_toxicity(
     found = texts.join(F.broadcast(chosen), "id").select("id", "label", "t")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bags = Bags()
         for batch in batches:
-            made = [bags.of(t) for t in batch.column(2).cast(pa.string()).to_pylist()]
+            made = [bag(t) for t in batch.column(2).cast(pa.string()).to_pylist()]
             columns = [
                 pa.array([len(b) for b, _ in made], pa.int64()),
                 pa.array([b.tobytes() for b, _ in made], pa.binary()),

@@ -24,8 +24,7 @@ def made_texts(count, seed=3):
 
 def test_misspelled_words_share_the_weights_of_their_parts():
     texts, labels = made_texts(600)
-    bags = X.Bags()
-    model = X.fit_bags([bags.of(t) for t in texts[:400]], labels[:400])
+    model = X.fit_bags([X.bag(t) for t in texts[:400]], labels[:400])
     score = lambda found: X.probability(X.Scorer(model).margins(found))
     assert ((score(texts[400:]) > 0.5) == labels[400:]).mean() > 0.98
     misspelled = [t.replace("horrible", "horrrible").replace("vermin", "verminn") for t in texts[400:]]
@@ -39,10 +38,19 @@ def test_remembered_sums_equal_the_averaged_bag():
     scorer = X.Scorer(model)
     for _ in range(2):
         for text, margin in zip(texts, scorer.margins(texts)):
-            bucket, share = X.Bags().of(text)
+            bucket, share = X.bag(text)
             assert abs((model.weight[bucket] * share).sum() + 0.25 - margin) < 1e-4
 
 
+def test_subwords_are_those_of_each_word_alone():
+    words = ["a", "idiot", "🙂é", "x" * 40, "of", "idiot"]
+    bucket, owner = X.subwords(words)
+    for at, word in enumerate(words):
+        alone, one = X.subwords([word])
+        assert sorted(bucket[owner == at].tolist()) == sorted(alone.tolist()) and not one.any()
+        assert len(alone) == sum(max(0, len(word) + 3 - n) for n in X.GRAMS)
+
+
 def test_odd_labels_and_rows(spark, texts):
     docs = texts([(1, "a b"), (2, None), (None, ""), (1, "a b"), (5, "word " * 3)])
     for rows, expected in [([], 0.5), ([(1, 1), (2, None), (77, 0), (None, 1), (5, 3)], 0.75)]:
