@@ -3,19 +3,36 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 import __spark_entry__ as driver
 from gaugeline.llm import passages as P
 
 
-def plain(docs, similarity=0.8, n=5, least=20):
-    """{(doc, paragraph): first of its class} for classes of two or more, by all pairs."""
+def plain_paragraphs(text, reach=P.REACH):
+    """(number, words) of each paragraph, pair by pair of words."""
+    words = (text or "").encode().lower().split()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+    pairs = P._mixed(hashes[:-1], hashes[1:]).tolist()
+    cuts = [0] if words else []
+    for i in range(reach + 1, len(words) - reach - 1):
+        before, after = pairs[i - reach : i], pairs[i + 1 : i + reach + 1]
+        if pairs[i] < min(before) and pairs[i] <= min(after):
+            cuts.append(i)
+    found = [words[a:b] for a, b in zip(cuts, [*cuts[1:], len(words)])]
+    return [(n, p) for n, p in enumerate(found) if len(p) > reach]
+
+
+def plain(docs, similarity=0.8, n=5):
+    """{(row, paragraph): first of its class} for classes of two or more, by all pairs.
+
+    Rows are numbered in order of ids, without an id first.
+    """
     items = []
-    for doc, text in docs:
-        for number, line in enumerate((text or "").split("\n")):
-            words = line.encode().lower().split()
-            if len(words) >= least:
-                items.append(((doc, number), {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
+    order = sorted(range(len(docs)), key=lambda r: (docs[r][0] is not None, docs[r][0] or 0, r))
+    for row, at in enumerate(order):
+        for number, words in plain_paragraphs(docs[at][1]):
+            items.append(((row, number), {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
     label = {p: p for p, _ in items}
     where = defaultdict(list)
     sets = dict(items)
@@ -36,8 +53,10 @@ def plain(docs, similarity=0.8, n=5, least=20):
     return {p: first for p, first in label.items() if sizes[first] > 1}
 
 
-def classes(rows):
-    return {(r.doc_id, r.paragraph): (r.class_doc_id, r.class_paragraph) for r in rows}
+def classes(rows, docs):
+    """The same of found rows; docs have different ids."""
+    row = {d: n for n, d in enumerate(sorted(d for d, _ in docs))}
+    return {(row[r.doc_id], r.paragraph): (row[r.class_doc_id], r.class_paragraph) for r in rows}
 
 
 def test_bands_reach_the_recall():
@@ -47,6 +66,26 @@ def test_bands_reach_the_recall():
         assert bands * rows <= P.MOST_HASHES
 
 
+def test_paragraphs_of_a_batch_equal_those_cut_one_by_one():
+    rng = random.Random(2)
+    made = [" ".join(rng.choices("a b c dd é Ff".split(), k=rng.randint(0, 200))) for _ in range(60)]
+    texts = [*made, "", " \n", "x", "a b c d e f g", "a b c d e f g h", "of " * 500, "x y " * 300, "\t" + made[0]]
+    raw = [t.replace(" ", "\n", 3).encode() for t in texts]
+    batch = P.Paragraphs(raw, P.WordHashes(), P.REACH)
+    got = {}
+    for text, number, first, n_chars, a, b in zip(batch.text, batch.number, *batch.spans(), batch.first, batch.end):
+        span = raw[text].decode()[first : first + n_chars]
+        got[text, number] = span.encode().lower().split()
+        assert span == span.strip() and len(got[text, number]) == b - a
+    expected = {(t, n): words for t, text in enumerate(raw) for n, words in plain_paragraphs(text.decode())}
+    assert got == expected and len(got) > 300
+    # Names stand for words: equal ones exactly where the words are.
+    names = list(zip(*(x.tolist() for x in batch.names())))
+    words = [tuple(got[k]) for k in zip(batch.text, batch.number)]
+    assert len(set(names)) == len(set(words)) == len(set(zip(names, words)))
+    assert P.Paragraphs([], P.WordHashes(), P.REACH).names()[0].size == 0
+
+
 @pytest.mark.parametrize("block", [1 << 19, 400])
 def test_edited_passages(texts, monkeypatch, block):
     monkeypatch.setattr(P, "BLOCK_SHINGLES", block)
@@ -60,15 +99,34 @@ def test_edited_passages(texts, monkeypatch, block):
         for _ in range(rng.randint(0, 3)):
             own[rng.randrange(len(own))] = "edit"
         lines.insert(rng.randint(0, 3), " ".join(own).upper() if rng.random() < 0.3 else " ".join(own))
-        docs.append((doc, "\n".join(lines)))
+        docs.append((doc, rng.choice("\n ").join(lines)))
     found = P.repeated_passages(texts(docs), recall=0.99999).collect()
     expected = plain(docs)
-    assert classes(found) == expected and len(expected) > 25
-    by_id = dict(docs)
-    for r in found:
-        line = by_id[r.doc_id].split("\n")[r.paragraph]
-        assert by_id[r.doc_id][r.start : r.start + r.n_chars] == line
-        assert r.removed == ((r.doc_id, r.paragraph) != (r.class_doc_id, r.class_paragraph))
+    assert classes(found, docs) == expected and len(expected) > 100
+    assert all(r.removed == ((r.doc_id, r.paragraph) != (r.class_doc_id, r.class_paragraph)) for r in found)
+
+
+def test_passages_are_found_however_they_are_set(texts):
+    """Of 51 to 120 words: on lines of 8 words, on one line, within a longer line."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    fresh = lambda low, high: rng.choices(words, k=rng.randint(low, high))
+    docs, sizes = [], {}
+    for n in range(150):
+        passage = fresh(51, 120)
+        for way in range(3):
+            before, after = fresh(20, 200), fresh(20, 200)
+            wrapped = "\n".join(" ".join(passage[i : i + 8]) for i in range(0, len(passage), 8))
+            middle = (wrapped, " ".join(passage), " ".join(passage))[way]
+            gap = ("\n", "\n", " ")[way]
+            docs.append((n * 3 + way, gap.join([" ".join(before), middle, " ".join(after)])))
+            sizes[n * 3 + way] = len(passage)
+    docs += [(1000 + n, " ".join(fresh(40, 300))) for n in range(100)]
+    found = {r.doc_id for r in P.repeated_passages(texts(docs)).collect()}
+    assert max(found) < 1000
+    assert len(found) >= 0.97 * len(sizes)
+    long = {d for d, size in sizes.items() if size >= 75}
+    assert len(found & long) == len(long)
 
 
 def test_links_span_groups_of_all_similar_pairs():
@@ -101,16 +159,24 @@ def test_links_span_groups_of_all_similar_pairs():
 
 
 def test_odd_rows(texts):
-    line = " ".join(f"word{i}" for i in range(30))
-    docs = [(2, line), (1, None), (3, ""), (2, line), (None, "é\n" + line.upper()), (4, "short line"), (5, line + "\n" + line)]
-    docs += [(6, " ".join(f"v{i}" for i in range(60_000)))]
+    line = " ".join(f"word{i}" for i in range(12))
+    docs = [(2, line), (1, None), (3, ""), (2, line), (None, "é\n" + line.upper()), (4, "short line"), (5, "of " * 30)]
+    docs += [(None, line), (None, line), (6, "of " * 30), (7, " ".join(f"v{i}" for i in range(60_000)))]
     found = P.repeated_passages(texts(docs)).collect()
-    places = sorted((r.doc_id or 0, r.paragraph, r.start, r.removed) for r in found)
-    assert places == [(0, 1, 2, False), (2, 0, 0, True), (2, 0, 0, True), (5, 0, 0, True), (5, 1, len(line) + 1, True)]
     assert P.repeated_passages(texts([])).count() == 0
+    got = Counter((r.doc_id, r.paragraph, r.start, r.n_chars, r.class_doc_id, r.class_size, r.removed) for r in found)
+    # Of rows without id and with one id, all but the first go.
+    assert got.pop((5, 0, 0, 89, 5, 2, False)) == 1 and got.pop((6, 0, 0, 89, 5, 2, True)) == 1
+    size, rest = len(line), (None, 5)
+    assert got == {
+        (None, 0, 0, size + 2, *rest, False): 1, (None, 0, 0, size, *rest, True): 2, (2, 0, 0, size, *rest, True): 2,
+    }
+    with pytest.raises(ValueError):
+        P.repeated_passages(texts(docs), reach=3)
 
 
 def test_query(spark):
     directory = "/root/testdata/sf0.001"
     docs = [tuple(r) for r in spark.read.parquet(f"{directory}/documents.parquet").select("doc_id", "text").collect()]
-    assert classes(driver.queries()["op4_passages"](spark, directory).collect()) == plain(docs)
+    assert len({d for d, _ in docs}) == len(docs)
+    assert classes(driver.queries()["op4_passages"](spark, directory).collect(), docs) == plain(docs)
