@@ -15,8 +15,9 @@ occurrences of all others meet the table in a join.
 
 Defined cases: a null text is an empty one and has its end only. Rows are scored
 each, also repeated ones; without id they belong to the training texts. Without
-training texts every word has count zero. An empty table gives no rows. Words of
-more than ``PART`` characters are a sequence of parts of that length.
+training texts every word has count zero. An empty table gives no rows. Very long words
+are gone through in blocks of ``PART`` characters, each of which carries on from the one
+before, so all their segmentations count.
 """
 
 from __future__ import annotations
@@ -42,6 +43,9 @@ SMOOTHING = 0.1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 18
 
+# Weights and piece numbers by (word, end, length), and the bytes of odd characters.
+Arcs = tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]
+
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -129,7 +133,7 @@ class Lattice:
             left = tuple(x[open_] for x in left)
         return out
 
-    def arcs(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    def arcs(self, codes: np.ndarray) -> Arcs:
         """Weights and piece numbers by (word, end, length), and the bytes of odd characters."""
         n, width = codes.shape
         sums = self._prefixes(codes)
@@ -148,23 +152,34 @@ class Lattice:
         return weight, number, odd
 
     @staticmethod
-    def _forward(weight: np.ndarray) -> np.ndarray:
-        n, width, widest = weight.shape
-        alpha = np.full((n, width + 1), -np.inf)
-        alpha[:, 0] = 0
-        for end in range(1, width + 1):
-            reach = min(end, widest)
-            terms = weight[:, end - 1, :reach] + alpha[:, end - reach : end][:, ::-1]
+    def _extend(alpha: np.ndarray, weight: np.ndarray, first: int, begin: int) -> None:
+        """Forward values of the ends after ``first``; place 0 of ``weight`` is ``begin``."""
+        for end in range(first + 1, begin + weight.shape[1] + 1):
+            reach = min(end, weight.shape[2])
+            terms = weight[:, end - 1 - begin, :reach] + alpha[:, end - reach : end][:, ::-1]
             top = terms.max(axis=1)
             alpha[:, end] = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
-        return alpha
+
+    def _forward(self, codes: np.ndarray) -> tuple[np.ndarray, Arcs | None]:
+        """Forward values, and the arcs where they are those of whole words.
+
+        Long words go block by block; each block carries on from the values before it.
+        """
+        n, width = codes.shape
+        alpha = np.full((n, width + 1), -np.inf)
+        alpha[:, 0] = 0
+        arcs = None
+        for first in range(0, width, PART):
+            begin = max(0, first - self.widest + 1)
+            arcs = self.arcs(codes[:, begin : first + PART])
+            self._extend(alpha, arcs[0], first, begin)
+        return alpha, arcs if width <= PART else None
 
     def probabilities(self, words: list[str]) -> np.ndarray:
         """Natural-log marginal probability of each word, as part of a text."""
         out = np.zeros(len(words))
         for places, codes in _by_length(words):
-            alpha = self._forward(self.arcs(codes)[0])
-            np.add.at(out, places, alpha[:, -1])
+            out[places] = self._forward(codes)[0][:, -1]
         return out
 
     def expected(
@@ -175,36 +190,51 @@ class Lattice:
         The words were met ``counts`` times among ``tokens``; ``share`` is that of
         whole-word arcs.
         """
-        total = np.zeros(len(self.v.pieces))
-        by_pieces = np.log(1 - share) + self.probabilities(words)
-        with np.errstate(divide="ignore"):
-            whole = np.log(share * (counts - 1) / max(1, tokens - 1))
-        counts = counts * np.exp(by_pieces - np.logaddexp(by_pieces, whole))
+        total, made = np.zeros(len(self.v.pieces)), 0.0
         for places, codes in _by_length(words):
-            weight, number, odd = self.arcs(codes)
-            n, width, widest = weight.shape
-            alpha = self._forward(weight)
-            beta = np.full((n, width + 1), -np.inf)
-            beta[:, width] = 0
-            for start in range(width - 1, -1, -1):
-                reach = min(width - start, widest)
+            alpha, arcs = self._forward(codes)
+            by_pieces = np.log(1 - share) + alpha[:, -1]
+            with np.errstate(divide="ignore"):
+                whole = np.log(share * (counts[places] - 1) / max(1, tokens - 1))
+            times = counts[places] * np.exp(by_pieces - np.logaddexp(by_pieces, whole))
+            made += float(times.sum())
+            self._add_expected(total, codes, alpha, arcs, times)
+        return total, made
+
+    def _add_expected(
+        self, total: np.ndarray, codes: np.ndarray, alpha: np.ndarray, arcs: Arcs | None, times: np.ndarray
+    ) -> None:
+        """Add to ``total`` how often each piece is expected in words met so many times."""
+        n, width = codes.shape
+        beta = np.full((n, width + 1), -np.inf)
+        beta[:, width] = 0
+        for first in reversed(range(0, width, PART)):
+            last = min(width, first + PART)
+            covered = codes[:, first : last + self.widest - 1]
+            weight, number, odd = arcs or self.arcs(covered)
+            for start in range(last - 1, first - 1, -1):
+                reach = min(width - start, weight.shape[2])
                 steps = np.arange(reach)
-                terms = weight[:, start + steps, steps] + beta[:, start + 1 : start + 1 + reach]
+                terms = weight[:, start - first + steps, steps] + beta[:, start + 1 : start + 1 + reach]
                 top = terms.max(axis=1)
                 beta[:, start] = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
-            # The share of a word's probability that goes through each arc.
+            # The share of a word's probability that goes through each arc that begins here.
             through = np.full_like(weight, -np.inf)
-            for length in range(1, widest + 1):
-                through[:, length - 1 :, length - 1] = (
-                    alpha[:, : width - length + 1] + weight[:, length - 1 :, length - 1] + beta[:, length:]
-                )
-            through = np.exp(through - alpha[:, -1][:, None, None]) * counts[places][:, None, None]
+            for length in range(1, weight.shape[2] + 1):
+                begins = min(last, width - length + 1) - first
+                if begins > 0:
+                    ends = slice(length - 1, length - 1 + begins)
+                    through[:, ends, length - 1] = (
+                        alpha[:, first : first + begins]
+                        + weight[:, ends, length - 1]
+                        + beta[:, first + length : first + length + begins]
+                    )
+            through = np.exp(through - alpha[:, -1][:, None, None]) * times[:, None, None]
             used = number >= 0
             total += np.bincount(number[used], through[used], len(total))
             for code, raw in odd.items():
-                amount = through[:, :, 0][(codes == code) & (number[:, :, 0] < 0)].sum()
+                amount = through[:, :, 0][(covered == code) & (number[:, :, 0] < 0)].sum()
                 np.add.at(total, raw, amount)
-        return total, float(counts.sum())
 
 
 def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -212,15 +242,13 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     groups: dict[int, list[tuple[int, str]]] = {}
     for place, word in enumerate(words):
         marked = START + word
-        for at in range(0, len(marked), PART):
-            part = marked[at : at + PART]
-            groups.setdefault(len(part), []).append((place, part))
+        groups.setdefault(len(marked), []).append((place, marked))
     for length, found in groups.items():
         step = max(1, 40_000 // length)
         for at in range(0, len(found), step):
-            places, parts = zip(*found[at : at + step])
-            codes = np.frombuffer("".join(parts).encode("utf-32-le", "replace"), np.uint32)
-            yield np.array(places), codes.reshape(len(parts), length).astype(np.uint64)
+            places, marked = zip(*found[at : at + step])
+            codes = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), np.uint32)
+            yield np.array(places), codes.reshape(len(marked), length).astype(np.uint64)
 
 
 # ---- tables

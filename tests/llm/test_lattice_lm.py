@@ -44,19 +44,40 @@ def test_marginal_is_the_sum_over_segmentations(vocabulary):
     assert np.allclose(found, expected, rtol=1e-12)
 
 
-def test_long_words_are_parts(vocabulary):
+def plain_forward(vocabulary, word):
+    """Log marginal probability, forward and backward values of a marked word, arc by arc."""
+    arcs = sorted(arcs_of(vocabulary, word), key=lambda a: a[:2])
+    alpha, beta = np.full(len(word) + 1, -np.inf), np.full(len(word) + 1, -np.inf)
+    alpha[0] = beta[-1] = 0
+    for start, end, w, _ in sorted(arcs, key=lambda a: a[1]):
+        alpha[end] = np.logaddexp(alpha[end], alpha[start] + w)
+    for start, end, w, _ in sorted(arcs, key=lambda a: -a[0]):
+        beta[start] = np.logaddexp(beta[start], beta[end] + w)
+    return arcs, alpha, beta
+
+
+def plain_expected(vocabulary, word):
+    """(expected number of each piece, log marginal probability) of a marked word."""
+    out = np.zeros(len(vocabulary.pieces))
+    arcs, alpha, beta = plain_forward(vocabulary, word)
+    for start, end, w, piece in arcs:
+        share = np.exp(alpha[start] + w + beta[end] - alpha[-1])
+        names = [piece] if piece is not None else [vocabulary.bytes_at[b] for b in word[start].encode()]
+        np.add.at(out, names, share)
+    return out, alpha[-1]
+
+
+@pytest.mark.parametrize("part", [7, 20, 256])
+def test_blocks_of_long_words_change_nothing(vocabulary, monkeypatch, part):
+    monkeypatch.setattr(M, "PART", part)
     lattice = M.Lattice(vocabulary)
-    word = "ab" * 5000
-    marked = M.START + word
-    parts = [marked[i : i + M.PART] for i in range(0, len(marked), M.PART)]
-    alone = 0.0
-    for part in parts:
-        alpha = np.full(len(part) + 1, -np.inf)
-        alpha[0] = 0
-        for _, end, w, start in sorted((s, e, w, s) for s, e, w, _ in arcs_of(vocabulary, part)):
-            alpha[end] = np.logaddexp(alpha[end], alpha[start] + w)
-        alone += alpha[-1]
-    assert np.isclose(lattice.probabilities([word])[0], alone)
+    words = ["internationalreadings" * 40, "日本語のテキスト🙂" * 60, "the" * 3, "a" * 300, "éß" * 150]
+    expected = [plain_expected(vocabulary, M.START + w) for w in words]
+    assert np.allclose(lattice.probabilities(words), [p for _, p in expected], rtol=1e-12)
+    counts = np.ones(5)  # so the whole words, however likely, are left out
+    found, made = lattice.expected(words, counts, 1e-300, 10**9)
+    assert np.isclose(made, counts.sum())
+    assert np.allclose(found, sum(c * e for c, (e, _) in zip(counts, expected)), rtol=1e-9, atol=1e-9)
 
 
 def test_expected_pieces(vocabulary):
@@ -99,6 +120,40 @@ def test_odd_rows(texts, vocabulary, frequent):
     assert M.score_texts(texts([]), vocabulary).count() == 0
 
 
+def plain_scores(vocabulary, docs):
+    """The model's score of each text: EM over all different words, arc by arc."""
+    words_of = lambda t: [w.decode() for w in t.encode().lower().split()]
+    cut = [(zlib.crc32(str(d).encode()) % 7 == 2, words_of(t)) for d, t in docs]
+    c = Counter(w for held, words in cut if not held for w in words)
+    ends = sum(not held for held, _ in cut)
+    tokens, share = sum(c.values()) + ends, vocabulary.share
+    for _ in range(M.ROUNDS):
+        total, made = np.zeros(len(vocabulary.pieces)), 0.0
+        for word, n in c.items():
+            own, p = plain_expected(vocabulary, M.START + word)
+            by_pieces = (1 - share) * np.exp(p)
+            times = n * by_pieces / (by_pieces + share * (n - 1) / (tokens - 1))
+            total, made = total + times * own, made + times
+        vocabulary = vocabulary.learned(total, share)
+        share = float(np.clip(1 - made / sum(c.values()), 0.001, 0.999))
+    out = []
+    for _, words in cut:
+        by = [(1 - share) * np.exp(plain_forward(vocabulary, M.START + w)[1][-1]) + share * c[w] / tokens for w in words]
+        out.append(np.log10(by).sum() + np.log10(share * ends / tokens))
+    return out
+
+
+@pytest.mark.parametrize("frequent", [0, 15, 1000])
+def test_scores_equal_a_plain_model(spark, texts, vocabulary, frequent):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    docs = [tuple(r) for r in rows if 20 < len(r.text) < 400][:25]
+    docs += [(9001, "unbrokenabcdefghij" * 30), (9002, "unbrokenabcdefghij" * 30 + " the")]
+    assert {zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in docs} == {False, True}
+    expected = plain_scores(vocabulary, docs)
+    got = {r.doc_id: r.score for r in M.score_texts(texts(docs), vocabulary, frequent_words=frequent).collect()}
+    assert np.allclose([got[d] for d, _ in docs], expected, rtol=1e-7)
+
+
 def test_only_held_out_texts(texts, vocabulary):
     held = [d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
     docs = [(held[0], "a b"), (held[1], "")]
