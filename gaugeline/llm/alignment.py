@@ -10,7 +10,8 @@ that share a group. Products are made in blocks of rows of bounded size.
 Texts are cut before a space that follows a mark or letter. Neither tokenizer joins
 bytes across such a place: the byte-level one splits there before it merges, and no piece
 of the other has a space after other characters (checked; else texts stay whole). So equal
-parts are encoded and aligned once in a task, and a text adds up its parts.
+parts of a batch of texts are encoded and aligned once, and a text adds up its parts: one more
+product, of the parts of each text with the links of each part.
 
 How many texts hold a pair of ids linked is counted over the corpus. The most frequent
 pairs, up to a number, are broadcast to the texts; all others meet the counts in a join.
@@ -23,10 +24,9 @@ and each counts as a text. An empty table gives no rows; further columns are not
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +38,8 @@ from gaugeline.llm.common import BROADCAST_ROWS, column, map_arrow, row_numbers,
 START = "▁"
 # Entries of a product that are made at once.
 BLOCK_ENTRIES = 1 << 21
-KNOWN_PARTS = 200_000
-# Longer parts are not remembered.
-LONGEST_KNOWN = 64
+# Characters of texts that are aligned together.
+CHARACTERS_AT_ONCE = 2_000_000
 
 ALIGNED = (
     "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
@@ -94,8 +93,12 @@ def row_products(one: Rows, other: Rows, most: int = BLOCK_ENTRIES) -> Iterator[
         at = np.repeat(other.ends[named], sizes) + within
         value = np.repeat(one.value[a:b], sizes) * other.value[at]
         # Equal places of a row are added up.
-        place, number = np.unique(row * other.width + other.column[at], return_inverse=True)
-        total = np.bincount(number.reshape(-1), value, len(place)).astype(np.int64)
+        place = row * other.width + other.column[at]
+        if len(place) and (np.diff(place) < 0).any():
+            order = np.argsort(place, kind="stable")
+            place, value = place[order], value[order]
+        starts = np.flatnonzero(np.r_[True, np.diff(place) != 0]) if len(place) else place
+        place, total = place[starts], np.add.reduceat(value, starts) if len(place) else value
         ends = np.searchsorted(place, np.arange(last - first + 1) * other.width)
         yield first, Rows(ends, place % max(1, other.width), total, other.width)
         first = last
@@ -136,7 +139,7 @@ def shared_groups(a_group: np.ndarray, b_group: np.ndarray) -> Iterator[tuple[np
 # ---- tokenizers
 
 class ByteLevel:
-    """Tokens of a byte-level tokenizer file, for text that begins with a space."""
+    """Tokens of a byte-level tokenizer file."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -154,7 +157,9 @@ class ByteLevel:
         self.cuttable = True
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Of a space and each text."""
+        spaced = [" " + t for t in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
 
 
 class Pieces:
@@ -174,26 +179,47 @@ class Pieces:
                 self.cuttable &= START not in piece.lstrip(START)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Of texts that begin with a space."""
-        # A lone space is no text to the model, only after other characters.
-        lone = [t == " " for t in texts]
-        asked = ["x " if alone else t[1:] for t, alone in zip(texts, lone)]
-        found = self.model.encode(asked, num_threads=1)
-        if any(lone):
+        """Of a space and each text."""
+        # No text at all gets no space either, only one that ends with it.
+        found = self.model.encode([t or "x " for t in texts], num_threads=1)
+        if "" in texts:
             before = len(self.model.encode("x"))
-            found = [ids[before:] if alone else ids for ids, alone in zip(found, lone)]
+            found = [ids if t else ids[before:] for ids, t in zip(found, texts)]
         return found
 
 
+class Tokens:
+    """The tokens of one side in a row, and how many of them each part has."""
+
+    def __init__(self, tokenizer: ByteLevel | Pieces):
+        self.tokenizer = tokenizer
+        self.sizes = np.array([len(b) for b in tokenizer.bytes_of])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(tokenizer.bytes_of), np.uint8)
+        self.names = list(map(str, range(len(tokenizer.bytes_of))))
+
+    def of(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.tokenizer.encode(parts)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
+
+    def bytes_of(self, ids: np.ndarray) -> np.ndarray:
+        sizes = self.sizes[ids]
+        return self.letters[np.arange(int(sizes.sum())) + np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes)]
+
+
 @dataclass(frozen=True)
-class Part:
-    """A part of a text: numbers of tokens, groups and links, and the links by pair of ids."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str
+class Parts:
+    """What each part of texts has: whether its tokens give back its bytes, numbers of tokens,
+    groups and links, its groups as text, and its links by pair of ids."""
+
+    right: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    groups: list[str]
+    ends: np.ndarray
     pairs: np.ndarray
     links: np.ndarray
 
@@ -201,100 +227,125 @@ class Part:
 _NOTHING = np.zeros(0, np.int64)
 
 
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of so many values each."""
+    total = np.r_[0, np.cumsum(values)]
+    ends = np.cumsum(counts)
+    return total[ends] - total[ends - counts]
+
+
 class Aligner:
-    """Texts to linked tokens, by remembered parts."""
+    """Texts to linked tokens, for use inside a task."""
 
     def __init__(self, one: ByteLevel | Pieces, other: ByteLevel | Pieces):
-        self.one, self.other = one, other
+        self.cuttable = one.cuttable and other.cuttable
+        self.sides = Tokens(one), Tokens(other)
         self.width = len(other.bytes_of)  # a pair is (id of one) * width + (id of other)
-        self.sizes = [np.array([len(b) for b in t.bytes_of]) for t in (one, other)]
-        self.known: dict[str, Part | None] = {}
+        self.span = len(one.bytes_of) * self.width
 
     def parts(self, text: str) -> list[str]:
-        """What " " + text is cut into."""
-        spaced = " " + text
-        if not (self.one.cuttable and self.other.cuttable):
-            return [spaced]
-        cuts = [0, *(m.start() for m in _CUT.finditer(spaced)), len(spaced)]
-        return [spaced[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def align(self, parts: list[str]) -> list[Part | None]:
-        """Each part, or None for one whose tokens do not give back its bytes."""
-        out: list[Part | None] = [None] * len(parts)
-        ids = [t.encode(parts) for t in (self.one, self.other)]
-        right = []
-        for place, part in enumerate(parts):
-            raw = part.encode()
-            if all(b"".join(map(t.bytes_of.__getitem__, i[place])) == raw for t, i in zip((self.one, self.other), ids)):
-                right.append(place)
-        if not right:
-            return out
-        a, b = (np.concatenate([np.array(i[p], np.int64) for p in right]) for i in ids)
-        a_end, b_end = (np.cumsum([len(i[p]) for p in right]) for i in ids)
-        a_group, b_group = groups_of(self.sizes[0][a], self.sizes[1][b])
-        part_of = np.repeat(np.arange(len(right)), np.diff(np.r_[0, a_end]))
+        """What the text is cut into, each without the space before it."""
+        return _CUT.split(text) if self.cuttable else [text]
+
+    def align(self, parts: list[str]) -> Parts:
+        """Every part, each with a space before it."""
+        raw = [b" " + part.encode() for part in parts]
+        raw_sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        found = [side.of(parts) for side in self.sides]
+        right = np.ones(len(parts), bool)
+        for side, (ids, counts) in zip(self.sides, found):
+            right &= _sums(side.sizes[ids], counts) == raw_sizes
+        for side, (ids, counts) in zip(self.sides, found):
+            # Of parts as long as their tokens are, so the bytes stand one below the other.
+            kept = np.repeat(right, counts)
+            letters = np.frombuffer(b"".join(r for r, fine in zip(raw, right.tolist()) if fine), np.uint8)
+            differ = _sums(side.bytes_of(ids[kept]) != letters, raw_sizes[right])
+            right[np.flatnonzero(right)[differ > 0]] = False
+            if not right.any():
+                break
+        (a, n_a), (b, n_b) = ((ids[np.repeat(right, counts)], np.where(right, counts, 0)) for ids, counts in found)
+        none = np.zeros(len(parts), np.int64)
+        if not len(a):
+            return Parts(right, none, none, none, none, [""] * len(parts), np.zeros(len(parts) + 1, np.int64), _NOTHING, _NOTHING)
+        a_group, b_group = groups_of(self.sides[0].sizes[a], self.sides[1].sizes[b])
+        part_of = np.repeat(np.arange(len(parts)), n_a)
         # Links by part and pair, added up block by block.
-        span = len(self.one.bytes_of) * self.width
         keys, counts = [], []
         for row, col in shared_groups(a_group, b_group):
-            key, count = np.unique(part_of[row] * span + a[row] * self.width + b[col], return_counts=True)
+            key, count = np.unique(part_of[row] * self.span + a[row] * self.width + b[col], return_counts=True)
             keys.append(key)
             counts.append(count)
         key, number = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(number.reshape(-1), np.concatenate(counts), len(key)).astype(np.int64)
-        key_end = np.searchsorted(key, np.arange(1, len(right) + 1) * span)
-
-        n_groups = int(a_group[-1]) + 1
-        a_cut = np.searchsorted(a_group, np.arange(n_groups + 1)).tolist()
-        b_cut = np.searchsorted(b_group, np.arange(n_groups + 1)).tolist()
-        a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-        texts = [
-            ",".join(a_text[a_cut[g] : a_cut[g + 1]]) + "|" + ",".join(b_text[b_cut[g] : b_cut[g + 1]])
-            for g in range(n_groups)
-        ]
-        group_end = (a_group[a_end - 1] + 1).tolist()
-        from_a = from_b = from_key = from_group = 0
-        for place, *ends in zip(right, a_end.tolist(), b_end.tolist(), key_end.tolist(), group_end):
-            links = count[from_key : ends[2]]
-            out[place] = Part(
-                ends[0] - from_a,
-                ends[1] - from_b,
-                ends[3] - from_group,
-                int(links.sum()),
-                ";".join(texts[from_group : ends[3]]),
-                key[from_key : ends[2]] % span,
-                links,
-            )
-            from_a, from_b, from_key, from_group = ends
-        return out
+        links = np.bincount(number.reshape(-1), np.concatenate(counts), len(key)).astype(np.int64)
+        ends = np.searchsorted(key, np.arange(len(parts) + 1) * self.span)
+        # The last group of each part, and so their numbers.
+        last = np.cumsum(n_a) - 1
+        upto = np.where(last >= 0, a_group[np.maximum(last, 0)] + 1, 0)
+        n_groups = np.diff(np.r_[0, upto])
+        return Parts(
+            right, n_a, n_b, n_groups, _sums(links, np.diff(ends)),
+            self._texts(a, b, a_group, b_group, n_a, n_b), ends, key % self.span, links,
+        )
+
+    def _texts(self, a, b, a_group, b_group, n_a, n_b) -> list[str]:
+        """The groups of each part as text, cut out of that of all."""
+        group = np.r_[a_group, b_group]
+        order = np.argsort(group, kind="stable")  # of equal groups those of one side first
+        side = order >= len(a)
+        ids = np.r_[a, b][order]
+        # Between tokens of a group a comma, between its sides a bar, after it a semicolon.
+        same_group = np.r_[group[order][1:] == group[order][:-1], False]
+        same_side = np.r_[side[1:] == side[:-1], False]
+        mark = np.where(~same_group, 2, np.where(same_side, 0, 1)).tolist()
+        names = (self.sides[0].names, self.sides[1].names)
+        pieces = [names[s][i] + ",|;"[m] for s, i, m in zip(side.tolist(), ids.tolist(), mark)]
+        text = "".join(pieces)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(n_a + n_b)]].tolist()
+        return [text[i : max(i, j - 1)] for i, j in zip(ends, ends[1:])]
 
     def texts(self, texts: list[str | None]) -> Iterator[tuple]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, links) of each text."""
+        at, size = 0, 0
+        for place, text in enumerate(texts):
+            size += len(text or "")
+            if size >= CHARACTERS_AT_ONCE or place == len(texts) - 1:
+                yield from self._batch(texts[at : place + 1])
+                at, size = place + 1, 0
+
+    def _batch(self, texts: list[str | None]) -> Iterator[tuple]:
         cut = [self.parts(t) if t else [] for t in texts]
-        new = list({p for parts in cut for p in parts}.difference(self.known))
-        if len(self.known) + len(new) > KNOWN_PARTS:
-            self.known.clear()
-            new = list({p for parts in cut for p in parts})
-        # Long parts go one by one, so that little is aligned at once.
-        short = [p for p in new if len(p) <= LONGEST_KNOWN]
-        self.known.update(zip(short, self.align(short)))
-        for parts in cut:
-            counts = Counter(parts)
-            own = {p: self.known[p] if len(p) <= LONGEST_KNOWN else self.align([p])[0] for p in counts}
-            if not parts or None in own.values():
-                yield 0, 0, 0, 0, "", _NOTHING, _NOTHING
-                continue
-            found, times = list(own.values()), list(counts.values())
-            pairs = np.concatenate([p.pairs for p in found])
-            links = np.concatenate([p.links for p in found])
-            links = links * np.repeat(times, [len(p.pairs) for p in found])
-            pair, number = np.unique(pairs, return_inverse=True)
-            sums = (
-                sum(n * t for n, t in zip(map(size, found), times))
-                for size in (lambda p: p.n_a, lambda p: p.n_b, lambda p: p.n_groups, lambda p: p.n_links)
-            )
-            groups = ";".join([own[p].groups for p in parts])
-            yield *sums, groups, pair, np.bincount(number.reshape(-1), links, len(pair)).astype(np.int64)
+        number: dict[str, int] = {}
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        place = np.fromiter(
+            (number.setdefault(p, len(number)) for parts in cut for p in parts), np.int64, int(sizes.sum())
+        )
+        if not number:
+            yield from repeat((0, 0, 0, 0, "", _NOTHING, _NOTHING), len(texts))
+            return
+        parts = self.align(list(number))
+        row = np.repeat(np.arange(len(texts)), sizes)
+        wrong = np.bincount(row, ~parts.right[place], len(texts)) > 0
+        fine = ((sizes > 0) & ~wrong).tolist()
+        sums = [
+            np.bincount(row, values[place], len(texts)).astype(np.int64).tolist()
+            for values in (parts.n_a, parts.n_b, parts.n_groups, parts.n_links)
+        ]
+        met, times = np.unique(row * len(number) + place, return_counts=True)
+        ends = np.searchsorted(met, np.arange(len(texts) + 1) * len(number))
+        by_text = Rows(ends, met % len(number), times, len(number))
+        pairs, pair = np.unique(parts.pairs, return_inverse=True)
+        by_part = Rows(parts.ends, pair.reshape(-1), parts.links, len(pairs))
+        listed = parts.groups
+        ends = np.r_[0, np.cumsum(sizes)].tolist()
+        order = place.tolist()
+        for first, block in row_products(by_text, by_part):
+            for at, (i, j) in enumerate(zip(block.ends[:-1].tolist(), block.ends[1:].tolist()), first):
+                if not fine[at]:
+                    yield 0, 0, 0, 0, "", _NOTHING, _NOTHING
+                    continue
+                groups = ";".join([listed[p] for p in order[ends[at] : ends[at + 1]]])
+                yield *(s[at] for s in sums), groups, pairs[block.column[i:j]], block.value[i:j]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -340,7 +391,7 @@ def align_tokens(
                 ["row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "links"],
             )
 
-    return map_arrow(rows, work, ALIGNED, rows=128)
+    return map_arrow(rows, work, ALIGNED, rows=512)
 
 
 def pair_counts(aligned: DataFrame, width: int) -> DataFrame:

@@ -64,7 +64,7 @@ def test_parts_add_up_to_the_whole_text(libraries):
     made = ["".join(rng.choice(pieces) + rng.choice(["", " ", "  ", "\n", " "]) for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
     texts = [*ODD, *made, None, ""]
     aligner = A.Aligner(A.ByteLevel(BYTE_LEVEL), A.Pieces(PIECES))
-    assert aligner.one.cuttable and aligner.other.cuttable
+    assert aligner.cuttable
     linked = 0
     for text, found in zip(texts, [r for at in range(0, len(texts), 64) for r in aligner.texts(texts[at : at + 64])]):
         a, b, groups = plain(libraries, text)
