@@ -96,6 +96,84 @@ def test_short_items_with_one_changed_word(spark, texts):
     assert found == {(doc, doc // 100) for doc, _ in rows}
 
 
+def test_a_verbatim_stretch_counts_whatever_its_share(spark, texts, bench):
+    items, words, rng = bench
+    noise = lambda: " ".join(rng.choices(words, k=60))
+    long = [(50, " ".join(f"v{i}" for i in range(59)))]
+    rows = [(n, f"{noise()} {' '.join(long[0][1].split()[20 : 20 + n])} {noise()}") for n in range(5, 59)]
+    # Of 59 words with every fifth changed four in a row are left.
+    own = long[0][1].split()
+    own[4::5] = ["changed"] * len(own[4::5])
+    rows.append((100, " ".join(own)))
+    benchmark = spark.createDataFrame(items + long, "item_id bigint, text string")
+    found = {r.doc_id for r in D.contaminated(texts(rows), benchmark).collect()}
+    assert found == set(range(13, 59))
+    none = D.contaminated(texts(rows), benchmark, least_stretch=100).collect()
+    assert {r.doc_id for r in none} == set(range(30, 59))
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12])
+def test_a_crowded_bitmap_and_small_blocks_change_nothing(spark, texts, bench, monkeypatch, bits):
+    items, words, rng = bench
+    items += [(100 + i, " ".join(rng.choices(words[:12], k=30))) for i in range(30)]
+    rows = [(i, " ".join(rng.choices(words[:14], k=rng.randint(3, 90)))) for i in range(60)]
+    rows += [(200 + i, " ".join(t for _, t in rng.sample(items, 5))) for i in range(15)]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = lambda **how: sorted(map(tuple, D.contaminated(texts(rows), benchmark, **how).collect()))
+    expected = found()
+    assert len(expected) >= 75 and len({d for d, *_ in expected}) >= 15
+    monkeypatch.setattr(D, "SEED_BITS", bits)
+    assert found() == expected and found(block_words=1) == expected
+
+
+def plain_matches(rows, items):
+    """Scores by aligning whole texts with all items that share a seed with them."""
+    out = set()
+    for doc, text in rows:
+        words = D.words_of(text)
+        for item, item_text in items:
+            own = D.words_of(item_text)
+            n = D.seed_length(len(own), D.SEED_WORDS)
+            grams = lambda w: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}  # noqa: B023, E731
+            if own and grams(own) & grams(words):
+                score = plain_alignment(own, words)
+                if score >= D.LEAST_SCORE or score * len(own) >= D.LEAST_STRETCH:
+                    out.add((doc, item, round(score, 9)))
+    return out
+
+
+def test_matches_equal_those_of_whole_alignments(spark, texts):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(1, 45)))) for i in range(25)]
+    rows = []
+    for doc in range(60):
+        own = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 8)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randint(0, 2)] = rng.choices(words, k=rng.randint(0, 2))
+            own = own or ["w1"]
+        around = [rng.choices(words, k=rng.randint(0, 20)) for _ in range(2)]
+        rows.append((doc, " ".join([*around[0], *own, *around[1]])))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id, round(r.score, 9)) for r in D.contaminated(texts(rows), benchmark).collect()}
+    expected = plain_matches(rows, items)
+    assert {m[:2] for m in got} == {m[:2] for m in expected} and len(got) > 40
+    assert len(got & expected) >= 0.98 * len(expected)
+
+
+def test_clashing_names(spark, texts, bench):
+    items, _, _ = bench
+    docs = spark.createDataFrame(
+        [(1, items[0][1], 5, "x"), (2, "clean", 6, "y"), (None, None, 7, "z")],
+        "doc_id bigint, text string, _FOUND int, M1 string",
+    )
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    kept = D.drop_contaminated(docs, benchmark)
+    assert kept.columns == docs.columns and {r._FOUND for r in kept.collect()} == {6, 7}
+    assert docs.count() == D.drop_contaminated(docs, benchmark.where("false")).count()
+
+
 def test_odd_rows(spark, texts):
     rows = [(1, None), (2, ""), (3, "only one"), (None, "only one"), (3, "only one"), (4, "x " * 200_000 + "only one")]
     items = [(7, None), (8, ""), (9, "Only, one!"), (10, "only one"), (None, "... !!")]
