@@ -1,19 +1,22 @@
-"""Repeated windows of lines, found by their hashes and deleted where they come later.
-
-Lines are compared without white space around them; blank lines take no part. Over
-the lines of a document slides a window of ``window`` lines; a shorter document of
-two lines or more is one window. A window of lines that are all long is left out, as a line of ``alone`` characters or
-more is a window of its own, so a single long line is found as well.
-
-Every window is looked up; none are selected as in winnowing, and no match is extended
-line by line. A line goes if a window over it has occurred before, in the order of
-documents and lines. So a repeated run of ``window`` lines or more goes to its ends. Of
-a shorter one the long lines go and the short ones stay: a heading stays where its
-repeated paragraph goes, if the lines around the two differ. Each
-window is compared with its first occurrence only: a run met n times makes n links.
-
-All of it is DataFrame functions. Hashes of 64 and 32 bits together name a window; the
-smallest line hash and its place are further columns of the key and decide nothing.
+"""Repeated runs of lines, found by winnowing and deleted where they come later.
+
+Lines are compared without white space around them; blank lines take no part. The grams of a
+document are its pairs of consecutive lines, and each line of ``alone`` characters or more by
+itself. Of every two consecutive grams the one of least hash is selected, of equal ones the
+later, and each long line: these minima are the only fingerprints. A run of three
+lines, or one with a long line, has a fingerprint wherever it stands, and along
+a longer run one begins at every second line at least.
+
+Every place of a fingerprint is joined with its first one, in the order of documents
+and lines, and the match is extended line by line in both directions, by up to
+``window`` lines; what lies beyond is the match of the next fingerprint of the run. A matched
+run goes if it has ``window`` lines or a long one, so a heading goes with its
+repeated paragraph; a document of two short lines goes as a whole if another one was the
+same. A run met n times makes n matches, as none is compared with any but
+the first. What is not found: a run of short lines all of whose pairs came first in other
+surroundings.
+
+All of it is DataFrame functions. Grams are named by 128 bits, lines by 64.
 
 Defined cases: a null text stays null and has no lines. Empty texts and blank lines stay as they
 are. Rows of equal id and text are one document given several times and all get
@@ -31,42 +34,63 @@ from gaugeline.llm.common import column, fresh_name, saved
 WINDOW = 3
 ALONE = 40
 
+# Lines of a text without white space around them; those that are not blank; and their numbers.
 _LINES = "transform(split({text}, '\\n', -1), l -> trim(BOTH ' \\t\\r' FROM l))"
+_NUMBERS = "filter(transform(" + _LINES + ", (l, i) -> if(l <> '', i, -1)), i -> i >= 0)"
+
 
+def _name(lines: str) -> str:
+    return f"unhex(md5(CAST({lines} AS BINARY)))"
 
-def _windows(docs: DataFrame, window: int, alone: int) -> DataFrame:
-    """(id, mark, start, size, h1, h2): every window, named by its hashes.
 
-    ``docs`` has the columns id, mark and text.
+def fingerprints(docs: DataFrame, window: int, alone: int) -> DataFrame:
+    """(id, mark, gram, at, size, weighty, before, after): every selected gram.
+
+    ``at`` counts the lines that are not blank, ``size`` is that of the gram. A weighty
+    one needs no other lines to go. ``before`` and ``after`` are the hashes of the
+    next lines on either side, nearest first. ``docs`` has the columns id, mark and text.
     """
-    lines = docs.selectExpr(
+    lines = docs.selectExpr("id", "mark", f"filter({_LINES.format(text='text')}, l -> l <> '') AS ls")
+    grams = lines.where("size(ls) > 0").selectExpr(
         "id",
         "mark",
-        # line, its number and its hash, without blank lines
-        f"""filter(transform({_LINES.format(text='text')},
-              (l, i) -> named_struct('l', l, 'i', i, 'h', xxhash64(l))), x -> x.l <> '') AS lines""",
+        "transform(ls, l -> xxhash64(l)) AS hashes",
+        f"transform(ls, l -> length(l) >= {alone}) AS long",
+        # The gram of two short lines that are a document has a name of its own.
+        f"""transform(ls, (l, i) -> CASE
+              WHEN length(l) >= {alone} THEN {_name("l")}
+              WHEN i < size(ls) - 1 THEN {_name(f"""concat(
+                if(size(ls) = 2 AND length(ls[i + 1]) < {alone}, '\n', ''), l, '\n', ls[i + 1])""")}
+              END) AS grams""",
     )
-    runs = lines.where("size(lines) > 0").selectExpr(
-        "id",
-        "mark",
-        f"""filter(transform(sequence(1, greatest(size(lines) - {window - 1}, 1)),
-              s -> slice(lines, s, {window})),
-              w -> size(w) > 1 AND exists(w, x -> length(x.l) < {alone})) AS together""",
-        f"""transform(filter(lines, x -> length(x.l) >= {alone}), x -> array(x)) AS single""",
+    selected = grams.selectExpr(
+        "*",
+        """array_distinct(filter(transform(grams, (g, i) -> CASE
+              WHEN long[i] THEN i
+              WHEN get(grams, i + 1) IS NOT NULL THEN if(g < grams[i + 1], i, i + 1)
+              WHEN size(grams) = 2 AND i = 0 THEN 0 END), i -> i IS NOT NULL)) AS chosen""",
     )
-    each = runs.selectExpr("id", "mark", "explode(concat(together, single)) AS w")
-    return each.selectExpr(
+    # Built before they are unnested, as the arrays would be copied with every place.
+    return selected.selectExpr(
         "id",
         "mark",
-        "transform(w, x -> x.i) AS line_numbers",
-        # the smallest hash, the rightmost of equal ones
-        "array_min(transform(w, (x, i) -> named_struct('h', x.h, 'place', -i))) AS fingerprint",
-        "xxhash64(transform(w, x -> x.l)) AS h1",
-        "hash(transform(w, x -> x.l)) AS h2",
-    ).selectExpr(
-        "id", "mark", "line_numbers", "fingerprint.h AS fingerprint",
-        "-fingerprint.place AS place", "h1", "h2",
-    )
+        f"""inline(transform(chosen, at -> named_struct(
+              'gram', grams[at],
+              'at', at,
+              'size', if(long[at], 1, 2),
+              'weighty', long[at] OR coalesce(get(long, at + 1), false) OR size(long) = 2,
+              'before', transform(sequence(1, {window}), t -> get(hashes, at - t)),
+              'after', transform(sequence(0, {window - 1}),
+                                 t -> get(hashes, at + if(long[at], 1, 2) + t)))))""",
+    )
+
+
+def _equal_lines(one: str, other: str, window: int) -> str:
+    """How many lines of two arrays are equal from the first on."""
+    count = "0"
+    for t in reversed(range(window)):
+        count = f"if(coalesce(get({one}, {t}) = get({other}, {t}), false), 1 + {count}, 0)"
+    return count
 
 
 def repeated_lines(
@@ -77,28 +101,43 @@ def repeated_lines(
     window: int = WINDOW,
     alone: int = ALONE,
 ) -> DataFrame:
-    """id, mark (hash of the text) and the numbers of the lines that go, from 0."""
+    """id, mark (hash of the text) and the lines that go, counted from 0 among those not blank."""
     text = column(text_column).cast("string")
     rows = docs.select(column(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    windows = _windows(rows.where(F.col("text").isNotNull()), window, alone)
-    key = ["fingerprint", "place", "h1", "h2"]
-    here = F.struct(F.col("id"), F.col("mark"), F.col("line_numbers")[0].alias("line"))
-    met = windows.groupBy(*key).agg(F.min(here).alias("first"), F.max(here).alias("last"))
+    marks = fingerprints(rows.where(F.col("text").isNotNull()), window, alone)
+    place = F.struct("id", "mark", "at")
+    met = marks.groupBy("gram").agg(
+        F.min(F.struct("id", "mark", "at", "before", "after")).alias("first"), F.max(place).alias("last")
+    )
+    again = met.where("NOT (named_struct('id', first.id, 'mark', first.mark, 'at', first.at) <=> last)")
     # Stored, so the join has a shuffle on either side and a line that very many
     # documents share is split over tasks.
-    again = saved(met.where("NOT (first <=> last)").select(*key, "first"), "repeated")
-    later = windows.join(again, key).where(~here.eqNullSafe(F.col("first")))
+    again = saved(again.select("gram", "first"), "repeated")
+    first = F.struct("first.id", "first.mark", "first.at")
+    matches = marks.join(again, "gram").where(~place.eqNullSafe(first))
+    runs = matches.selectExpr(
+        "id",
+        "mark",
+        f"at - {_equal_lines('before', 'first.before', window)} AS begin",
+        f"at + size + {_equal_lines('after', 'first.after', window)} AS end",
+        "weighty",
+    ).where(f"weighty OR end - begin >= {window}")
     return (
-        later.select("id", "mark", F.explode("line_numbers").alias("line"))
+        runs.select("id", "mark", F.explode(F.sequence("begin", F.col("end") - 1)).alias("line"))
         .groupBy("id", "mark")
         .agg(F.collect_set("line").alias("removed"))
     )
 
 
-def _kept_text(text: Column, removed: Column) -> Column:
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _kept_text(text: Column, numbers: Column, removed: Column) -> Column:
     lines = F.split(text, "\n", -1)
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.transform(F.array_except(numbers, removed), lambda i: F.get(lines, i))
+    gone = F.transform(removed, lambda i: F.get(numbers, i))
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    kept = F.transform(F.array_except(every, gone), lambda i: F.get(lines, i))
     return F.when(removed.isNull(), text).otherwise(F.array_join(kept, "\n"))
 
 
@@ -126,8 +165,9 @@ def drop_repeated_lines(
     text, removed = column(text_column).cast("string"), column(own_lines)
     same = column(id_column).eqNullSafe(column(own_id)) & (F.xxhash64(text) == column(own_mark))
     joined = docs.join(gone, same, "left")
+    numbers = F.expr(_NUMBERS.format(text=f"CAST({_quoted(text_column)} AS STRING)"))
     names = [
-        _kept_text(text, removed).alias(name) if name == text_column else column(name)
+        _kept_text(text, numbers, removed).alias(name) if name == text_column else column(name)
         for name in docs.columns
     ]
     if lines_column:

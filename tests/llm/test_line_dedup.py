@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -9,39 +10,92 @@ from gaugeline.llm import line_dedup as L
 WINDOW, ALONE = 3, 40
 
 
-def plain(rows, window=WINDOW, alone=ALONE):
-    """{row number: text} by looking every window up among all earlier ones."""
+def plain(rows, window=WINDOW, alone=ALONE, reach=None):
+    """{row number: text} by selecting, looking up and extending line by line.
+
+    ``reach`` bounds how far a match is extended, None does not.
+    """
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    seen, out = set(), {}
+    first, documents, out = {}, {}, {}
     for i in order:
         text = rows[i][1]
         if text is None:
             out[i] = None
             continue
         parts = text.split("\n")
-        lines = [(n, p.strip(" \t\r")) for n, p in enumerate(parts) if p.strip(" \t\r")]
-        windows = [lines[k : k + window] for k in range(max(1, len(lines) - window + 1))]
-        windows = [w for w in windows if len(w) > 1 and any(len(x) < alone for _, x in w)]
-        windows += [[x] for x in lines if len(x[1]) >= alone]
+        numbers = [n for n, p in enumerate(parts) if p.strip(" \t\r")]
+        lines = documents[i] = [parts[n].strip(" \t\r") for n in numbers]
+        n, long = len(lines), [len(x) >= alone for x in lines]
+        grams = [(x,) if long[k] else tuple(lines[k : k + 2]) for k, x in enumerate(lines)]
+        if n and not long[-1]:
+            grams.pop()
+        if n == 2 and not any(long):
+            grams[0] = ("whole", *lines)
+        hashes = [hashlib.md5("\n".join(g if g[0] != "whole" else ("", *lines)).encode()).hexdigest() for g in grams]
+        chosen = {k for k in range(n) if long[k]} | ({0} if n == 2 and grams else set())
+        for k in range(len(grams) - 1):
+            if not long[k]:
+                chosen.add(k if hashes[k] < hashes[k + 1] else k + 1)
         gone = set()
-        for w in sorted(windows, key=lambda w: w[0][0]):
-            key = tuple(x for _, x in w)
-            gone |= {n for n, _ in w} if key in seen else set()
-            seen.add(key)
-        out[i] = "\n".join(p for n, p in enumerate(parts) if n not in gone)
+        for k in sorted(chosen):
+            if grams[k] not in first:
+                first[grams[k]] = (i, k)
+                continue
+            source, at = first[grams[k]]
+            other, begin, end, room = documents[source], k, k + (1 if long[k] else 2), reach or n
+            shift = at - k
+            while begin > 0 and k - begin < room and begin + shift > 0 and lines[begin - 1] == other[begin + shift - 1]:
+                begin -= 1
+            stop = end + room
+            while end < min(n, stop) and end + shift < len(other) and lines[end] == other[end + shift]:
+                end += 1
+            if end - begin >= window or any(long[k : k + 2]) or n == 2:
+                gone |= set(numbers[begin:end])
+        out[i] = "\n".join(p for number, p in enumerate(parts) if number not in gone)
     return out
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_equals_lookup_of_every_window(texts, seed):
+def test_equals_selecting_and_extending_line_by_line(texts, seed):
     rng = random.Random(seed)
     pool = [rng.choice("abcdef") * rng.choice([1, 2, 50]) for _ in range(14)] + ["", "  "]
     rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(0, 12)))) for i in range(40)]
     found = L.drop_repeated_lines(texts(rows)).collect()
-    expected = plain(rows)
+    expected = plain(rows, reach=WINDOW)
     assert {r.doc_id: r.text for r in found} == {rows[i][0]: t for i, t in expected.items()}
 
 
+def test_extending_without_bound_gives_the_same_on_the_table(spark):
+    """What a bounded extension leaves to the next fingerprint is found by it."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    expected = plain(rows)
+    assert sum(rows[i][1] != t for i, t in expected.items()) > 100
+    found = {r.doc_id: r.text for r in L.drop_repeated_lines(docs).collect()}
+    assert found == {rows[i][0]: t for i, t in expected.items()}
+
+
+def test_repeated_runs_go_whole_with_their_headings(texts):
+    """Runs of three lines or more, or with a long line, between lines of other documents."""
+    rng = random.Random(5)
+    rows, copies = [], {}
+    for n in range(60):
+        run = [f"run {n} line {k}" + " and more" * rng.choice([0, 0, 5]) for k in range(rng.randint(2, 9))]
+        if len(run) < 3:
+            run[1] += " of a paragraph that is long enough alone"
+        for copy in range(3):
+            own = [[f"own {n} {copy} {side} {k}" for k in range(rng.randint(0, 4))] for side in range(2)]
+            rows.append((n * 3 + copy, "\n".join([*own[0], *run, *own[1]])))
+            copies[n * 3 + copy] = "\n".join([*own[0], *(run if copy == 0 else []), *own[1]])
+    assert {r.doc_id: r.text for r in L.drop_repeated_lines(texts(rows)).collect()} == copies
+
+
+def test_documents_of_two_short_lines(texts):
+    rows = [(1, "a\nb\nx"), (2, "a\nb"), (3, "a\n\nb"), (4, "b\na"), (5, "a"), (6, "a")]
+    found = {r.doc_id: r.text for r in L.drop_repeated_lines(texts(rows)).collect()}
+    assert found == {1: "a\nb\nx", 2: "a\nb", 3: "", 4: "b\na", 5: "a", 6: "a"}
+
+
 def test_odd_rows(texts):
     long = "x" * 45
     rows = [(3, None), (1, ""), (2, f"{long}\n\n a"), (2, f"{long}\n\n a"), (None, long), (4, "\n".join([long] * 4000))]
