@@ -11,9 +11,16 @@ from pyspark.sql import functions as F
 from gaugeline.config import Settings
 from gaugeline.functions.rules import RuleSet
 from gaugeline.operators.submit import accepted_events, rejected_submissions, validate_submissions
-from gaugeline.plans import reports
-from gaugeline.schemas import REFUSED_ZONE
-from gaugeline.sinks.compaction import compact_curated
+from gaugeline.plans import reports, summaries
+from gaugeline.schemas import (
+    CONSUMPTION_ZONE,
+    CURATED_ZONE,
+    RAW_ZONE,
+    REFUSED_ZONE,
+    REJECTED_ZONE,
+)
+from gaugeline.session import scratch_dir
+from gaugeline.sinks.compaction import compact_offsets, compact_zone
 from gaugeline.sinks.publish import publish
 from gaugeline.sinks.reports import Report, publish_reports
 from gaugeline.sinks.zones import write_zone
@@ -88,7 +95,13 @@ def submit(
     """
     if not settings.lake_root:
         raise ValueError("lake_root must name a shared folder")
+    spark = submissions.sparkSession
     answered = validate_submissions(submissions, rules, received_ms=f"{received_ms}L")
+    # Stored once: a source that grows meanwhile would give refused and accepted bodies of
+    # two different sets.
+    path = scratch_dir(spark, "answered")
+    answered.write.parquet(path)
+    answered = spark.read.schema(answered.schema).parquet(path)
     refused = rejected_submissions(answered).withColumn(
         "received_day", F.lit(received_day.isoformat())
     )
@@ -105,7 +118,16 @@ def write_reports(spark: SparkSession, settings: Settings, output_dir: str) -> d
 
 
 def compact(spark: SparkSession, settings: Settings, before: date) -> int:
-    """Rewrite days of the curated zone that are over; see ``compact_curated``."""
+    """Rewrite days of all zones that are over; see ``compact_zone``."""
+    if not settings.lake_root:
+        raise ValueError("lake_root must name a shared folder")
+    zones = (RAW_ZONE, CURATED_ZONE, REJECTED_ZONE, CONSUMPTION_ZONE)
+    replaced = sum(compact_zone(spark, settings.lake_root, zone, before) for zone in zones)
+    return replaced + compact_offsets(spark, settings.lake_root)
+
+
+def refresh_summaries(spark: SparkSession, settings: Settings) -> int:
+    """Bring the summaries that reports can be read from up to date; see ``summaries.refresh``."""
     if not settings.lake_root:
         raise ValueError("lake_root must name a shared folder")
-    return compact_curated(spark, settings.lake_root, before)
+    return summaries.refresh(spark, settings.lake_root)

@@ -83,7 +83,11 @@ def partition_counts(curated: DataFrame) -> DataFrame:
     Both come from one pass: counts per partition are all either number needs,
     and a scan of partition columns alone reads no column data.
     """
-    per_partition = curated.groupBy(*PARTITION_KEYS).agg(F.count("*").alias("rows"))
+    return count_rows(curated.groupBy(*PARTITION_KEYS).agg(F.count("*").alias("rows")))
+
+
+def count_rows(per_partition: DataFrame) -> DataFrame:
+    """``partition_counts`` from (PARTITION_KEYS, rows)."""
     totals = per_partition.agg(
         F.sum("rows").alias("all_rows"),
         F.min(F.struct(*PARTITION_KEYS, "rows")).alias("first"),

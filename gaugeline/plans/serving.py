@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,17 +91,18 @@ def recent_anomalies(
 ) -> DataFrame:
     """The ``limit`` latest anomalies, of one sensor or of all.
 
-    Rows of equal time are ordered by their place in the log. The search looks at
-    the days from ``as_of`` (now) on first and goes back in growing steps until
+    Rows of equal time are ordered by their place in the log. The search starts at the
+    newest day there is, ``as_of`` if given, and goes back in growing steps until
     they hold enough rows, so a lake of years is read for its last days
     only. Days follow event time, so the result does not depend on where it starts.
+    ``summaries.recent_anomalies`` needs no steps.
     """
     if not 1 <= limit <= MAX_LIMIT:
         raise ValueError(f"limit must be between 1 and {MAX_LIMIT}")
     anomalies = typed_time(curated, "event_time").where("is_anomaly")
     if sensor:
         anomalies = anomalies.where(F.col("sensor_type") == (rules or RuleSet()).require(sensor))
-    anomalies = _newest_days(anomalies, limit, as_utc(as_of))
+    anomalies = _newest_days(anomalies, limit, None if as_of is None else as_utc(as_of).date())
     return (
         anomalies.orderBy(F.desc_nulls_last("event_time"), "kafka_partition", "kafka_offset")
         .limit(limit)
@@ -109,11 +110,15 @@ def recent_anomalies(
     )
 
 
-def _newest_days(rows: DataFrame, wanted: int, as_of: datetime) -> DataFrame:
+def _newest_days(rows: DataFrame, wanted: int, newest: date | None) -> DataFrame:
     """The shortest span of newest days that holds ``wanted`` rows, or all rows."""
-    for days in SEARCH_DAYS:
-        since = as_of.date() - timedelta(days=days)
-        span = rows.where(partition_day(rows) >= F.lit(since))
+    day = partition_day(rows)
+    if newest is None:
+        newest = rows.agg(F.max(day)).first()[0]
+    for days in SEARCH_DAYS if newest else ():
+        if (newest - date.min).days <= days:
+            break
+        span = rows.where(day > F.lit(newest - timedelta(days=days)))
         if span.select("is_anomaly").limit(wanted).count() == wanted:
             return span
     return rows

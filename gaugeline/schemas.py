@@ -105,9 +105,10 @@ RAW_ZONE = Zone("raw", RAW, "json", ("source", "topic", "year", "month", "day",
 CURATED_ZONE = Zone(
     "curated", CURATED, "parquet", ("domain", "sensor_type", "year", "month", "day")
 )
-# Where in the log the rows of each raw hour are from.
+# Where in the log the rows of each raw hour are from, and of which write. Without
+# ``raw_write`` it is the write that recorded them.
 OFFSETS = _schema(
-    "kafka_partition int, first_offset bigint, last_offset bigint, topic string, "
+    "kafka_partition int, first_offset bigint, last_offset bigint, raw_write string, topic string, "
     "year int, month int, day int, hour int"
 )
 OFFSETS_ZONE = Zone("raw_offsets", OFFSETS, "parquet", ("topic",))
@@ -116,3 +117,10 @@ REFUSED_ZONE = Zone("refused", REFUSED, "parquet", ("received_day",))
 CONSUMPTION_ZONE = Zone(
     "consumption", CONSUMPTION, "parquet", ("use_case", "sensor_type", "year", "month")
 )
+# What reports need of one sensor and hour; ``made_of`` names the files it was made of.
+SUMMARIES = _schema(
+    "hour timestamp, n bigint, mean double, m2 double, min_value double, max_value double, "
+    "anomalies bigint, latest_anomaly timestamp, made_of string, "
+    "sensor_type string, year int, month int, day int"
+)
+SUMMARIES_ZONE = Zone("summaries", SUMMARIES, "parquet", ("sensor_type", "year", "month", "day"))

@@ -7,18 +7,13 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from gaugeline.schemas import WRITE_ID, Zone
-from gaugeline.sources.lake import zone_path
-
-
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+from gaugeline.sources.snapshots import file_system, zone_path
 
 
 def files_of_write(spark: SparkSession, root: str, zone: Zone, write_id: str) -> dict[str, set[str]]:
     """Directory -> names of its files, for every partition one write has touched."""
     levels = "/*" * len(zone.partitions)
-    system, pattern = _file_system(spark, f"{zone_path(root, zone)}{levels}/{WRITE_ID}={write_id}/*")
+    system, pattern = file_system(spark, f"{zone_path(root, zone)}{levels}/{WRITE_ID}={write_id}/*")
     found: dict[str, set[str]] = {}
     for status in system.globStatus(pattern) or ():
         path = status.getPath()
@@ -28,5 +23,5 @@ def files_of_write(spark: SparkSession, root: str, zone: Zone, write_id: str) ->
 
 def delete_directories(spark: SparkSession, directories: Iterable[str]) -> None:
     for directory in directories:
-        system, path = _file_system(spark, directory)
+        system, path = file_system(spark, directory)
         system.delete(path, True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.schemas import (
@@ -15,7 +17,9 @@ from gaugeline.schemas import (
     Zone,
 )
 from gaugeline.sinks.files import delete_directories, files_of_write
-from gaugeline.sources.lake import zone_path
+from gaugeline.sources.lake import stored_rows
+from gaugeline.sources.offsets import in_directories, ranges_of, uncovered_directories
+from gaugeline.sources.snapshots import zone_path
 
 # As many digits as the curated zone keeps of the same times.
 JSON_TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -60,21 +64,38 @@ def write_zone(
         delete_directories(spark, (d for d, names in before.items() if after.get(d) == names))
 
 
-def write_raw(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
-    """All rows of a batch share one ingestion hour, so every task writes one
-    file and a shuffle would gain nothing."""
-    write_zone(rows, root, RAW_ZONE, write_id=write_id, rerun=rerun)
+def write_raw(
+    rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False, hours: bool = False
+) -> None:
+    """All rows of a micro-batch share one ingestion hour, so every task writes one
+    file and a shuffle would gain nothing. ``hours`` is for rows of many: they are gathered by
+    hour, as else every task would write a file for each."""
+    gathered = rows.hint("rebalance", *RAW_ZONE.partitions) if hours else rows
+    write_zone(gathered, root, RAW_ZONE, write_id=write_id, rerun=rerun)
 
 
 def write_offsets(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
     """First and last offset of each log partition in each hour that a write adds to
     the raw zone, by which ``sources.tail.tail_of_zone`` finds the hours it needs."""
-    ranges = rows.groupBy("topic", "kafka_partition", "year", "month", "day", "hour").agg(
-        F.min("kafka_offset").alias("first_offset"), F.max("kafka_offset").alias("last_offset")
-    )
+    ranges = ranges_of(rows, F.lit(write_id).cast("string"))
     write_zone(ranges.coalesce(1), root, OFFSETS_ZONE, write_id=write_id, rerun=rerun)
 
 
+def record_offsets(spark: SparkSession, root: str) -> int:
+    """Record the ranges of raw writes that the index lacks; returns their number.
+
+    For a zone that is continued from before there was an index. Rows in the plain layout
+    have no write to name, so their ranges are read again each time.
+    """
+    raw = stored_rows(spark, root, RAW_ZONE)
+    missing = uncovered_directories(spark, root)
+    if raw is None or not missing:
+        return 0
+    found = ranges_of(in_directories(raw, missing), F.col(WRITE_ID))
+    write_zone(found.coalesce(1), root, OFFSETS_ZONE, write_id=f"recorded-{uuid.uuid4().hex}")
+    return len({r["raw_write"] for r in missing})
+
+
 def write_curated(rows: DataFrame, root: str, *, write_id: str | None, rerun: bool = False) -> None:
     """Rows are gathered by partition to keep the file count low.
 

@@ -14,12 +14,27 @@ from gaugeline.schemas import (
     WRITE_ID,
     Zone,
 )
+from gaugeline.sources.snapshots import current_manifest, live_rows, zone_path
 
 CURATED_VIEW = "curated_readings"
 
 
-def zone_path(root: str, zone: Zone) -> str:
-    return f"{str(root).rstrip('/')}/{zone.name}"
+def stored_rows(spark: SparkSession, root: str, zone: Zone) -> DataFrame | None:
+    """The live rows of a zone with their write ids, None if it does not exist yet."""
+    reader = spark.read.schema(zone.stored_schema).format(zone.format)
+    if zone.format == "json":
+        reader = reader.option("mode", "FAILFAST")
+    while True:
+        manifest = current_manifest(spark, root, zone)
+        try:
+            stored = reader.load(zone_path(root, zone))
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        # Files are listed by now. Under the same version none of them was missing yet.
+        if manifest == current_manifest(spark, root, zone):
+            return live_rows(stored, root, zone, manifest)
 
 
 def read_zone(
@@ -29,16 +44,11 @@ def read_zone(
 
     Partition columns keep their types. A zone that does not exist yet reads as
     an empty frame. Files that cannot be read, and lines of them that are damaged,
-    are an error, they are never taken for missing data.
+    are an error, they are never taken for missing data. Of a zone that is being
+    compacted each row is there once, see ``sources.snapshots``.
     """
-    reader = spark.read.schema(zone.stored_schema).format(zone.format)
-    if zone.format == "json":
-        reader = reader.option("mode", "FAILFAST")
-    try:
-        stored = reader.load(zone_path(root, zone))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    stored = stored_rows(spark, root, zone)
+    if stored is None:
         return spark.createDataFrame([], zone.schema)
     if write_id is not None:
         stored = stored.where(F.col(WRITE_ID) == write_id)

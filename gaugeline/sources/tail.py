@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.functions.payloads import sorted_keys
-from gaugeline.schemas import OFFSETS_ZONE, RAW_ZONE
-from gaugeline.sources.lake import read_raw, read_zone
+from gaugeline.schemas import RAW_ZONE
+from gaugeline.sources.lake import read_raw
+from gaugeline.sources.offsets import log_ranges
 
 LOOKBACK = 100
 MAX_PEEK = 10
@@ -65,16 +66,23 @@ def tail(
     )
 
 
-def tail_of_zone(spark: SparkSession, root: str, lookback: int = LOOKBACK) -> DataFrame:
+def tail_of_zone(
+    spark: SparkSession,
+    root: str,
+    lookback: int = LOOKBACK,
+    *,
+    max_literal_ends: int = MAX_LITERAL_ENDS,
+    max_broadcast_ends: int = MAX_BROADCAST_ENDS,
+) -> DataFrame:
     """``tail`` of a stored raw zone, read from the hours that hold it alone.
 
-    The offsets recorded with every write give the ends of the log and the hours
-    that reach into the tail; their number is some few for each log partition,
-    whatever the age of the lake. Raw rows without recorded offsets are not seen, so a
-    zone that has none is read in full.
+    The recorded ranges give the ends of the log and the hours that reach into the tail;
+    those are some few for each log partition, whatever the age of the lake. Writes whose
+    ranges were never recorded are read for them, see ``sources.offsets``, so any zone
+    gives the same as ``tail``.
     """
     raw = read_raw(spark, root)
-    ranges = read_zone(spark, root, OFFSETS_ZONE)
+    ranges = log_ranges(spark, root)
     ends = ranges.groupBy(*_LOG).agg(F.max("last_offset").alias("end"))
     hours = [name for name in RAW_ZONE.partitions if name != "source"]
     needed = (
@@ -82,16 +90,22 @@ def tail_of_zone(spark: SparkSession, root: str, lookback: int = LOOKBACK) -> Da
         .where(F.col("last_offset") > F.col("end") - lookback)
         .groupBy(*hours, "kafka_partition")
         .agg(F.max("end").alias("end"))
-        .collect()
     )
-    if not needed:
-        return tail(raw, lookback)
-    inside = [
-        reduce(and_, [F.col(name) == row[name] for name in (*hours, "kafka_partition")])
-        & F.col("kafka_offset").between(row["end"] - lookback + 1, row["end"])
-        for row in needed
-    ]
-    return raw.where(reduce(or_, inside))
+    fetched = needed.take(max_broadcast_ends + 1)
+    if len(fetched) <= max_literal_ends:
+        inside = [
+            reduce(and_, [F.col(name) == row[name] for name in (*hours, "kafka_partition")])
+            & F.col("kafka_offset").between(row["end"] - lookback + 1, row["end"])
+            for row in fetched
+        ]
+        return raw.where(reduce(or_, inside, F.lit(False)))
+    if len(fetched) <= max_broadcast_ends:
+        needed = F.broadcast(spark.createDataFrame(fetched, needed.schema))
+    return (
+        raw.join(needed, [*hours, "kafka_partition"])
+        .where(F.col("kafka_offset").between(F.col("end") - (lookback - 1), F.col("end")))
+        .select(*raw.columns)
+    )
 
 
 def peek(raw: DataFrame, max_messages: int = MAX_PEEK, *, ordered: bool = False) -> DataFrame:

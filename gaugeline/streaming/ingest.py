@@ -95,7 +95,7 @@ class IngestJob:
         """
         raw = raw_envelope(messages, ingestion_time=ingestion_time)
         this = {"write_id": write_id, "rerun": True}
-        write_raw(raw, self.lake, **this)
+        write_raw(raw, self.lake, hours=ingestion_time is not None, **this)
         write_offsets(raw, self.lake, **this)
         write_curated(self._curated(raw), self.lake, **this)
         write_rejected(self._rejected(raw), self.lake, **this)

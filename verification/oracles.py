@@ -332,3 +332,64 @@ FROM curated GROUP BY 1
     "tail_from_zone": ORACLES["tail_messages"],
     "latest_reading_from_zone": ORACLES["latest_reading"],
 }
+
+ORACLES |= {
+    "tail_from_mixed_zone": ORACLES["tail_messages"],
+    "tail_from_compacted_zone": ORACLES["tail_messages"],
+    "log_gaps": _READINGS + """
+, kept AS (
+  SELECT kafka_partition, kafka_offset, lead(kafka_offset) OVER (
+    PARTITION BY kafka_partition ORDER BY kafka_offset) AS following
+  FROM flagged WHERE event_id % 1000 NOT BETWEEN 100 AND 120
+)
+SELECT 'sensor-events' AS topic, kafka_partition, kafka_offset + 1 AS first_offset,
+  following - 1 AS last_offset
+FROM kept WHERE following > kafka_offset + 1
+""",
+    "log_overlaps": _READINGS + """
+, ranges AS (
+  SELECT kafka_partition, min(kafka_offset) AS a, max(kafka_offset) + 1 AS b
+  FROM flagged GROUP BY kafka_partition, date_trunc('hour', ts)
+  UNION ALL
+  SELECT kafka_partition, min(kafka_offset), max(kafka_offset) + 1
+  FROM flagged WHERE day(ts) % 3 = 1 GROUP BY kafka_partition, date_trunc('day', ts)
+), edges AS (
+  SELECT kafka_partition, edge, sum(step) AS step FROM (
+    SELECT kafka_partition, a AS edge, 1 AS step FROM ranges
+    UNION ALL SELECT kafka_partition, b, -1 FROM ranges)
+  GROUP BY 1, 2 HAVING sum(step) <> 0
+), counted AS (
+  SELECT kafka_partition, edge, lead(edge) OVER log AS following,
+    sum(step) OVER (log ROWS UNBOUNDED PRECEDING) AS times
+  FROM edges WINDOW log AS (PARTITION BY kafka_partition ORDER BY edge)
+)
+SELECT 'sensor-events' AS topic, kafka_partition, edge AS first_offset,
+  following - 1 AS last_offset, CAST(times AS BIGINT) AS times
+FROM counted WHERE times > 1
+""",
+    "unaccounted_messages": _READINGS + """
+SELECT 'sensor-events' AS topic, kafka_partition, kafka_offset, 1 AS left_messages,
+  CASE WHEN kafka_offset % 997 = 5 THEN 0 ELSE 2 END AS right_messages
+FROM flagged WHERE plausible AND (kafka_offset % 997 = 5 OR kafka_offset % 1013 = 7)
+""",
+    "sensor_statistics_from_summaries": ORACLES["sensor_statistics"],
+    "top_anomaly_hours_from_summaries": ORACLES["top_anomaly_hours"],
+    "temperature_daily_from_summaries": ORACLES["temperature_daily"],
+    "partition_counts_from_summaries": ORACLES["partition_counts"],
+    "recent_anomalies_from_summaries": _anomalies(500),
+    "zone_while_compacting": ORACLES["zone_roundtrip"],
+    "settled_consumption": _windows("1 day"),
+    "guarded_scans": _READINGS + """
+SELECT 'there' AS zone, count(*) AS row_count FROM curated
+UNION ALL SELECT 'missing', 0
+""",
+    "curated_view_sql": _READINGS + """
+SELECT sensor_type, count(*) AS row_count,
+  CAST(count(*) FILTER (WHERE is_anomaly) AS BIGINT) AS anomaly_count
+FROM curated GROUP BY 1
+""",
+    "daily_stats_of_text_times": _READINGS.replace(
+        "FROM flagged WHERE plausible\n", "FROM flagged WHERE plausible AND kafka_offset % 10 <> 3\n"
+    )
+    + _daily("humidity", "2024-01-24"),
+}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +14,16 @@ from gaugeline.config import Settings
 from gaugeline.functions.payloads import to_records
 from gaugeline.functions.rules import RuleSet
 from gaugeline.operators import decode as D
+from gaugeline.operators.coverage import gaps, offset_stretches, overlaps
 from gaugeline.operators.envelope import raw_envelope
+from gaugeline.operators.reconcile import unaccounted
 from gaugeline.operators.submit import accepted_events, validate_submissions
 from gaugeline.operators.windows import latest_revision, window_averages
-from gaugeline.plans import reports, serving
+from gaugeline.plans import reports, serving, summaries
 from gaugeline.schemas import EVENT
 from gaugeline.session import apply_runtime_settings, scratch_dir
 from gaugeline.sinks.publish import to_messages
-from gaugeline.sinks.compaction import compact_curated
+from gaugeline.sinks.compaction import compact_curated, compact_offsets, compact_zone
 from gaugeline.sinks.reports import save_csv
 from gaugeline.sinks.zones import (
     write_consumption,
@@ -40,14 +42,16 @@ from verification.event_table import (
     read_event_table,
     stream_event_table,
 )
-from gaugeline.schemas import CURATED_ZONE, REFUSED_ZONE, WRITE_ID
+from gaugeline.schemas import CONSUMPTION_ZONE, CURATED_ZONE, RAW_ZONE, REFUSED_ZONE, WRITE_ID
 from gaugeline.sources.lake import (
     read_consumption,
     read_curated,
     read_raw,
     read_rejected,
     read_zone,
+    register_curated_view,
 )
+from gaugeline.sources.offsets import ranges_of
 from gaugeline.sources.tail import peek, tail, tail_of_zone
 from gaugeline.streaming.ingest import IngestJob, drain
 
@@ -448,6 +452,152 @@ def latest_reading_from_zone(spark, directory):
     return found.select(*EVENT.fieldNames(), "_kafka.partition", "_kafka.offset")
 
 
+def tail_from_mixed_zone(spark, directory):
+    """A zone whose older writes, and all of one log partition, have no recorded offsets."""
+    root = scratch_dir(apply_runtime_settings(spark), "mixed")
+    arrived = F.date_trunc("hour", "timestamp")
+    raw = raw_envelope(as_messages(_table(spark, directory)), ingestion_time=arrived)
+    middle = raw.agg(F.expr("timestamp_micros(bigint(avg(unix_micros(kafka_timestamp))))")).first()[0]
+    older = (F.col("kafka_timestamp") < F.lit(middle)) | (F.col("kafka_partition") == 2)
+    write_raw(raw.where(older), root, write_id="before", hours=True)
+    write_raw(raw.where(~older), root, write_id="after", hours=True)
+    write_offsets(raw.where(~older), root, write_id="after")
+    return tail_of_zone(spark, root).select("kafka_partition", "kafka_offset", "json_payload")
+
+
+def tail_from_compacted_zone(spark, directory):
+    """The raw zone and its offset index after both were written to by hours and compacted."""
+    root = scratch_dir(apply_runtime_settings(spark), "compacted-raw")
+    arrived = F.date_trunc("day", "timestamp")
+    raw = raw_envelope(as_messages(_table(spark, directory)), ingestion_time=arrived)
+    for number in range(3):
+        part = raw.where(F.col("kafka_offset") % 3 == number)
+        write_raw(part, root, write_id=f"w{number}", hours=True)
+        write_offsets(part, root, write_id=f"w{number}")
+    compact_zone(spark, root, RAW_ZONE, AS_OF.date())
+    compact_offsets(spark, root)
+    return tail_of_zone(spark, root).select("kafka_partition", "kafka_offset", "json_payload")
+
+
+def log_gaps(spark, directory):
+    """What is missing of a log that lost a stretch of every thousand events."""
+    places = _judged(spark, directory).select("topic", "kafka_partition", "kafka_offset")
+    event = F.col("kafka_offset") * 3 + F.col("kafka_partition")
+    return gaps(offset_stretches(places.where(~(event % 1000).between(100, 120)), block=1000))
+
+
+def log_overlaps(spark, directory):
+    """Offsets that several recorded ranges cover: every hour's, and some days read again."""
+    messages = as_messages(_table(spark, directory))
+    by_hour, by_day = (
+        ranges_of(raw_envelope(messages, ingestion_time=F.date_trunc(unit, "timestamp")), F.lit(unit))
+        for unit in ("hour", "day")
+    )
+    return overlaps(by_hour.union(by_day.where("day % 3 = 1")), block=1000)
+
+
+def unaccounted_messages(spark, directory):
+    """Messages that a curated zone lost, or holds twice, against the raw zone."""
+    judged = _judged(spark, directory)
+    curated = D.with_curated_columns(D.accepted(judged))
+    refused = D.rejected(_raw(spark, directory))
+    lost, twice = F.col("kafka_offset") % 997 == 5, F.col("kafka_offset") % 1013 == 7
+    stored = curated.where(~lost).union(curated.where(twice & ~lost))
+    return unaccounted(judged, stored, refused, steps=(10_000, 100, 1))
+
+
+def _summarized_lake(spark: SparkSession, directory: str, label: str) -> str:
+    """Summaries brought up to date after each of two writes, the second into old and new days."""
+    root = scratch_dir(apply_runtime_settings(spark), label)
+    curated = _curated(spark, directory)
+    first = (F.col("day") < 11) & (F.col("kafka_offset") % 4 > 0)
+    write_curated(curated.where(first), root, write_id="one")
+    summaries.refresh(spark, root)
+    write_curated(curated.where(~first), root, write_id="two")
+    summaries.refresh(spark, root)
+    return root
+
+
+def sensor_statistics_from_summaries(spark, directory):
+    root = _summarized_lake(spark, directory, "summary-statistics")
+    found = summaries.sensor_statistics(summaries.read_summaries(spark, root))
+    return found.withColumn("anomaly_rate_pct", F.col("anomaly_rate_pct").cast("double"))
+
+
+def top_anomaly_hours_from_summaries(spark, directory):
+    root = _summarized_lake(spark, directory, "summary-hours")
+    return summaries.top_anomaly_hours(summaries.read_summaries(spark, root))
+
+
+def temperature_daily_from_summaries(spark, directory):
+    root = _summarized_lake(spark, directory, "summary-days")
+    return summaries.daily_evolution(summaries.read_summaries(spark, root))
+
+
+def partition_counts_from_summaries(spark, directory):
+    root = _summarized_lake(spark, directory, "summary-counts")
+    return summaries.partition_counts(summaries.read_summaries(spark, root))
+
+
+def recent_anomalies_from_summaries(spark, directory):
+    root = _summarized_lake(spark, directory, "summary-recent")
+    stored = summaries.read_summaries(spark, root), read_curated(spark, root)
+    return _plain_times(summaries.recent_anomalies(*stored, limit=500))
+
+
+def zone_while_compacting(spark, directory):
+    """A zone with replays after the commit of a compaction whose old files are still there."""
+    root = scratch_dir(apply_runtime_settings(spark), "compacting")
+    curated = _curated(spark, directory)
+    third = F.col("kafka_offset") % 3
+    for number, write_id in ((0, "w0"), (1, "w1"), (2, "w2"), (0, "again")):
+        write_zone(curated.where(third == number), root, CURATED_ZONE, write_id=write_id)
+    compact_zone(spark, root, CURATED_ZONE, AS_OF.date() + timedelta(days=1), clean=False)
+    return _plain_times(read_curated(spark, root))
+
+
+def settled_consumption(spark, directory):
+    """Revisions of day windows settled on disk, read without settling them again."""
+    averages = window_averages(_curated(spark, directory), window="1 day")
+    root = scratch_dir(apply_runtime_settings(spark), "settled")
+    for batch in range(3):
+        # Each batch emits the windows grown so far.
+        grown = averages if batch == 2 else averages.withColumn(
+            "observation_count", F.col("observation_count") - (2 - batch)
+        ).withColumn("mean_value", F.col("mean_value") - 1)
+        write_consumption(grown, root, write_id=f"w{batch}", batch_id=batch)
+    compact_zone(spark, root, CONSUMPTION_ZONE, AS_OF.date() + timedelta(days=1))
+    return _plain_averages(read_consumption(spark, root))
+
+
+def guarded_scans(spark, directory):
+    """Rows of a zone that is there and of one that is not."""
+    root = _curated_lake(spark, directory, "guarded")
+    scans = {"there": read_curated(spark, root), "missing": read_curated(spark, f"{root}/nowhere")}
+    counted = [
+        rows.agg(F.lit(name).alias("zone"), F.count("*").alias("row_count")) for name, rows in scans.items()
+    ]
+    return counted[0].union(counted[1])
+
+
+def curated_view_sql(spark, directory):
+    """The registered view, asked in SQL."""
+    register_curated_view(read_curated(spark, _curated_lake(spark, directory, "view")))
+    return spark.sql(
+        """SELECT sensor_type, count(*) AS row_count, count_if(is_anomaly) AS anomaly_count
+           FROM curated_readings GROUP BY sensor_type"""
+    )
+
+
+def daily_stats_of_text_times(spark, directory):
+    """Times that came as text, some of them unreadable."""
+    curated = _curated(spark, directory)
+    text = F.when(F.col("kafka_offset") % 10 == 3, F.lit("soon")).otherwise(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
+    )
+    return serving.daily_stats(curated.withColumn("event_time", text), "humidity", 7, as_of=AS_OF)
+
+
 def report_csv(spark, directory):
     report = top_anomaly_hours(spark, directory)
     target = save_csv(report, scratch_dir(spark, "reports"))
@@ -502,4 +652,19 @@ QUERIES: dict[str, Query] = {
     "tail_from_zone": tail_from_zone,
     "latest_reading_from_zone": latest_reading_from_zone,
     "report_csv": report_csv,
+    "tail_from_mixed_zone": tail_from_mixed_zone,
+    "tail_from_compacted_zone": tail_from_compacted_zone,
+    "log_gaps": log_gaps,
+    "log_overlaps": log_overlaps,
+    "unaccounted_messages": unaccounted_messages,
+    "sensor_statistics_from_summaries": sensor_statistics_from_summaries,
+    "top_anomaly_hours_from_summaries": top_anomaly_hours_from_summaries,
+    "temperature_daily_from_summaries": temperature_daily_from_summaries,
+    "partition_counts_from_summaries": partition_counts_from_summaries,
+    "recent_anomalies_from_summaries": recent_anomalies_from_summaries,
+    "zone_while_compacting": zone_while_compacting,
+    "settled_consumption": settled_consumption,
+    "guarded_scans": guarded_scans,
+    "curated_view_sql": curated_view_sql,
+    "daily_stats_of_text_times": daily_stats_of_text_times,
 }
