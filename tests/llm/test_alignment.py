@@ -58,12 +58,15 @@ def listed(a, b, groups):
     return ";".join(f"{one}|{two}" for one, two in zip(both, both))
 
 
-def test_parts_add_up_to_the_whole_text(libraries):
+@pytest.mark.parametrize("pattern", [None, public_tokenizers.PATTERN])
+def test_parts_add_up_to_the_whole_text(libraries, pattern):
     rng = random.Random(3)
     pieces = [*ODD, "word", "the", ",", "\n", "é"]
     made = ["".join(rng.choice(pieces) + rng.choice(["", " ", "  ", "\n", " "]) for _ in range(rng.randrange(1, 9))) for _ in range(1500)]
     texts = [*ODD, *made, None, ""]
-    aligner = A.Aligner(A.ByteLevel(BYTE_LEVEL), A.Pieces(PIECES))
+    texts += ["q" * 5000, "ab " * 900 + "x" * 3000 + " é" * 50]
+    aligner = A.Aligner(A.ByteLevel(BYTE_LEVEL, pattern), A.Pieces(PIECES))
+    assert (aligner.sides[0].tokenizer.encoding is None) == (pattern is None)
     assert aligner.cuttable
     linked = 0
     for text, found in zip(texts, [r for at in range(0, len(texts), 64) for r in aligner.texts(texts[at : at + 64])]):
