@@ -3,16 +3,23 @@
 from __future__ import annotations
 
 from gaugeline.llm.line_dedup import ALONE, WINDOW
-from gaugeline.llm.url_filter import SOFT_LIMIT, SOFT_TERMS, STRICT_TERMS, UPPER
+from gaugeline.llm.url_filter import LIMIT, UPPER, UrlRules
 
 
-def _terms(terms: tuple[str, ...]) -> str:
-    listed = ", ".join(f"'{t}'" for t in terms)
-    found = "regexp_matches(low, '(^|[^a-z0-9])' || t || '($|[^a-z0-9])')"
-    return f"len(list_filter([{listed}], lambda t: {found}))"
+def _weight(vocabulary: dict[str, float]) -> str:
+    """The weights of the different terms in ``low``, added up."""
+    listed = ", ".join(f"{{t: '{t}', w: {w}}}" for t, w in sorted(vocabulary.items()))
+    found = "regexp_matches(low, '(^|[^a-z0-9])' || x.t || '($|[^a-z0-9])')"
+    met = f"list_filter([{listed}], lambda x: {found})"
+    return f"coalesce(list_sum(list_transform({met}, lambda x: CAST(x.w AS DOUBLE))), 0)"
 
 
-URL_FILTER_SQL = f"""
+def url_filter_sql(spec: UrlRules) -> str:
+    """Of the fixed rules of the query, with a vocabulary."""
+    return _URL_FILTER.replace("{weight}", _weight(spec.vocabulary()))
+
+
+_URL_FILTER = f"""
 WITH rests AS (
   SELECT page_id, coalesce(url, '') AS url,
          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -33,8 +40,7 @@ fits AS (
                        AND starts_with(path, rule_path)
   GROUP BY page_id)
 SELECT page_id, host, path, rule,
-       coalesce(fits.verdict, CASE WHEN {_terms(STRICT_TERMS)} > 0
-         OR {_terms(SOFT_TERMS)} >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(fits.verdict, CASE WHEN {{weight}} >= {LIMIT} - 1e-9 THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
 

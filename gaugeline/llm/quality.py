@@ -7,7 +7,8 @@ of gradients by node, statistic and bin. The fitted forest is flattened into arr
 complete binary trees, which a task walks for a whole batch of documents at once.
 
 Defined cases: a null text is an empty one and gets a score like any other. Labels
-that are null, or whose document is missing, teach nothing; without labels of two
+that are null, or whose document is missing, teach nothing; of different labels of one id
+the smallest counts; without labels of two
 kinds every document gets the share of good labels, 0.5 if there is none. Repeated
 rows get equal scores. All other columns are passed on and never looked at.
 """
@@ -180,10 +181,11 @@ def fit_quality(
     """
     known = labels.select(
         column(id_column).alias("id"), column(label_column).cast("int").alias("label")
-    ).where(F.col("label").isin(0, 1) & ~held_out(F.col("id")))
-    sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows).collect()
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame(sample, known.schema).dropDuplicates(["id"])
+    ).where(F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out(F.col("id")))
+    # Of different labels of one id the smallest counts.
+    one_each = known.groupBy("id").agg(F.min("label").alias("label"))
+    sample = one_each.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
+    chosen = docs.sparkSession.createDataFrame(sample, known.schema)
     texts = docs.select(column(id_column).alias("id"), column(text_column).cast("string").alias("t"))
     found = texts.join(F.broadcast(chosen), "id").select("id", "label", "t")
 

@@ -24,7 +24,7 @@ from gaugeline.llm import (
     url_filter,
 )
 from gaugeline.llm.common import saved, table
-from gaugeline.llm.oracles import LINE_DEDUP_SQL, URL_FILTER_SQL
+from gaugeline.llm.oracles import LINE_DEDUP_SQL, url_filter_sql
 from gaugeline.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,14 @@ URL_RULES = url_filter.UrlRules(
         ("allow", "example.net/en/"),
         ("block", "example.com/de/"),
         ("allow", "org/fr/"),
-    )
+    ),
+    weights=url_filter.with_digits(
+        [
+            *((term, url_filter.LIMIT) for term in url_filter.STRICT_TERMS),
+            *((term, url_filter.LIMIT / url_filter.SOFT_LIMIT) for term in url_filter.SOFT_TERMS),
+            *((term, url_filter.WEAK_WEIGHT) for term in url_filter.WEAK_TERMS),
+        ]
+    ),
 )
 
 
@@ -88,7 +95,16 @@ def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_packing(spark: SparkSession, directory: str) -> DataFrame:
-    return packing.pack(table(spark, directory, "documents"))
+    path = scratch_dir(spark, "batches")
+    packing.write_batches(
+        table(spark, directory, "documents"),
+        path,
+        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        pattern=public_tokenizers.PATTERN,
+        tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
+    )
+    found = packing.sequences(packing.read_batches(spark, path))
+    return found.withColumn("ids_hash", F.xxhash64("ids")).drop("ids")
 
 
 def op9_nearest(spark: SparkSession, directory: str) -> DataFrame:
@@ -106,6 +122,7 @@ def op11_alignment(spark: SparkSession, directory: str) -> DataFrame:
         table(spark, directory, "documents"),
         byte_level=public_tokenizers.path("byte_bpe_50k.json"),
         pieces=public_tokenizers.path("piece_bpe_32k.model"),
+        pattern=public_tokenizers.PATTERN,
     )
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     aligned = saved(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
@@ -171,5 +188,5 @@ QUERIES: dict[str, Query] = {
 }
 ORACLES: dict[str, str] = {
     "op6_line_dedup": LINE_DEDUP_SQL,
-    "op7_url_filter": URL_FILTER_SQL,
+    "op7_url_filter": url_filter_sql(URL_RULES),
 }

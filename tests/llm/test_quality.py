@@ -40,6 +40,16 @@ def test_labels_of_one_kind_or_none(spark, texts):
     assert empty.count() == 0
 
 
+def test_the_smallest_of_different_labels_counts(spark, texts, monkeypatch):
+    docs = texts([(n, f"text {n}") for n in range(12)])
+    labels = spark.createDataFrame([(n, y) for n in range(12) for y in (1, 0, 1)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "fit_forest", lambda x, y: seen.append(y.tolist()))
+    for parts in (1, 7):
+        Q.fit_quality(docs, labels.repartition(parts))
+    assert seen[0] == seen[1] and set(seen[0]) == {0.0} and len(seen[0]) > 6
+
+
 def test_held_out_rows_teach_nothing(spark):
     directory = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{directory}/documents.parquet")

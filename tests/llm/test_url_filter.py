@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from gaugeline.llm import url_filter as U
@@ -41,3 +43,55 @@ def test_ties_and_no_terms(spark, texts):
     found = U.judge_urls(frame, rules, id_column="doc_id", url_column="text").collect()
     assert sorted(r.verdict for r in found) == ["allow", "block", "block"]
     assert U.judge_urls(texts([]), rules, id_column="doc_id", url_column="text").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("url", "verdict"),
+    [
+        ("http://a.org/c4s1no", "block"),
+        ("http://a.org/cas1nos", "allow"),
+        ("http://a.org/fr3e", "allow"),
+        ("http://a.org/fr3e/free", "block"),
+        ("http://a.org/poker?p0ker", "allow"),
+        ("http://a.org/poker?p0ker&free", "block"),
+        ("http://a.org/poker/cash/sale", "allow"),
+        ("http://a.org/poker/cash/sale/d1et", "block"),
+        ("http://a.org/poker/poker/poker/poker/poker", "allow"),
+    ],
+)
+def test_weights_of_different_terms_add_up(url, verdict):
+    judge = U.UrlJudge(URL_RULES)
+    assert judge.verdict_of(judge.hits(url)[2]) == verdict
+    assert len(judge.weights) > 200
+
+
+def test_hits_equal_looking_for_every_term():
+    judge = U.UrlJudge(U.UrlRules(weights=(("a-b", 0.3), ("b", 0.3), ("a-b-c", 0.4), ("", 9.0), ("spam", 0.1))))
+    for url in ["a-b-c", "a-b", "xa-b", "b", "a-bc", "a-b-cb", "spam", "b/b/b", "", "a-b-c-casino-ads"]:
+        met = {t for t in judge.weights if re.search(f"(^|[^a-z0-9]){re.escape(t)}($|[^a-z0-9])", url)}
+        strict, soft, weight = judge.hits(url)
+        assert strict + soft == len(met) and abs(weight - sum(judge.weights[t] for t in met)) < 1e-12
+    # Of two weights of a term the larger one counts.
+    assert judge.weights["spam"] == 1.0
+
+
+def test_a_vocabulary_from_a_table(spark, texts, monkeypatch):
+    rows = [("Gadget", 0.5), ("gadget", 0.2), ("gizmo", 0.5), (None, 1.0), ("", 1.0), ("x", None), ("y", float("nan"))]
+    table = spark.createDataFrame(rows, "term string, weight double")
+    found = U.read_vocabulary(table)
+    assert found == (("gadget", 0.5), ("gizmo", 0.5))
+    spec = U.UrlRules(strict=(), soft=(), weights=found)
+    frame = texts([(1, "s://GADGET.c/gizmo"), (2, "s://gadget.c/gadgets")])
+    judged = U.judge_urls(frame, spec, id_column="doc_id", url_column="text").collect()
+    assert {r.doc_id: r.verdict for r in judged} == {1: "block", 2: "allow"}
+    monkeypatch.setattr(U, "MOST_TERMS", 1)
+    with pytest.raises(ValueError):
+        U.read_vocabulary(table)
+
+
+@pytest.mark.parametrize("name", ["host", "path", "_url", "_id", "verdict"])
+def test_ids_of_any_name(spark, name):
+    frame = spark.createDataFrame([(5, "http://casino.c/a")], f"`{name}` int, link string")
+    found = U.judge_urls(frame, URL_RULES, id_column=name, url_column="link")
+    assert found.columns[0] == name
+    assert found.toDF("i", "h", "p", "r", "v", "st", "so").first()[:3] == (5, "casino.c", "/a")
