@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.functions.rules import RuleSet
 from gaugeline.operators.decode import curated_readings, near_arrival, readings_of, rejected
 from gaugeline.operators.envelope import raw_envelope
-from gaugeline.operators.windows import WATERMARK, WINDOW, window_averages
+from gaugeline.operators.windows import WATERMARK, WINDOW, window_averages, without_repeats
 from gaugeline.schemas import CURATED_ZONE
 from gaugeline.sinks.zones import (
     write_consumption,
@@ -41,6 +41,8 @@ class IngestJob:
     ``max_future_skew`` refuses readings dated that much after their arrival. Without
     it they are curated, but those beyond ``window_future_limit`` still don't reach
     the windows, where one of them would make every later row late.
+    ``windows_without_repeats`` counts a message that is read again within the watermark
+    once in its window, at the price of a second state.
     """
 
     lake: str
@@ -53,6 +55,7 @@ class IngestJob:
     trigger_interval: str | None = "10 seconds"
     label: str = ""
     plain_layout: bool = False
+    windows_without_repeats: bool = False
 
     def start(self, messages: DataFrame, *, shared_batches: bool = False) -> list[StreamingQuery]:
         """Start the writers of all zones.
@@ -81,7 +84,13 @@ class IngestJob:
         readings = readings_of(
             raw_envelope(messages), self.rules, max_future_skew=self.max_future_skew
         )
-        averages = self._averages(readings)
+        if self.windows_without_repeats:
+            # Far-future rows must not reach this watermark either.
+            regular = near_arrival(readings, self.window_future_limit)
+            once = without_repeats(regular, watermark=self.watermark)
+            averages = window_averages(once, window=self.window, watermark=None)
+        else:
+            averages = self._averages(readings)
         return self._start(averages, output_mode, "consumption-zone-writer", self._consume)
 
     def run_batch(

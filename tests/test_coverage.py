@@ -1,10 +1,13 @@
 import random
 
 import pytest
+from builders import curated, utc
 from pyspark.sql import functions as F
 
 from gaugeline.operators.coverage import gaps, merged_ranges, offset_stretches, overlaps
+from gaugeline.operators.quarantine import merged_intervals, quarantined, trusted
 from gaugeline.operators.reconcile import differences, unaccounted
+from gaugeline.operators.windows import corrected_averages, window_averages
 
 RANGE = "topic string, kafka_partition int, first_offset bigint, last_offset bigint"
 
@@ -88,3 +91,50 @@ def test_every_message_is_curated_or_rejected_once(spark):
     assert unaccounted(raw, raw.where(even), raw.where(~even)).count() == 0
     lost = unaccounted(raw, raw.where(even & (F.col("kafka_offset") > 5)), raw.where(~even))
     assert [r.kafka_offset for r in lost.orderBy("kafka_offset").collect()] == [0, 2, 4]
+
+
+# ---- intervals of time
+
+def spans(spark, rows):
+    data = [(s, *(None if t is None else utc(2024, 1, 1 + t // 24, t % 24) for t in r)) for s, *r in rows]
+    return spark.createDataFrame(data, "sensor_type string, begin timestamp, end timestamp")
+
+
+@pytest.mark.parametrize("bin_seconds", [1800, 7200, 86_400])
+def test_readings_in_merged_intervals(spark, bin_seconds):
+    rng = random.Random(bin_seconds)
+    rows = []
+    for sensor in ("humidity", "pressure"):
+        for _ in range(15):
+            begin = rng.randrange(200)
+            rows.append((sensor, begin, begin + rng.choice([-1, 0, 1, 3, 60])))
+    rows += [("humidity", None, 5), ("pressure", 3, None)]
+    bad = {(s, h) for s, a, b in rows if None not in (a, b) for h in range(a, b)}
+    intervals = spans(spark, rows)
+    merged = merged_intervals(intervals, bin_seconds=bin_seconds).orderBy("sensor_type", "begin").collect()
+    for one, two in zip(merged, merged[1:]):
+        assert one.sensor_type != two.sensor_type or one.end < two.begin
+    readings = curated(spark, [(s, 1.0, utc(2024, 1, 1 + h // 24, h % 24), False) for s in ("humidity", "pressure", "other") for h in range(300)])
+    nulls = readings.limit(1).withColumn("event_time", F.lit(None).cast("timestamp"))
+    everything = readings.union(nulls)
+    found = quarantined(everything, intervals, bin_seconds=bin_seconds)
+    assert found.columns == readings.columns
+    hours = {(r.sensor_type, (r.event_time.day - 1) * 24 + r.event_time.hour) for r in found.collect()}
+    assert hours == {(s, h) for s, h in bad if h < 300} and found.count() == len(hours) > 20
+    rest = trusted(everything, intervals, bin_seconds=bin_seconds)
+    assert rest.count() == 901 - len(hours)
+    assert quarantined(everything, intervals.where("false")).count() == 0
+
+
+def test_only_windows_of_late_rows_are_made_anew(spark):
+    rows = [("humidity", float(n), utc(2024, 1, 1 + n // 200, (n // 12) % 24, n % 60), n % 9 == 0) for n in range(600)]
+    frame = curated(spark, rows)
+    late = frame.where("kafka_offset % 50 = 7")
+    found = corrected_averages(frame, late)
+    keys = lambda f: {(r.sensor_type, r.window_start): r.asDict() for r in f.collect()}
+    full, got, hit = keys(window_averages(frame)), keys(found), keys(window_averages(late))
+    assert set(got) == set(hit) and len(got) < len(full) / 3
+    assert all(full[k] == v for k, v in got.items())
+    plain = frame.drop("year", "month", "day")
+    assert keys(corrected_averages(plain, late)) == got
+    assert corrected_averages(frame, late.where("false")).count() == 0

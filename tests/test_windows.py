@@ -93,6 +93,25 @@ def test_windows_are_half_open_and_per_sensor(spark):
     }
 
 
+@pytest.mark.parametrize("output_mode", ["update", "append"])
+def test_messages_read_again_count_once_in_their_windows(spark, log, output_mode):
+    log.add(reading(1, 1.0), reading(2, 5.0))
+    for again in (0, 1):
+        # The same places in the log, sent again; the last batch closes the windows.
+        log.offset = again
+        log.add(reading(1 + again, 1.0 + 4 * again))
+    log.offset = 2
+    log.add(reading(3, 6.0)).add(reading(40, 2.0)).add(reading(59, 2.0))
+    counts = {}
+    for once in (False, True):
+        job = IngestJob(f"{log.root}/lake-{once}", f"{log.root}/progress-{once}", trigger_interval=None,
+                        label=f"{once}-", windows_without_repeats=once)
+        drain([job.start_windows(log.stream(), output_mode=output_mode)])
+        rows = latest_revision(read_consumption(spark, job.lake)).where("minute(window_start) = 0")
+        counts[once] = [(r.observation_count, r.mean_value) for r in rows.collect()]
+    assert counts == {False: [(5, 3.6)], True: [(3, 4.0)]}
+
+
 def test_late_rows_miss_the_windows_but_stay_curated(spark, log):
     log.add(reading(1, 1.0)).add(reading(20, 9.0)).add(reading(21, 9.0))
     log.add(reading(3, 33.0), reading(21, 2.0)).add(reading(30, 2.0))

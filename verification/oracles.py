@@ -393,3 +393,17 @@ FROM curated GROUP BY 1
     )
     + _daily("humidity", "2024-01-24"),
 }
+
+_NEAR_IMPLAUSIBLE = """EXISTS (
+  SELECT 1 FROM flagged AS bad
+  WHERE bad.plausible = false AND bad.sensor_type = curated.sensor_type
+    AND curated.event_time >= bad.event_time - INTERVAL 10 MINUTE
+    AND curated.event_time < bad.event_time + INTERVAL 10 MINUTE)"""
+
+ORACLES |= {
+    "quarantined_readings": _READINGS + f"SELECT * FROM curated WHERE {_NEAR_IMPLAUSIBLE}",
+    "trusted_counts": _READINGS
+    + f"SELECT sensor_type, count(*) AS row_count FROM curated WHERE NOT {_NEAR_IMPLAUSIBLE} GROUP BY 1",
+    "late_windows_corrected": _windows("5 minutes"),
+    "window_averages_stream_repeats": _windows("5 minutes"),
+}

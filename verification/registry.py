@@ -16,9 +16,10 @@ from gaugeline.functions.rules import RuleSet
 from gaugeline.operators import decode as D
 from gaugeline.operators.coverage import gaps, offset_stretches, overlaps
 from gaugeline.operators.envelope import raw_envelope
+from gaugeline.operators.quarantine import around, quarantined, trusted
 from gaugeline.operators.reconcile import unaccounted
 from gaugeline.operators.submit import accepted_events, validate_submissions
-from gaugeline.operators.windows import latest_revision, window_averages
+from gaugeline.operators.windows import corrected_averages, latest_revision, window_averages
 from gaugeline.plans import reports, serving, summaries
 from gaugeline.schemas import EVENT
 from gaugeline.session import apply_runtime_settings, scratch_dir
@@ -274,6 +275,19 @@ def window_averages_stream_append(spark, directory):
     return _plain_averages(read_consumption(spark, job.lake))
 
 
+def window_averages_stream_repeats(spark, directory):
+    """Windows of a stream in which every message comes twice."""
+    spark = apply_runtime_settings(spark)
+    log = scratch_dir(spark, "repeats")
+    messages = as_messages(_table(spark, directory))
+    for copy in range(2):
+        messages.write.parquet(f"{log}/copy={copy}")
+    job = _job(spark, "stream-repeats", windows_without_repeats=True)
+    stream = spark.readStream.schema(messages.schema).parquet(f"{log}/copy=*")
+    drain([job.start_windows(stream)])
+    return _plain_averages(latest_revision(read_consumption(spark, job.lake)))
+
+
 def window_averages_stream_revisions(spark, directory):
     """Day windows over the table in five slices of time that cut through days,
     so windows are emitted again and the reader has to settle the revisions."""
@@ -437,7 +451,7 @@ def _hourly_lake(spark: SparkSession, directory: str) -> str:
     root = scratch_dir(apply_runtime_settings(spark), "hourly")
     arrived = F.date_trunc("hour", "timestamp")
     raw = raw_envelope(as_messages(_table(spark, directory)), ingestion_time=arrived)
-    write_raw(raw, root, write_id="backfill")
+    write_raw(raw, root, write_id="backfill", hours=True)
     write_offsets(raw, root, write_id="backfill")
     return root
 
@@ -598,6 +612,36 @@ def daily_stats_of_text_times(spark, directory):
     return serving.daily_stats(curated.withColumn("event_time", text), "humidity", 7, as_of=AS_OF)
 
 
+def quarantined_readings(spark, directory):
+    """Readings within ten minutes of an implausible one of their sensor."""
+    judged = _judged(spark, directory)
+    implausible = judged.where("known AND time_ok AND NOT plausible")
+    bad = around(implausible, "10 MINUTES", "10 MINUTES")
+    return _plain_times(quarantined(_curated(spark, directory), bad, bin_seconds=3600))
+
+
+def trusted_counts(spark, directory):
+    """All other readings, by sensor."""
+    judged = _judged(spark, directory)
+    implausible = judged.where("known AND time_ok AND NOT plausible")
+    bad = around(implausible, "10 MINUTES", "10 MINUTES")
+    left = trusted(_curated(spark, directory), bad)
+    return left.groupBy("sensor_type").agg(F.count("*").alias("row_count"))
+
+
+def late_windows_corrected(spark, directory):
+    """Window rows of a stream that left out late rows, after those windows were made anew."""
+    root = scratch_dir(apply_runtime_settings(spark), "corrected")
+    curated = _curated(spark, directory)
+    late = F.col("kafka_offset") % 17 == 0
+    write_curated(curated, root, write_id="all")
+    stored = read_curated(spark, root)
+    write_consumption(window_averages(stored.where(~late)), root, write_id="stream", batch_id=0)
+    corrected = corrected_averages(stored, stored.where(late))
+    write_consumption(corrected, root, write_id="correction", batch_id=1)
+    return _plain_averages(latest_revision(read_consumption(spark, root)))
+
+
 def report_csv(spark, directory):
     report = top_anomaly_hours(spark, directory)
     target = save_csv(report, scratch_dir(spark, "reports"))
@@ -637,6 +681,7 @@ QUERIES: dict[str, Query] = {
     "window_averages": window_averages_batch,
     "window_averages_stream_update": window_averages_stream_update,
     "window_averages_stream_append": window_averages_stream_append,
+    "window_averages_stream_repeats": window_averages_stream_repeats,
     "window_averages_stream_revisions": window_averages_stream_revisions,
     "window_averages_stream_late": window_averages_stream_late,
     "stream_ingest_zones": stream_ingest_zones,
@@ -667,4 +712,7 @@ QUERIES: dict[str, Query] = {
     "guarded_scans": guarded_scans,
     "curated_view_sql": curated_view_sql,
     "daily_stats_of_text_times": daily_stats_of_text_times,
+    "quarantined_readings": quarantined_readings,
+    "trusted_counts": trusted_counts,
+    "late_windows_corrected": late_windows_corrected,
 }
