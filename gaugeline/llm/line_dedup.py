@@ -44,7 +44,7 @@ def _name(lines: str) -> str:
 
 
 def fingerprints(docs: DataFrame, window: int, alone: int) -> DataFrame:
-    """(id, mark, gram, at, size, weighty, before, after): every selected gram.
+    """(id, mark, gram, at, size, weighty, before1, ..., after1, ...): every selected gram.
 
     ``at`` counts the lines that are not blank, ``size`` is that of the gram. A weighty
     one needs no other lines to go. ``before`` and ``after`` are the hashes of the
@@ -70,6 +70,10 @@ def fingerprints(docs: DataFrame, window: int, alone: int) -> DataFrame:
               WHEN get(grams, i + 1) IS NOT NULL THEN if(g < grams[i + 1], i, i + 1)
               WHEN size(grams) = 2 AND i = 0 THEN 0 END), i -> i IS NOT NULL)) AS chosen""",
     )
+    around = ", ".join(
+        f"'before{t}', get(hashes, at - {t}), 'after{t}', get(hashes, at + if(long[at], 0, 1) + {t})"
+        for t in range(1, window + 1)
+    )
     # Built before they are unnested, as the arrays would be copied with every place.
     return selected.selectExpr(
         "id",
@@ -79,17 +83,15 @@ def fingerprints(docs: DataFrame, window: int, alone: int) -> DataFrame:
               'at', at,
               'size', if(long[at], 1, 2),
               'weighty', long[at] OR coalesce(get(long, at + 1), false) OR size(long) = 2,
-              'before', transform(sequence(1, {window}), t -> get(hashes, at - t)),
-              'after', transform(sequence(0, {window - 1}),
-                                 t -> get(hashes, at + if(long[at], 1, 2) + t)))))""",
+              {around})))""",
     )
 
 
-def _equal_lines(one: str, other: str, window: int) -> str:
-    """How many lines of two arrays are equal from the first on."""
+def _equal_lines(side: str, window: int) -> str:
+    """How many lines on a side are those of the first place, from the nearest on."""
     count = "0"
-    for t in reversed(range(window)):
-        count = f"if(coalesce(get({one}, {t}) = get({other}, {t}), false), 1 + {count}, 0)"
+    for t in range(window, 0, -1):
+        count = f"if(coalesce({side}{t} = first.{side}{t}, false), 1 + {count}, 0)"
     return count
 
 
@@ -104,10 +106,12 @@ def repeated_lines(
     """id, mark (hash of the text) and the lines that go, counted from 0 among those not blank."""
     text = column(text_column).cast("string")
     rows = docs.select(column(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    marks = fingerprints(rows.where(F.col("text").isNotNull()), window, alone)
+    # Stored, as they are read twice.
+    marks = saved(fingerprints(rows.where(F.col("text").isNotNull()), window, alone), "fingerprints")
     place = F.struct("id", "mark", "at")
+    around = [f"{side}{t}" for side in ("before", "after") for t in range(1, window + 1)]
     met = marks.groupBy("gram").agg(
-        F.min(F.struct("id", "mark", "at", "before", "after")).alias("first"), F.max(place).alias("last")
+        F.min(F.struct("id", "mark", "at", *around)).alias("first"), F.max(place).alias("last")
     )
     again = met.where("NOT (named_struct('id', first.id, 'mark', first.mark, 'at', first.at) <=> last)")
     # Stored, so the join has a shuffle on either side and a line that very many
@@ -118,8 +122,8 @@ def repeated_lines(
     runs = matches.selectExpr(
         "id",
         "mark",
-        f"at - {_equal_lines('before', 'first.before', window)} AS begin",
-        f"at + size + {_equal_lines('after', 'first.after', window)} AS end",
+        f"at - {_equal_lines('before', window)} AS begin",
+        f"at + size + {_equal_lines('after', window)} AS end",
         "weighty",
     ).where(f"weighty OR end - begin >= {window}")
     return (
