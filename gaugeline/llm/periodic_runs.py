@@ -24,7 +24,8 @@ Short texts are handled together, up to a number of words, longer ones one by on
 
 Defined cases: words are cut at ASCII white space. Null and empty texts have no words and
 no runs. Runs come by start, then by period. Rows are looked at each, also repeated ones.
-An empty table gives no rows; all other columns are passed on and never looked at.
+An empty table gives no rows; all other columns are passed on and never looked at. One that
+is called like a column added here is refused, and other names can be given.
 """
 
 from __future__ import annotations

@@ -18,7 +18,7 @@ bias alone. Of different labels of one id the smallest counts, of rows with that
 with the smallest bag. Labels that are null or not 0 or 1, or whose document is missing,
 teach nothing; without labels of two kinds every text gets the share of label 1, 0.5 if
 there is none. Repeated rows get equal scores. All other columns are passed on and never
-looked at.
+looked at; one that is called like the score is refused, and another name can be given.
 """
 
 from __future__ import annotations
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 from gaugeline.llm.common import column, map_arrow, saved
 
-SAMPLE_ROWS = 8_000
-SAMPLE_ENTRIES = 16_000_000
+SAMPLE_ROWS = 5_000
+SAMPLE_ENTRIES = 10_000_000
 BUCKETS = 1 << 18
 GRAMS = (3, 4, 5)
 DIM = 6
