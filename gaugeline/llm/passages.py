@@ -6,8 +6,11 @@ passage stands, in lines of its own, wrapped, or within longer lines, it is cut
 same places, from ``reach`` words after its begin to ``reach`` words before its end. So a
 passage of over 50 words holds one whole paragraph at least in 92 of 100 cases, one of 60 words
 in 98, one of 70 words almost always; paragraphs have 15 words on average, 8 at least.
+One of fewer than ``least_words`` is compared with as many words of either side as it lacks of
+them, so that lines and phrases of a few words that many texts share are no passages; the
+words beside a cut within a passage are the passage's own.
 
-Equal paragraphs, word for word, are one node. Nodes are linked
+Paragraphs that are equal so, word for word, are one node. Nodes are linked
 if their sets of word shingles have a Jaccard similarity of ``similarity`` or more:
 bands of MinHash values, tuned for the recall asked for at that similarity, give buckets
 of candidates; within a bucket the sets are compared exactly, in blocks of
@@ -15,7 +18,7 @@ bounded size when it is large, and only links that span its groups leave it. Cla
 are the connected components, and all but the first paragraph of a class go.
 
 Defined cases: words are lower-cased and cut at ASCII white space. Texts that are null or
-have fewer than ``reach`` + 1 words have no paragraphs; texts too short to be cut, and
+have fewer than ``least_words`` words have no paragraphs; those of fewer than twice as many, and
 repetitions of the same few words, are one. Rows are texts each, also those without id or of
 equal id and text: all but the first of them go. Order is by id, nulls first, then by row,
 then by place. An empty table gives no rows; further columns are not looked at.
@@ -36,6 +39,7 @@ from gaugeline.llm.components import connected_components
 SIMILARITY = 0.8
 SHINGLE = 5
 REACH = 7
+LEAST_WORDS = 20
 RECALL = 0.98
 MOST_HASHES = 64
 CHANCE, CHANCE_SHARE = 0.2, 0.2
@@ -117,10 +121,11 @@ class Paragraphs:
     """The paragraphs of a batch of texts.
 
     ``words`` holds the hashes of all words; paragraph i has the words from first[i] to
-    end[i] and belongs to ``text[i]``, of which it is number ``number[i]``.
+    end[i] and belongs to ``text[i]``, of which it is number ``number[i]``. It is compared
+    by the words from low[i] to high[i].
     """
 
-    def __init__(self, texts: list[bytes], known: WordHashes, reach: int):
+    def __init__(self, texts: list[bytes], known: WordHashes, reach: int, least_words: int):
         joined = b"\n".join(texts)
         words = joined.lower().split()
         self.words = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -132,12 +137,22 @@ class Paragraphs:
         word_first = np.searchsorted(self.byte_first, text_first)
         sizes = np.diff(word_first)
         place = np.arange(len(words)) - np.repeat(word_first[:-1], sizes)
-        first = np.flatnonzero(begins(self.words, place, np.repeat(sizes, sizes) - place, reach))
+        left = np.repeat(sizes, sizes) - place
+        # What two paragraphs of a shorter text are compared by would be nearly the same.
+        cut = begins(self.words, place, left, reach) & ((place + left >= 2 * least_words) | (place == 0))
+        first = np.flatnonzero(cut)
         end = np.r_[first[1:], len(words)][: len(first)]
         text = np.repeat(np.arange(len(texts)), sizes)[first]
         number = np.arange(len(first)) - np.searchsorted(text, text)
-        kept = end - first > reach
+        kept = sizes[text] >= least_words
         self.first, self.end, self.text, self.number = (x[kept] for x in (first, end, text, number))
+        # As many words on either side as are lacking, on the other one at a text's ends.
+        lacking = np.maximum(0, least_words - (self.end - self.first) + 1) // 2
+        text_end = word_first[1:][self.text]
+        low = np.maximum(self.first - lacking, word_first[:-1][self.text])
+        high = np.minimum(self.end + lacking, text_end)
+        low = np.maximum(np.minimum(low, high - least_words), word_first[:-1][self.text])
+        self.low, self.high = low, np.minimum(np.maximum(high, low + least_words), text_end)
         # Characters before each byte, counted from the begin of the batch.
         self._characters = np.r_[0, np.cumsum((raw & 0xC0) != 0x80)]
         self._text_first = text_first
@@ -154,9 +169,9 @@ class Paragraphs:
         return a - self._characters[self._text_first[self.text]], b - a
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits that stand for the words of each paragraph."""
+        """128 bits that stand for the words that each paragraph is compared by."""
         out = []
-        sizes = self.end - self.first
+        sizes = self.high - self.low
         for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
             # A polynomial of the word hashes; powers count from the paragraph's begin.
             power = np.full(len(self.words), factor, np.uint64)
@@ -167,15 +182,15 @@ class Paragraphs:
             inverse = np.multiply.accumulate(inverse)
             mixed = _mixed(self.words, np.uint64(factor) + np.zeros_like(self.words)) * power
             total = np.r_[np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)]
-            total = (total[self.end] - total[self.first]) * inverse[self.first]
+            total = (total[self.high] - total[self.low]) * inverse[self.low]
             out.append(_mixed(total, sizes.astype(np.uint64)))
         return out[0], out[1]
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of the n-word shingles of all paragraphs, where those of each begin)."""
-        counts = self.end - self.first - n + 1
+        counts = self.high - self.low - n + 1
         starts = np.cumsum(counts) - counts
-        at = np.arange(int(counts.sum())) + np.repeat(self.first - starts, counts)
+        at = np.arange(int(counts.sum())) + np.repeat(self.low - starts, counts)
         return shingle_hashes(self.words, n)[at], starts
 
 
@@ -183,7 +198,9 @@ def band_columns(bands: int) -> list[str]:
     return [f"band_{b}" for b in range(bands)]
 
 
-def paragraph_rows(texts: DataFrame, *, bands: int, rows: int, reach: int, shingle: int) -> DataFrame:
+def paragraph_rows(
+    texts: DataFrame, *, bands: int, rows: int, reach: int, least_words: int, shingle: int
+) -> DataFrame:
     """A row for each paragraph of (doc_id, mark, text); ``number`` is its own in the whole
     table, n1 and n2 name its words, and there is one key for each band."""
     rng = np.random.default_rng(11)
@@ -194,7 +211,7 @@ def paragraph_rows(texts: DataFrame, *, bands: int, rows: int, reach: int, shing
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers = WordHashes(), row_numbers()
         for batch in batches:
-            found = Paragraphs([t or b"" for t in batch.column(2).to_pylist()], known, reach)
+            found = Paragraphs([t or b"" for t in batch.column(2).to_pylist()], known, reach, least_words)
             if not len(found):
                 continue
             flat, starts = found.shingles(shingle)
@@ -260,7 +277,7 @@ def similar_in_block(sets: list[np.ndarray], similarity: float) -> list[tuple[in
     return links
 
 
-def _node_sets(texts: DataFrame, wanted: DataFrame, shingle: int, reach: int) -> DataFrame:
+def _node_sets(texts: DataFrame, wanted: DataFrame, shingle: int, reach: int, least_words: int) -> DataFrame:
     """(id, shingles): the shingle sets of wanted (id, doc_id, mark, paragraph)."""
     listed = F.collect_list(F.struct("paragraph", "id")).alias("wanted")
     by_text = wanted.groupBy("doc_id", "mark").agg(listed)
@@ -271,7 +288,7 @@ def _node_sets(texts: DataFrame, wanted: DataFrame, shingle: int, reach: int) ->
         known = WordHashes()
         for batch in batches:
             ids, sets = [], []
-            paragraphs = Paragraphs([t or b"" for t in batch.column(0).to_pylist()], known, reach)
+            paragraphs = Paragraphs([t or b"" for t in batch.column(0).to_pylist()], known, reach, least_words)
             flat, starts = paragraphs.shingles(shingle)
             parts = np.split(flat, starts[1:])
             place = {both: at for at, both in enumerate(zip(paragraphs.text.tolist(), paragraphs.number.tolist()))}
@@ -287,19 +304,21 @@ def _node_sets(texts: DataFrame, wanted: DataFrame, shingle: int, reach: int) ->
     return map_arrow(found, work, "id bigint, shingles binary", rows=64).dropDuplicates(["id"])
 
 
-def paragraph_links(texts: DataFrame, nodes: DataFrame, *, bands: int, similarity: float, shingle: int, reach: int) -> DataFrame:
+def paragraph_links(
+    texts: DataFrame, nodes: DataFrame, *, bands: int, similarity: float, shingle: int, reach: int, least_words: int
+) -> DataFrame:
     """(a, b): links whose components are those of all similar pairs of nodes.
 
     ``nodes`` has (id, n_words, doc_id, mark, paragraph) and the bands, one row a node.
     """
     keyed = nodes.select("id", "n_words", F.explode(F.array(*band_columns(bands))).alias("band"))
     shared = keyed.groupBy("band").agg(
-        F.count("*").alias("n"), F.ceil(F.sum("n_words") / BLOCK_SHINGLES).alias("blocks")
+        F.count("*").alias("n"), F.ceil(F.sum(F.greatest("n_words", F.lit(LEAST_WORDS))) / BLOCK_SHINGLES).alias("blocks")
     )
     shared = saved(shared.where("n > 1").select("band", "blocks"), "buckets")
     members = saved(keyed.select("band", "id").join(shared, "band"), "candidates")
     wanted = members.select("id").distinct().join(nodes.select("id", "doc_id", "mark", "paragraph"), "id")
-    sets = saved(_node_sets(texts, wanted, shingle, reach), "shingles")
+    sets = saved(_node_sets(texts, wanted, shingle, reach, least_words), "shingles")
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     tasks = (
         members.select(
@@ -331,13 +350,14 @@ def repeated_passages(
     similarity: float = SIMILARITY,
     shingle: int = SHINGLE,
     reach: int = REACH,
+    least_words: int = LEAST_WORDS,
     recall: float = RECALL,
     most_hashes: int = MOST_HASHES,
 ) -> DataFrame:
     """(doc_id, paragraph, start, n_chars, n_words, class_doc_id, class_paragraph,
     class_size, removed) of every paragraph in a class of two or more."""
-    if reach < shingle - 1:
-        raise ValueError("the shortest paragraph, of reach + 1 words, has to hold a shingle")
+    if not max(shingle, reach + 1) <= least_words <= 3 * reach:
+        raise ValueError("a paragraph with reach words on either side has to hold the least words")
     bands, rows = tune_bands(similarity, recall, most_hashes)
     text = column(text_column).cast("string")
     texts = docs.select(
@@ -345,7 +365,9 @@ def repeated_passages(
         F.xxhash64(text).alias("mark"),
         text.cast("binary").alias("text"),
     )
-    met = saved(paragraph_rows(texts, bands=bands, rows=rows, reach=reach, shingle=shingle), "paragraphs")
+    met = saved(paragraph_rows(
+        texts, bands=bands, rows=rows, reach=reach, least_words=least_words, shingle=shingle
+    ), "paragraphs")
     name = ["n1", "n2"]
     nodes = met.groupBy(*name).agg(
         F.min(F.struct("doc_id", "number", "paragraph", "mark")).alias("place"),
@@ -355,7 +377,7 @@ def repeated_passages(
     # A node goes by the number of its first paragraph.
     nodes = saved(nodes.withColumn("id", F.col("place.number")).select("*", "place.*").drop("place"), "nodes")
     links = paragraph_links(
-        texts, nodes, bands=bands, similarity=similarity, shingle=shingle, reach=reach
+        texts, nodes, bands=bands, similarity=similarity, shingle=shingle, reach=reach, least_words=least_words
     )
     place = F.struct("doc_id", "number", "paragraph")
     rooted = (

@@ -9,18 +9,24 @@ import __spark_entry__ as driver
 from gaugeline.llm import passages as P
 
 
-def plain_paragraphs(text, reach=P.REACH):
-    """(number, words) of each paragraph, pair by pair of words."""
+def plain_paragraphs(text, reach=P.REACH, least=P.LEAST_WORDS):
+    """(number, words, words to compare) of each paragraph, pair by pair of words."""
     words = (text or "").encode().lower().split()
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
     pairs = P._mixed(hashes[:-1], hashes[1:]).tolist()
     cuts = [0] if words else []
-    for i in range(reach + 1, len(words) - reach - 1):
+    for i in range(reach + 1, len(words) - reach - 1) if len(words) >= 2 * least else ():
         before, after = pairs[i - reach : i], pairs[i + 1 : i + reach + 1]
         if pairs[i] < min(before) and pairs[i] <= min(after):
             cuts.append(i)
-    found = [words[a:b] for a, b in zip(cuts, [*cuts[1:], len(words)])]
-    return [(n, p) for n, p in enumerate(found) if len(p) > reach]
+    out = []
+    for number, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(words)])):
+        more = max(0, -(-(least - (b - a)) // 2))
+        low, high = max(0, a - more), min(len(words), b + more)
+        if high - low < least:
+            low, high = (0, least) if low == 0 else (max(0, high - least), high)
+        out.append((number, words[a:b], words[low:high]))
+    return out if len(words) >= least else []
 
 
 def plain(docs, similarity=0.8, n=5):
@@ -31,7 +37,7 @@ def plain(docs, similarity=0.8, n=5):
     items = []
     order = sorted(range(len(docs)), key=lambda r: (docs[r][0] is not None, docs[r][0] or 0, r))
     for row, at in enumerate(order):
-        for number, words in plain_paragraphs(docs[at][1]):
+        for number, _, words in plain_paragraphs(docs[at][1]):
             items.append(((row, number), {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
     label = {p: p for p, _ in items}
     where = defaultdict(list)
@@ -69,21 +75,23 @@ def test_bands_reach_the_recall():
 def test_paragraphs_of_a_batch_equal_those_cut_one_by_one():
     rng = random.Random(2)
     made = [" ".join(rng.choices("a b c dd é Ff".split(), k=rng.randint(0, 200))) for _ in range(60)]
-    texts = [*made, "", " \n", "x", "a b c d e f g", "a b c d e f g h", "of " * 500, "x y " * 300, "\t" + made[0]]
+    texts = [*made, "", " \n", "x", "a b c d e f g", "a b c d e f g h " * 2 + "i j k", "a b c d e f g h " * 2 + "i j k l", "of " * 500, "x y " * 300, "\t" + made[0]]
     raw = [t.replace(" ", "\n", 3).encode() for t in texts]
-    batch = P.Paragraphs(raw, P.WordHashes(), P.REACH)
+    batch = P.Paragraphs(raw, P.WordHashes(), P.REACH, P.LEAST_WORDS)
     got = {}
     for text, number, first, n_chars, a, b in zip(batch.text, batch.number, *batch.spans(), batch.first, batch.end):
         span = raw[text].decode()[first : first + n_chars]
         got[text, number] = span.encode().lower().split()
         assert span == span.strip() and len(got[text, number]) == b - a
-    expected = {(t, n): words for t, text in enumerate(raw) for n, words in plain_paragraphs(text.decode())}
+    expected = {(t, n): words for t, text in enumerate(raw) for n, words, _ in plain_paragraphs(text.decode())}
     assert got == expected and len(got) > 300
+    compared = {(t, n): words for t, text in enumerate(raw) for n, _, words in plain_paragraphs(text.decode())}
+    assert min(map(len, compared.values())) == P.LEAST_WORDS
     # Names stand for words: equal ones exactly where the words are.
     names = list(zip(*(x.tolist() for x in batch.names())))
-    words = [tuple(got[k]) for k in zip(batch.text, batch.number)]
+    words = [tuple(compared[k]) for k in zip(batch.text, batch.number)]
     assert len(set(names)) == len(set(words)) == len(set(zip(names, words)))
-    assert P.Paragraphs([], P.WordHashes(), P.REACH).names()[0].size == 0
+    assert P.Paragraphs([], P.WordHashes(), P.REACH, P.LEAST_WORDS).names()[0].size == 0
 
 
 @pytest.mark.parametrize("block", [1 << 19, 400])
@@ -158,9 +166,18 @@ def test_links_span_groups_of_all_similar_pairs():
     assert len(links) == len(sets) - len(set(groups(pairs)))
 
 
+def test_short_lines_that_many_texts_share_are_no_passages(texts):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    licence = "this work is licensed under the public licence version three of that kind only".split()
+    docs = [(n, " ".join(rng.choices(words, k=90) + licence + rng.choices(words, k=90))) for n in range(120)]
+    assert P.repeated_passages(texts(docs)).count() == 0
+
+
 def test_odd_rows(texts):
-    line = " ".join(f"word{i}" for i in range(12))
+    line = " ".join(f"word{i}" for i in range(21))
     docs = [(2, line), (1, None), (3, ""), (2, line), (None, "é\n" + line.upper()), (4, "short line"), (5, "of " * 30)]
+    docs += [(8, line[:80]), (9, line[:80])]  # too few words
     docs += [(None, line), (None, line), (6, "of " * 30), (7, " ".join(f"v{i}" for i in range(60_000)))]
     found = P.repeated_passages(texts(docs)).collect()
     assert P.repeated_passages(texts([])).count() == 0
@@ -173,6 +190,8 @@ def test_odd_rows(texts):
     }
     with pytest.raises(ValueError):
         P.repeated_passages(texts(docs), reach=3)
+    with pytest.raises(ValueError):
+        P.repeated_passages(texts(docs), least_words=4)
 
 
 def test_query(spark):
