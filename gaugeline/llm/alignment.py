@@ -225,7 +225,10 @@ class Tokens:
         self.sizes = np.array([len(b) for b in tokenizer.bytes_of])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.letters = np.frombuffer(b"".join(tokenizer.bytes_of), np.uint8)
-        self.names = list(map(str, range(len(tokenizer.bytes_of))))
+        # Ids as text, each with every mark that may follow it, and how long that is.
+        numbers = range(len(tokenizer.bytes_of))
+        self.names = [[f"{n}{mark}" for n in numbers] for mark in ",|;"]
+        self.name_sizes = np.array([len(name) for name in self.names[0]])
 
     def of(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode(parts)
@@ -284,14 +287,15 @@ class Aligner:
         right = np.ones(len(parts), bool)
         for side, (ids, counts) in zip(self.sides, found):
             right &= _sums(side.sizes[ids], counts) == raw_sizes
+        # Of parts as long as their tokens are, so the bytes stand one below the other.
+        long = right.copy()
+        if not long.all():
+            raw = [r for r, fine in zip(raw, long.tolist()) if fine]
+        letters = np.frombuffer(b"".join(raw), np.uint8)
         for side, (ids, counts) in zip(self.sides, found):
-            # Of parts as long as their tokens are, so the bytes stand one below the other.
-            kept = np.repeat(right, counts)
-            letters = np.frombuffer(b"".join(r for r, fine in zip(raw, right.tolist()) if fine), np.uint8)
-            differ = _sums(side.bytes_of(ids[kept]) != letters, raw_sizes[right])
-            right[np.flatnonzero(right)[differ > 0]] = False
-            if not right.any():
-                break
+            differ = side.bytes_of(ids[np.repeat(long, counts)]) != letters
+            if differ.any():
+                right[np.flatnonzero(long)[_sums(differ, raw_sizes[long]) > 0]] = False
         (a, n_a), (b, n_b) = ((ids[np.repeat(right, counts)], np.where(right, counts, 0)) for ids, counts in found)
         none = np.zeros(len(parts), np.int64)
         if not len(a):
@@ -325,11 +329,10 @@ class Aligner:
         # Between tokens of a group a comma, between its sides a bar, after it a semicolon.
         same_group = np.r_[group[order][1:] == group[order][:-1], False]
         same_side = np.r_[side[1:] == side[:-1], False]
-        mark = np.where(~same_group, 2, np.where(same_side, 0, 1)).tolist()
-        names = (self.sides[0].names, self.sides[1].names)
-        pieces = [names[s][i] + ",|;"[m] for s, i, m in zip(side.tolist(), ids.tolist(), mark)]
-        text = "".join(pieces)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        kind = np.where(~same_group, 2, np.where(same_side, 0, 1)) + 3 * side
+        names = self.sides[0].names + self.sides[1].names
+        text = "".join([names[k][i] for k, i in zip(kind.tolist(), ids.tolist())])
+        sizes = np.where(side, self.sides[1].name_sizes[np.where(side, ids, 0)], self.sides[0].name_sizes[np.where(side, 0, ids)])
         ends = np.r_[0, np.cumsum(sizes)][np.r_[0, np.cumsum(n_a + n_b)]].tolist()
         return [text[i : max(i, j - 1)] for i, j in zip(ends, ends[1:])]
 
