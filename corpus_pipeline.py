@@ -15,13 +15,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import decontaminate, line_dedup, packing, quality, simhash
 from gaugeline.llm.common import column, fresh_name, saved, table
-from gaugeline.session import scratch_dir
+from gaugeline.llm.queries import ENCODING
 
 KEEP_SCORE = 0.7
 SHINGLE, RADIUS = 3, 3
@@ -58,16 +57,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of token ids in buckets and batches, as read back from the batches."""
-    path = scratch_dir(spark, "pipeline-batches")
-    packing.write_batches(
-        docs,
-        path,
-        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        pattern=public_tokenizers.PATTERN,
-        tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
-    )
-    return packing.sequences(packing.read_batches(spark, path))
+    """Sequences of tokens in buckets and batches."""
+    return packing.pack(docs, encoding=ENCODING)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -9,10 +9,10 @@ the budget holds at the bucket's length.
 Numbering needs no bucket in one task: sequences are counted in many small groups
 of a bucket, the groups' offsets are added up, and each group numbers its own.
 
-``write_batches`` encodes by a byte-level vocabulary of ranks and writes a row for each batch:
-the ids of its sequences one after the other, where each ends, and what it is of. ``pack``
-only seats sequences; there a token is a white-space separated word, or whatever ``tokens``
-counts. Defined cases: null and empty texts have no tokens and give no sequence. Rows of equal
+``pack`` seats sequences; its tokens are those of a byte-level vocabulary of ranks
+(``encoding``), what ``tokens`` counts, or else white-space separated words. ``write_batches``
+also writes a row for each batch: the ids of its sequences one after the other, where each
+ends, and what it is of. Defined cases: null and empty texts have no tokens and give no sequence. Rows of equal
 id are packed each. An empty table gives no rows; further columns are not looked at.
 """
 
@@ -87,6 +87,7 @@ def pack(
     id_column: str = "doc_id",
     text_column: str = "text",
     tokens: Column | None = None,
+    encoding: dict | None = None,
     longest: int = LONGEST,
     buckets: int = BUCKETS,
     budget: int = BUDGET,
@@ -95,10 +96,13 @@ def pack(
 
     ``bucket`` is the padded length; ``batch`` counts from 0 in each bucket.
     """
-    n = word_count(column(text_column).cast("string")) if tokens is None else tokens
-    doc_id = column(id_column).cast("bigint")
-    counted = saved(docs.select(doc_id.alias("doc_id"), n.cast("bigint").alias("n")), "lengths")
-    return _seats(counted, ["doc_id"], longest, buckets, budget)
+    if encoding is not None:
+        counted = token_counts(docs, id_column=id_column, text_column=text_column, **encoding)
+    else:
+        n = word_count(column(text_column).cast("string")) if tokens is None else tokens
+        doc_id = column(id_column).cast("bigint")
+        counted = docs.select(doc_id.alias("doc_id"), n.cast("bigint").alias("n"))
+    return _seats(saved(counted, "lengths"), ["doc_id"], longest, buckets, budget)
 
 
 def _seats(counted: DataFrame, keys: list[str], longest: int, buckets: int, budget: int) -> DataFrame:
@@ -171,10 +175,11 @@ class Encoder:
             self.other = Tokenizer.from_file(other)
             self.other.encode_special_tokens = True
 
-    def encode(self, text: str) -> np.ndarray:
-        if self.other and len(text) > LONGEST_STRETCH and max(map(len, text.split())) > LONGEST_STRETCH:
-            return np.array(self.other.encode(text, add_special_tokens=False).ids, np.int32)
-        return np.array(self.encoding.encode_ordinary(text), np.int32)
+    def encode(self, text: str) -> list[int]:
+        # An empty or white text has no longest word.
+        if self.other and len(text) > LONGEST_STRETCH and max(map(len, text.split()), default=0) > LONGEST_STRETCH:
+            return self.other.encode(text, add_special_tokens=False).ids
+        return self.encoding.encode_ordinary(text)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -188,6 +193,29 @@ def encoder(ranks: str, pattern: str, other: str | None) -> Encoder:
     return _ENCODERS[key]
 
 
+def token_counts(
+    docs: DataFrame,
+    *,
+    ranks: str,
+    pattern: str,
+    tokenizer: str | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """(doc_id, n) of every row."""
+    rows = docs.select(
+        column(id_column).cast("bigint").alias("doc_id"), column(text_column).cast("string").alias("text")
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(ranks, pattern, tokenizer).encode
+        for batch in batches:
+            counts = [len(encode(t)) if t else 0 for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["doc_id", "n"])
+
+    return map_arrow(rows, work, "doc_id bigint, n bigint")
+
+
 def token_ids(
     docs: DataFrame,
     *,
@@ -205,7 +233,7 @@ def token_ids(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, numbers = encoder(ranks, pattern, tokenizer).encode, row_numbers()
         for batch in batches:
-            found = [encode(t or "") for t in batch.column(1).to_pylist()]
+            found = [np.array(encode(t or ""), np.int32) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, np.int32), *found]))
             yield pa.RecordBatch.from_arrays(

@@ -94,17 +94,16 @@ def op7_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+# The pattern and ranks of one vocabulary, and the same in a library for long stretches.
+ENCODING = {
+    "ranks": public_tokenizers.path("byte_bpe_50k.tiktoken"),
+    "pattern": public_tokenizers.PATTERN,
+    "tokenizer": public_tokenizers.path("byte_bpe_50k.json"),
+}
+
+
 def op8_packing(spark: SparkSession, directory: str) -> DataFrame:
-    path = scratch_dir(spark, "batches")
-    packing.write_batches(
-        table(spark, directory, "documents"),
-        path,
-        ranks=public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        pattern=public_tokenizers.PATTERN,
-        tokenizer=public_tokenizers.path("byte_bpe_50k.json"),
-    )
-    found = packing.sequences(packing.read_batches(spark, path))
-    return found.withColumn("ids_hash", F.xxhash64("ids")).drop("ids")
+    return packing.pack(table(spark, directory, "documents"), encoding=ENCODING)
 
 
 def op9_nearest(spark: SparkSession, directory: str) -> DataFrame:

@@ -107,8 +107,8 @@ def test_batches_hold_the_ids_of_their_texts(spark, texts, tmp_path, monkeypatch
 
 def test_encoder_equals_the_other_library():
     encode = K.Encoder(*ENCODING.values()).encode
-    for text in ["", " ", "a  b\n\n c", "<|endoftext|>", "日本語 テキスト", "\x1c \u0085x", "it's 12'll", "q" * 50_000, "ab " * 900]:
-        assert encode(text).tolist() == ids_by_library(text)
+    for text in ["", " ", " " * 5000, "a  b\n\n c", "<|endoftext|>", "日本語 テキスト", "\x1c \u0085x", "it's 12'll", "q" * 50_000, "ab " * 900]:
+        assert encode(text) == ids_by_library(text)
 
 
 def test_query(spark):
