@@ -6,19 +6,20 @@ passage stands, in lines of its own, wrapped, or within longer lines, it is cut
 same places, from ``reach`` words after its begin to ``reach`` words before its end. So a
 passage of over 50 words holds one whole paragraph at least in 92 of 100 cases, one of 60 words
 in 98, one of 70 words almost always; paragraphs have 15 words on average, 8 at least.
-One of fewer than ``least_words`` is compared with as many words of either side as it lacks of
-them, so that lines and phrases of a few words that many texts share are no passages; the
-words beside a cut within a passage are the passage's own.
 
-Paragraphs that are equal so, word for word, are one node. Nodes are linked
+Equal paragraphs, word for word, are one node. Nodes are linked
 if their sets of word shingles have a Jaccard similarity of ``similarity`` or more:
 bands of MinHash values, tuned for the recall asked for at that similarity, give buckets
 of candidates; within a bucket the sets are compared exactly, in blocks of
 bounded size when it is large, and only links that span its groups leave it. Classes
-are the connected components, and all but the first paragraph of a class go.
+are the connected components. Of a class, paragraphs of fewer than ``least_words`` words
+count as repeated only where those are that are equal together with as many words of either
+side as they lack, so that lines and phrases of a few words that many texts share are no
+passages; the words beside a cut within a passage are the passage's own. All but the first
+of those that count together go.
 
 Defined cases: words are lower-cased and cut at ASCII white space. Texts that are null or
-have fewer than ``least_words`` words have no paragraphs; those of fewer than twice as many, and
+have fewer than ``least_words`` words have no paragraphs; texts too short to be cut, and
 repetitions of the same few words, are one. Rows are texts each, also those without id or of
 equal id and text: all but the first of them go. Order is by id, nulls first, then by row,
 then by place. An empty table gives no rows; further columns are not looked at.
@@ -121,8 +122,8 @@ class Paragraphs:
     """The paragraphs of a batch of texts.
 
     ``words`` holds the hashes of all words; paragraph i has the words from first[i] to
-    end[i] and belongs to ``text[i]``, of which it is number ``number[i]``. It is compared
-    by the words from low[i] to high[i].
+    end[i] and belongs to ``text[i]``, of which it is number ``number[i]``. With words of
+    either side, where it has few, it reaches from low[i] to high[i].
     """
 
     def __init__(self, texts: list[bytes], known: WordHashes, reach: int, least_words: int):
@@ -137,10 +138,7 @@ class Paragraphs:
         word_first = np.searchsorted(self.byte_first, text_first)
         sizes = np.diff(word_first)
         place = np.arange(len(words)) - np.repeat(word_first[:-1], sizes)
-        left = np.repeat(sizes, sizes) - place
-        # What two paragraphs of a shorter text are compared by would be nearly the same.
-        cut = begins(self.words, place, left, reach) & ((place + left >= 2 * least_words) | (place == 0))
-        first = np.flatnonzero(cut)
+        first = np.flatnonzero(begins(self.words, place, np.repeat(sizes, sizes) - place, reach))
         end = np.r_[first[1:], len(words)][: len(first)]
         text = np.repeat(np.arange(len(texts)), sizes)[first]
         number = np.arange(len(first)) - np.searchsorted(text, text)
@@ -169,10 +167,12 @@ class Paragraphs:
         return a - self._characters[self._text_first[self.text]], b - a
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits that stand for the words that each paragraph is compared by."""
+        """64 bits that stand for the words of each paragraph, and 64 others for those it
+        reaches to. Of long ones both stand for the same."""
         out = []
-        sizes = self.high - self.low
-        for factor in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+        for factor, first, end in (
+            (0x9E3779B97F4A7C15, self.first, self.end), (0xC2B2AE3D27D4EB4F, self.low, self.high)
+        ):
             # A polynomial of the word hashes; powers count from the paragraph's begin.
             power = np.full(len(self.words), factor, np.uint64)
             power[:1] = 1
@@ -182,15 +182,15 @@ class Paragraphs:
             inverse = np.multiply.accumulate(inverse)
             mixed = _mixed(self.words, np.uint64(factor) + np.zeros_like(self.words)) * power
             total = np.r_[np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)]
-            total = (total[self.high] - total[self.low]) * inverse[self.low]
-            out.append(_mixed(total, sizes.astype(np.uint64)))
+            total = (total[end] - total[first]) * inverse[first]
+            out.append(_mixed(total, (end - first).astype(np.uint64)))
         return out[0], out[1]
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """(hashes of the n-word shingles of all paragraphs, where those of each begin)."""
-        counts = self.high - self.low - n + 1
+        counts = self.end - self.first - n + 1
         starts = np.cumsum(counts) - counts
-        at = np.arange(int(counts.sum())) + np.repeat(self.low - starts, counts)
+        at = np.arange(int(counts.sum())) + np.repeat(self.first - starts, counts)
         return shingle_hashes(self.words, n)[at], starts
 
 
@@ -202,11 +202,11 @@ def paragraph_rows(
     texts: DataFrame, *, bands: int, rows: int, reach: int, least_words: int, shingle: int
 ) -> DataFrame:
     """A row for each paragraph of (doc_id, mark, text); ``number`` is its own in the whole
-    table, n1 and n2 name its words, and there is one key for each band."""
+    table, ``node`` and ``reached`` are its names, and there is one key for each band."""
     rng = np.random.default_rng(11)
     mix = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
     add = rng.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
-    names = ["doc_id", "mark", "number", "paragraph", "start", "n_chars", "n_words", "n1", "n2", *band_columns(bands)]
+    names = ["doc_id", "mark", "number", "paragraph", "start", "n_chars", "n_words", "node", "reached", *band_columns(bands)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, numbers = WordHashes(), row_numbers()
@@ -313,7 +313,7 @@ def paragraph_links(
     """
     keyed = nodes.select("id", "n_words", F.explode(F.array(*band_columns(bands))).alias("band"))
     shared = keyed.groupBy("band").agg(
-        F.count("*").alias("n"), F.ceil(F.sum(F.greatest("n_words", F.lit(LEAST_WORDS))) / BLOCK_SHINGLES).alias("blocks")
+        F.count("*").alias("n"), F.ceil(F.sum("n_words") / BLOCK_SHINGLES).alias("blocks")
     )
     shared = saved(shared.where("n > 1").select("band", "blocks"), "buckets")
     members = saved(keyed.select("band", "id").join(shared, "band"), "candidates")
@@ -368,8 +368,7 @@ def repeated_passages(
     met = saved(paragraph_rows(
         texts, bands=bands, rows=rows, reach=reach, least_words=least_words, shingle=shingle
     ), "paragraphs")
-    name = ["n1", "n2"]
-    nodes = met.groupBy(*name).agg(
+    nodes = met.groupBy("node").agg(
         F.min(F.struct("doc_id", "number", "paragraph", "mark")).alias("place"),
         F.count("*").alias("n"),
         *(F.any_value(c).alias(c) for c in ("n_words", *band_columns(bands))),
@@ -379,19 +378,23 @@ def repeated_passages(
     links = paragraph_links(
         texts, nodes, bands=bands, similarity=similarity, shingle=shingle, reach=reach, least_words=least_words
     )
-    place = F.struct("doc_id", "number", "paragraph")
     rooted = (
-        nodes.select("id", *name, "n", place.alias("place"))
+        nodes.select("id", "node", "n")
         .join(connected_components(links).withColumnRenamed("node", "id"), "id", "left")
         .where("n > 1 OR root IS NOT NULL")
-        .withColumn("root", F.coalesce("root", "id"))
+        .select("node", F.coalesce("root", "id").alias("root"))
     )
-    classes = rooted.groupBy("root").agg(F.min("place").alias("first"), F.sum("n").alias("class_size"))
     # Stored, here and below, so the joins can split a class that very many paragraphs are in.
-    classes = saved(classes, "classes")
-    named = saved(rooted.select(*name, "root").join(classes, "root").drop("root"), "class-names")
-    slim = met.select("doc_id", "number", "paragraph", "start", "n_chars", "n_words", *name)
-    return slim.join(named, name).select(
+    rooted = saved(rooted, "classes")
+    slim = met.select("doc_id", "number", "paragraph", "start", "n_chars", "n_words", "node", "reached")
+    together = F.when(F.col("n_words") >= least_words, F.lit(0)).otherwise(F.col("reached"))
+    members = saved(slim.join(rooted, "node").withColumn("together", together).drop("node", "reached"), "members")
+    place = F.struct("doc_id", "number", "paragraph")
+    groups = members.groupBy("root", "together").agg(
+        F.min(place).alias("first"), F.count("*").alias("class_size")
+    )
+    groups = saved(groups.where("class_size > 1"), "groups")
+    return members.join(groups, ["root", "together"]).select(
         "doc_id",
         "paragraph",
         "start",

@@ -15,7 +15,7 @@ def plain_paragraphs(text, reach=P.REACH, least=P.LEAST_WORDS):
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
     pairs = P._mixed(hashes[:-1], hashes[1:]).tolist()
     cuts = [0] if words else []
-    for i in range(reach + 1, len(words) - reach - 1) if len(words) >= 2 * least else ():
+    for i in range(reach + 1, len(words) - reach - 1):
         before, after = pairs[i - reach : i], pairs[i + 1 : i + reach + 1]
         if pairs[i] < min(before) and pairs[i] <= min(after):
             cuts.append(i)
@@ -34,11 +34,12 @@ def plain(docs, similarity=0.8, n=5):
 
     Rows are numbered in order of ids, without an id first.
     """
-    items = []
+    items, together = [], {}
     order = sorted(range(len(docs)), key=lambda r: (docs[r][0] is not None, docs[r][0] or 0, r))
     for row, at in enumerate(order):
-        for number, _, words in plain_paragraphs(docs[at][1]):
+        for number, words, reached in plain_paragraphs(docs[at][1]):
             items.append(((row, number), {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
+            together[row, number] = None if len(words) >= P.LEAST_WORDS else tuple(reached)
     label = {p: p for p, _ in items}
     where = defaultdict(list)
     sets = dict(items)
@@ -55,8 +56,10 @@ def plain(docs, similarity=0.8, n=5):
             low = min(label[a], label[b])
             changed |= label[a] != low or label[b] != low
             label[a] = label[b] = low
-    sizes = Counter(label.values())
-    return {p: first for p, first in label.items() if sizes[first] > 1}
+    groups = defaultdict(list)
+    for p, root in label.items():
+        groups[root, together[p]].append(p)
+    return {p: min(group) for group in groups.values() if len(group) > 1 for p in group}
 
 
 def classes(rows, docs):
@@ -88,9 +91,9 @@ def test_paragraphs_of_a_batch_equal_those_cut_one_by_one():
     compared = {(t, n): words for t, text in enumerate(raw) for n, _, words in plain_paragraphs(text.decode())}
     assert min(map(len, compared.values())) == P.LEAST_WORDS
     # Names stand for words: equal ones exactly where the words are.
-    names = list(zip(*(x.tolist() for x in batch.names())))
-    words = [tuple(compared[k]) for k in zip(batch.text, batch.number)]
-    assert len(set(names)) == len(set(words)) == len(set(zip(names, words)))
+    for names, words_of in zip(batch.names(), (got, compared)):
+        words = [tuple(words_of[k]) for k in zip(batch.text, batch.number)]
+        assert len(set(names.tolist())) == len(set(words)) == len(set(zip(names.tolist(), words)))
     assert P.Paragraphs([], P.WordHashes(), P.REACH, P.LEAST_WORDS).names()[0].size == 0
 
 
@@ -184,9 +187,12 @@ def test_odd_rows(texts):
     got = Counter((r.doc_id, r.paragraph, r.start, r.n_chars, r.class_doc_id, r.class_size, r.removed) for r in found)
     # Of rows without id and with one id, all but the first go.
     assert got.pop((5, 0, 0, 89, 5, 2, False)) == 1 and got.pop((6, 0, 0, 89, 5, 2, True)) == 1
-    size, rest = len(line), (None, 5)
+    # The line is two paragraphs; the first of the longer text reaches to another word.
+    assert [len(p) for _, p, _ in plain_paragraphs(line)] == [9, 12]
+    one, two = (len(line[:59]), None, 4), (76, None, 5)
     assert got == {
-        (None, 0, 0, size + 2, *rest, False): 1, (None, 0, 0, size, *rest, True): 2, (2, 0, 0, size, *rest, True): 2,
+        (None, 0, 0, *one, False): 1, (None, 0, 0, *one, True): 1, (2, 0, 0, *one, True): 2,
+        (None, 1, 62, *two, False): 1, (None, 1, 60, *two, True): 2, (2, 1, 60, *two, True): 2,
     }
     with pytest.raises(ValueError):
         P.repeated_passages(texts(docs), reach=3)
