@@ -188,7 +188,7 @@ def test_odd_rows(texts):
     # Of rows without id and with one id, all but the first go.
     assert got.pop((5, 0, 0, 89, 5, 2, False)) == 1 and got.pop((6, 0, 0, 89, 5, 2, True)) == 1
     # The line is two paragraphs; the first of the longer text reaches to another word.
-    assert [len(p) for _, p, _ in plain_paragraphs(line)] == [9, 12]
+    assert [len(p) for _, p, _ in plain_paragraphs(line)] == [10, 11]
     one, two = (len(line[:59]), None, 4), (76, None, 5)
     assert got == {
         (None, 0, 0, *one, False): 1, (None, 0, 0, *one, True): 1, (2, 0, 0, *one, True): 2,
