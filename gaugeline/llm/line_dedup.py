@@ -12,9 +12,10 @@ and lines, and the match is extended line by line in both directions, by up to
 ``window`` lines; what lies beyond is the match of the next fingerprint of the run. A matched
 run goes if it has ``window`` lines or a long one, so a heading goes with its
 repeated paragraph; a document of two short lines goes as a whole if another one was the
-same. A run met n times makes n matches, as none is compared with any but
-the first. What is not found: a run of short lines all of whose pairs came first in other
-surroundings.
+same. Where the first place has other surroundings, the runs of up to ``window`` lines around
+the fingerprint are joined with their own first places. So, with a ``window`` of three or more,
+every such run that came before goes, whatever the first surroundings of its lines. A run met
+n times makes n matches, as none is compared with any but the first.
 
 All of it is DataFrame functions. Grams are named by 128 bits, lines by 64.
 
@@ -26,6 +27,8 @@ repeats within a document leave the first run. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,6 +98,42 @@ def _equal_lines(side: str, window: int) -> str:
     return count
 
 
+def _later_places(places: DataFrame, key: str, around: Sequence[str] = ()) -> DataFrame:
+    """The places whose key has an earlier one, with the ``first`` and its columns ``around``."""
+    place = F.struct("id", "mark", "at")
+    met = places.groupBy(key).agg(
+        F.min(F.struct("id", "mark", "at", *around)).alias("first"), F.max(place).alias("last")
+    )
+    again = met.where("NOT (named_struct('id', first.id, 'mark', first.mark, 'at', first.at) <=> last)")
+    # Stored, so the join has a shuffle on either side and a line that very many
+    # documents share is split over tasks.
+    again = saved(again.select(key, "first"), "repeated")
+    return places.join(again, key).where(~place.eqNullSafe(F.struct("first.id", "first.mark", "first.at")))
+
+
+def _other_runs(window: int) -> str:
+    """The runs around a place that reach beyond its match, as far as others don't cover them.
+
+    Of short lines, a run of ``window`` begins at a fingerprint or one line before. One
+    with a long line is that line with those before it, and with those after it.
+    """
+    short = [(0, max(window - 2, 0)), (1, window - 3)]
+    long = [reach for t in range(1, window) for reach in ((t, 0), (0, t))]
+    runs = []
+    for kind, reaches in (("size = 2 AND NOT weighty", short), ("size = 1", long)):
+        for before, after in reaches:
+            if after < 0:
+                continue
+            lines = [f"before{t}" for t in range(1, before + 1)] + [f"after{t}" for t in range(1, after + 1)]
+            there = "".join(f" AND {line} IS NOT NULL" for line in lines)
+            name = _name(f"concat_ws(',', {', '.join(['hex(gram)', str(before), str(after), *lines])})")
+            runs.append(
+                f"""if({kind} AND (equal_before < {before} OR equal_after < {after}){there},
+                  named_struct('run', {name}, 'begin', at - {before}, 'end', at + size + {after}), NULL)"""
+            )
+    return f"filter(array({', '.join(runs)}), r -> r IS NOT NULL)"
+
+
 def repeated_lines(
     docs: DataFrame,
     *,
@@ -108,24 +147,29 @@ def repeated_lines(
     rows = docs.select(column(id_column).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
     # Stored, as they are read twice.
     marks = saved(fingerprints(rows.where(F.col("text").isNotNull()), window, alone), "fingerprints")
-    place = F.struct("id", "mark", "at")
     around = [f"{side}{t}" for side in ("before", "after") for t in range(1, window + 1)]
-    met = marks.groupBy("gram").agg(
-        F.min(F.struct("id", "mark", "at", *around)).alias("first"), F.max(place).alias("last")
+    matches = _later_places(marks, "gram", around).selectExpr(
+        "*",
+        f"{_equal_lines('before', window)} AS equal_before",
+        f"{_equal_lines('after', window)} AS equal_after",
     )
-    again = met.where("NOT (named_struct('id', first.id, 'mark', first.mark, 'at', first.at) <=> last)")
-    # Stored, so the join has a shuffle on either side and a line that very many
-    # documents share is split over tasks.
-    again = saved(again.select("gram", "first"), "repeated")
-    first = F.struct("first.id", "first.mark", "first.at")
-    matches = marks.join(again, "gram").where(~place.eqNullSafe(first))
-    runs = matches.selectExpr(
+    matches = matches.selectExpr(
         "id",
         "mark",
-        f"at - {_equal_lines('before', window)} AS begin",
-        f"at + size + {_equal_lines('after', window)} AS end",
-        "weighty",
-    ).where(f"weighty OR end - begin >= {window}")
+        "at",
+        "at - equal_before AS begin",
+        "at + size + equal_after AS end",
+        f"weighty OR equal_before + size + equal_after >= {window} AS goes",
+        f"{_other_runs(window)} AS others",
+    )
+    # Stored, as both sides of the second join and the result read them.
+    matches = saved(matches.where("goes OR size(others) > 0"), "matches")
+    others = matches.selectExpr("id", "mark", "at", "inline(others)")
+    runs = (
+        matches.where("goes")
+        .select("id", "mark", "begin", "end")
+        .union(_later_places(others, "run").select("id", "mark", "begin", "end"))
+    )
     return (
         runs.select("id", "mark", F.explode(F.sequence("begin", F.col("end") - 1)).alias("line"))
         .groupBy("id", "mark")

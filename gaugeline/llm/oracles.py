@@ -45,57 +45,32 @@ FROM parts LEFT JOIN fits USING (page_id)
 """
 
 
-def _equal(side: str) -> str:
-    count = "0"
-    for t in reversed(range(1, WINDOW + 1)):
-        count = f"CASE WHEN m.{side}{t} = f.{side}{t} THEN 1 + {count} ELSE 0 END"
-    return count
-
-
-_NEIGHBOURS = ", ".join(
-    f"lag(l, {t}) OVER doc AS before{t}, lead(l, CAST(size + {t - 1} AS INT)) OVER doc AS after{t}"
-    for t in range(1, WINDOW + 1)
-)
-
 LINE_DEDUP_SQL = f"""
 WITH split AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
 numbered AS (
   SELECT doc_id, unnest(parts) AS raw, generate_subscripts(parts, 1) - 1 AS line FROM split),
 lines AS (
-  SELECT doc_id, line, l, length(l) >= {ALONE} AS long, row_number() OVER doc - 1 AS pos,
-         count(*) OVER (PARTITION BY doc_id) AS n, lead(l) OVER doc AS next,
-         coalesce(lead(length(l)) OVER doc >= {ALONE}, false) AS next_long,
-         CASE WHEN length(l) >= {ALONE} THEN 1 ELSE 2 END AS size
-  FROM (SELECT doc_id, line, trim(raw, ' ' || chr(9) || chr(13)) AS l FROM numbered)
-  WHERE l <> '' WINDOW doc AS (PARTITION BY doc_id ORDER BY line)),
-grams AS (
-  SELECT *, {_NEIGHBOURS},
-         CASE WHEN long THEN md5(l)
-              WHEN n = 2 AND pos = 0 AND NOT next_long THEN md5(chr(10) || l || chr(10) || next)
-              WHEN pos < n - 1 THEN md5(l || chr(10) || next) END AS gram
-  FROM lines WINDOW doc AS (PARTITION BY doc_id ORDER BY line)),
+  SELECT doc_id, line, trim(raw, ' ' || chr(9) || chr(13)) AS l FROM numbered
+  WHERE trim(raw, ' ' || chr(9) || chr(13)) <> ''),
+slid AS (
+  SELECT doc_id, line, list(l) OVER following AS run, list(line) OVER following AS numbers,
+         count(*) OVER (PARTITION BY doc_id) AS n
+  FROM lines
+  WINDOW following AS (PARTITION BY doc_id ORDER BY line
+                       ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
+sized AS (
+  SELECT doc_id, line, n, unnest(range(1, len(run) + 1)) AS size, run[:size] AS run, numbers[:size] AS numbers,
+         len(list_filter(run[:size], lambda x: length(x) >= {ALONE})) > 0 AS long
+  FROM slid),
 windows AS (
-  SELECT doc_id, pos, long, n, gram, lead(gram) OVER (PARTITION BY doc_id ORDER BY pos) AS next_gram FROM grams),
-chosen AS (
-  SELECT DISTINCT doc_id,
-         CASE WHEN long THEN pos WHEN next_gram IS NULL THEN 0 WHEN gram < next_gram THEN pos ELSE pos + 1 END AS pos
-  FROM windows WHERE long OR next_gram IS NOT NULL OR (n = 2 AND pos = 0)),
-marks AS (
-  SELECT *, long OR next_long OR n = 2 AS weighty,
-         row_number() OVER (PARTITION BY gram ORDER BY doc_id, pos) AS met
-  FROM grams JOIN chosen USING (doc_id, pos)),
-runs AS (
-  SELECT m.doc_id, m.weighty, m.pos - {_equal("before")} AS first_line,
-         m.pos + m.size + {_equal("after")} AS end_line
-  FROM marks m JOIN marks f ON m.gram = f.gram AND f.met = 1 WHERE m.met > 1),
+  SELECT *, n = 2 AND NOT long AS whole FROM sized WHERE long OR size = {WINDOW} OR n = 2 AND size = 2),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY run, whole ORDER BY doc_id, line) AS met FROM windows),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(range(first_line, end_line)) AS pos
-  FROM runs WHERE weighty OR end_line - first_line >= {WINDOW}),
-gone_lines AS (
-  SELECT doc_id, line FROM gone JOIN lines USING (doc_id, pos))
-SELECT split.doc_id, any_value(len(parts)) AS n_lines, count(gone_lines.line) AS n_removed,
-       coalesce(string_agg(raw, chr(10) ORDER BY numbered.line) FILTER (gone_lines.line IS NULL), '') AS text
-FROM split JOIN numbered USING (doc_id) LEFT JOIN gone_lines USING (doc_id, line)
+  SELECT DISTINCT doc_id, unnest(numbers) AS line FROM ranked WHERE met > 1)
+SELECT split.doc_id, any_value(len(parts)) AS n_lines, count(gone.line) AS n_removed,
+       coalesce(string_agg(raw, chr(10) ORDER BY numbered.line) FILTER (gone.line IS NULL), '') AS text
+FROM split JOIN numbered USING (doc_id) LEFT JOIN gone USING (doc_id, line)
 GROUP BY split.doc_id
 """

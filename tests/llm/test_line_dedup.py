@@ -11,12 +11,12 @@ WINDOW, ALONE = 3, 40
 
 
 def plain(rows, window=WINDOW, alone=ALONE, reach=None):
-    """{row number: text} by selecting, looking up and extending line by line.
+    """{row number: text} by selecting, comparing with every earlier place and extending line by line.
 
     ``reach`` bounds how far a match is extended, None does not.
     """
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is not None, rows[i][0] or 0))
-    first, documents, out = {}, {}, {}
+    places, documents, out = {}, {}, {}
     for i in order:
         text = rows[i][1]
         if text is None:
@@ -38,19 +38,17 @@ def plain(rows, window=WINDOW, alone=ALONE, reach=None):
                 chosen.add(k if hashes[k] < hashes[k + 1] else k + 1)
         gone = set()
         for k in sorted(chosen):
-            if grams[k] not in first:
-                first[grams[k]] = (i, k)
-                continue
-            source, at = first[grams[k]]
-            other, begin, end, room = documents[source], k, k + (1 if long[k] else 2), reach or n
-            shift = at - k
-            while begin > 0 and k - begin < room and begin + shift > 0 and lines[begin - 1] == other[begin + shift - 1]:
-                begin -= 1
-            stop = end + room
-            while end < min(n, stop) and end + shift < len(other) and lines[end] == other[end + shift]:
-                end += 1
-            if end - begin >= window or any(long[k : k + 2]) or n == 2:
-                gone |= set(numbers[begin:end])
+            for source, at in places.setdefault(grams[k], []):
+                other, begin, end, room = documents[source], k, k + (1 if long[k] else 2), reach or n
+                shift = at - k
+                while begin > 0 and k - begin < room and begin + shift > 0 and lines[begin - 1] == other[begin + shift - 1]:
+                    begin -= 1
+                stop = end + room
+                while end < min(n, stop) and end + shift < len(other) and lines[end] == other[end + shift]:
+                    end += 1
+                if end - begin >= window or any(long[k : k + 2]) or n == 2:
+                    gone |= set(numbers[begin:end])
+            places[grams[k]].append((i, k))
         out[i] = "\n".join(p for number, p in enumerate(parts) if number not in gone)
     return out
 
@@ -75,6 +73,49 @@ def test_extending_without_bound_gives_the_same_on_the_table(spark):
     assert found == {rows[i][0]: t for i, t in expected.items()}
 
 
+def every_run(rows, window, alone=ALONE):
+    """{id: text} by looking up every run of ``window`` lines, and shorter ones with a long line."""
+    seen, out = set(), {}
+    for i, text in sorted(rows):
+        lines = [(number, x.strip()) for number, x in enumerate(text.split("\n")) if x.strip()]
+        gone = set()
+        for start in range(len(lines)):
+            for run in (lines[start : start + size] for size in range(1, min(window, len(lines) - start) + 1)):
+                long = any(len(x) >= alone for _, x in run)
+                if long or len(run) == window or len(run) == len(lines) == 2:
+                    key = (not long and len(lines) == 2, *(x for _, x in run))
+                    gone |= {number for number, _ in run} if key in seen else set()
+                    seen.add(key)
+        out[i] = "\n".join(x for number, x in enumerate(text.split("\n")) if number not in gone)
+    return out
+
+
+@pytest.mark.parametrize("window", [3, 4, 6])
+def test_every_run_that_came_before_goes(texts, window):
+    """Also if its lines came first in other surroundings."""
+    rng = random.Random(window)
+    pool = [rng.choice("abcdefgh") * rng.choice([1, 2, 50]) for _ in range(12)] + ["", " "]
+    rows = [(i, "\n".join(rng.choices(pool, k=rng.randint(0, 14)))) for i in range(60)]
+    for n in range(12):
+        run = "\n".join(rng.choices(pool, k=7))
+        rows += [(60 + 2 * n + copy, f"own {n} {copy}\n{run}\nlast {n} {copy}") for copy in range(2)]
+    found = L.drop_repeated_lines(texts(rows), window=window).collect()
+    assert {r.doc_id: r.text for r in found} == every_run(rows, window)
+
+
+def test_runs_whose_lines_came_first_in_other_surroundings(texts):
+    long = "a line that many documents have, such as a license"
+    apart = [f"a\nb\n{k}" for k in range(5)] + [f"{k} k\nb\nc" for k in range(5)]
+    apart += [long, f"{long}\na\nx", f"{long}\nd\ny"]
+    rows = [*enumerate(apart)]
+    for run in ("a\nb\nc", f"heading\n{long}", f"{long}\nending", f"{long}\na\nz"):
+        rows += [(n, f"own {n}\n{run}\nlast {n}") for n in range(len(rows), len(rows) + 2)]
+    found = {r.doc_id: r.text for r in L.drop_repeated_lines(texts(rows)).collect()}
+    for number, _ in rows[len(apart) + 1 :: 2]:
+        assert found[number] == f"own {number}\nlast {number}"
+    assert found == every_run(rows, WINDOW)
+
+
 def test_repeated_runs_go_whole_with_their_headings(texts):
     """Runs of three lines or more, or with a long line, between lines of other documents."""
     rng = random.Random(5)
